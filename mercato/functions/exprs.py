@@ -38,9 +38,9 @@ def stamp(ts: str) -> Column:
     return F.date_format(F.col(ts), "yyyy-MM-dd HH:mm:ss")
 
 
-def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """``part`` of ``whole`` in percent, 0 where the whole is 0."""
-    return F.round(F.when(whole > 0, part * 100.0 / whole).otherwise(F.lit(0.0)), digits)
+def percent(part: str, whole: str, digits: int = 2) -> str:
+    """SQL for ``part`` of ``whole`` in percent, 0 where the whole is 0."""
+    return f"round(CASE WHEN {whole} > 0 THEN {part} * 100.0D / {whole} ELSE 0.0D END, {digits})"
 
 
 def rate(condition: Column) -> Column:

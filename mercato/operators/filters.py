@@ -9,6 +9,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.functions.frames import union_all
+
 DATE, STATE, CATEGORY = "order_purchase_date", "customer_state", "product_category_name_english"
 
 ALL = "all"  # every listed option chosen: drops only rows without a value
@@ -48,17 +50,18 @@ def filter_by_date_and_state(df: DataFrame, selection: Selection, state_col: str
 
 
 def filter_by_date_and_category(df: DataFrame, selection: Selection, category_col: str = CATEGORY) -> DataFrame:
-    return _chosen(filter_by_date(df, selection), category_col, selection.categories)
+    return filter_by_category(filter_by_date(df, selection), selection, category_col)
+
+
+def filter_by_category(df: DataFrame, selection: Selection, category_col: str = CATEGORY) -> DataFrame:
+    return _chosen(df, category_col, selection.categories)
 
 
-def filter_options(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Choices offered: first and last order date, sorted states and categories, one per row."""
-    bounds = orders.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last")).select(F.inline(F.array(
-        F.struct(F.lit("min_date").alias("filter"), F.col("first").cast("string").alias("option")),
-        F.struct(F.lit("max_date").alias("filter"), F.col("last").cast("string").alias("option")),
-    )))
+def filter_options(orders: DataFrame, products_sold: DataFrame) -> DataFrame:
+    """Choices offered: first and last order date, sorted states, and sorted categories of products sold."""
+    bounds = orders.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last")).selectExpr(
+        "stack(2, 'min_date', CAST(first AS STRING), 'max_date', CAST(last AS STRING)) AS (filter, option)")
     states = orders.select(F.lit("state").alias("filter"), F.col(STATE).alias("option"))
-    categories = items.select(F.lit("category").alias("filter"), F.col(CATEGORY).alias("option"))
-    listed = states.filter(F.col("option").isNotNull()).distinct().unionByName(
-        categories.filter(F.col("option").isNotNull()).distinct())
-    return bounds.unionByName(listed).orderBy("filter", "option")
+    categories = products_sold.select(F.lit("category").alias("filter"), F.col(CATEGORY).alias("option"))
+    listed = [df.filter(F.col("option").isNotNull()).distinct() for df in (states, categories)]
+    return union_all([bounds, *listed]).orderBy("filter", "option")

@@ -2,97 +2,77 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.constants import BOUNDING_BOX
 from mercato.functions.exprs import outside_box, percent
+from mercato.functions.frames import to_lines, union_all
 
 
-def _stacked(one_row: DataFrame, lines: list[Column]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*lines)))
-
+def profile_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """NULL count and percent of every column that has any; one pass per table."""
+    def one(name: str, df: DataFrame) -> DataFrame:
+        counts = df.selectExpr(
+            "count(*) AS total", *[f"count_if(`{c}` IS NULL) AS n{i}" for i, c in enumerate(df.columns)])
+        return to_lines(counts, [
+            {"table_name": f"'{name}'", "column_name": f"'{c}'", "null_count": f"n{i}",
+             "null_pct": percent(f"n{i}", "total")}
+            for i, c in enumerate(df.columns)
+        ])
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+    return union_all([one(name, df) for name, df in tables.items()]).filter("null_count > 0")
 
 
-def profile_nulls(tables: dict[str, DataFrame]) -> DataFrame:
-    """NULL count and percent of every column that has any; one pass per table."""
-    def one(name: str, df: DataFrame) -> DataFrame:
-        counts = df.agg(
-            F.count("*").alias("_rows"),
-            *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns],
-        )
-        lines = [
-            F.struct(
-                F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col(c).alias("null_count"),
-                percent(F.col(c), F.col("_rows")).alias("null_pct"),
-            )
-            for c in df.columns
-        ]
-        return _stacked(counts, lines).filter("null_count > 0")
-
-    return _union([one(name, df) for name, df in tables.items()])
-
-
-def profile_duplicates(tables: dict[str, DataFrame]) -> DataFrame:
+def profile_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows beyond the first of each fully equal group, NULLs equal; copies collapse before the shuffle."""
     def one(name: str, df: DataFrame) -> DataFrame:
-        groups = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-        return groups.agg(
-            F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"),
-            F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_rows"),
-        ).select(F.lit(name).alias("table_name"), "total_rows", "duplicate_rows")
+        return df.groupBy(*df.columns).agg(F.count("*").alias("_copies")).selectExpr(
+            f"'{name}' AS table_name", "coalesce(sum(_copies), 0) AS total_rows",
+            "coalesce(sum(_copies - 1), 0) AS duplicate_rows")
 
-    return _union([one(name, df) for name, df in tables.items()])
+    return union_all([one(name, df) for name, df in tables.items()])
 
 
 def profile_key(name: str, df: DataFrame, keys: list[str]) -> DataFrame:
     """Total rows, distinct keys and the excess. A NULL in a single key is no key; in a composite it counts."""
-    groups = df.groupBy(*keys).agg(F.count("*").alias("_copies"))
-    distinct = F.count("*") if len(keys) > 1 else F.count_if(F.col(keys[0]).isNotNull())
-    return groups.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("total_rows"), distinct.alias("distinct_keys"),
-    ).select(
-        F.lit(name).alias("table_name"), F.lit(", ".join(keys)).alias("key_columns"), "total_rows", "distinct_keys",
-        (F.col("total_rows") - F.col("distinct_keys")).alias("excess_rows"),
-    )
+    distinct = "count(*)" if len(keys) > 1 else f"count({keys[0]})"
+    return df.groupBy(*keys).agg(F.count("*").alias("_copies")).selectExpr(
+        f"'{name}' AS table_name", f"'{', '.join(keys)}' AS key_columns",
+        "coalesce(sum(_copies), 0) AS total_rows", f"{distinct} AS distinct_keys",
+        f"coalesce(sum(_copies), 0) - {distinct} AS excess_rows")
 
 
-def profile_keys(tables: dict[str, DataFrame], keys: list[tuple[str, list[str]]]) -> DataFrame:
-    return _union([profile_key(name, tables[name], columns) for name, columns in keys])
+def profile_keys(tables: Mapping[str, DataFrame], keys: list[tuple[str, list[str]]]) -> DataFrame:
+    return union_all([profile_key(name, tables[name], columns) for name, columns in keys])
 
 
 def fk_profile(child: DataFrame, column: str, parent: DataFrame, parent_column: str, label: str) -> DataFrame:
     """Distinct foreign-key values, how many have no parent, and their share."""
-    values = child.filter(F.col(column).isNotNull()).select(F.col(column).alias("_key")).distinct()
-    known = (
-        parent.filter(F.col(parent_column).isNotNull())
-        .select(F.col(parent_column).alias("_key")).distinct().withColumn("_known", F.lit(True))
-    )
-    return values.join(known, "_key", "left").agg(
-        F.count("*").alias("distinct_values"), F.count_if(F.col("_known").isNull()).alias("orphan_values"),
-    ).select(
-        F.lit(label).alias("reference"), "distinct_values", "orphan_values",
-        percent(F.col("orphan_values"), F.col("distinct_values"), 3).alias("orphan_pct"),
+    values = child.select(F.col(column).alias("_key")).na.drop().distinct()
+    known = parent.select(F.col(parent_column).alias("_key")).na.drop().distinct().withColumn("_known", F.lit(True))
+    return (
+        values.join(known, "_key", "left")
+        .selectExpr("count(*) AS distinct_values", "count_if(_known IS NULL) AS orphan_values")
+        .selectExpr(f"'{label}' AS reference", "distinct_values", "orphan_values",
+                    percent("orphan_values", "distinct_values", 3) + " AS orphan_pct")
     )
 
 
-def fk_orphans(tables: dict[str, DataFrame], references: list[tuple[str, str, str, str]]) -> DataFrame:
+def fk_orphans(tables: Mapping[str, DataFrame], references: list[tuple[str, str, str, str]]) -> DataFrame:
     """Profile of each (child table, column, parent table, column)."""
-    return _union([
+    return union_all([
         fk_profile(tables[child], column, tables[parent], parent_column, f"{child}.{column} -> {parent}.{parent_column}")
         for child, column, parent, parent_column in references
     ])
 
 
-def childless(parents: DataFrame, key: str, children: dict[str, DataFrame]) -> DataFrame:
+def childless(parents: DataFrame, key: str, children: Mapping[str, DataFrame]) -> DataFrame:
     """How many distinct parent keys never occur in each child table."""
     keys = parents.select(key).distinct()
-    return _union([
+    return union_all([
         keys.join(child.select(key).distinct(), key, "left_anti")
         .agg(F.count("*").alias("orders_without"))
         .select(F.lit(name).alias("child_table"), "orders_without")
@@ -100,10 +80,10 @@ def childless(parents: DataFrame, key: str, children: dict[str, DataFrame]) -> D
     ])
 
 
-def zip_coverage(places: DataFrame, zip_column: str, owners: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+def zip_coverage(places: DataFrame, zip_column: str, owners: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Distinct zip prefixes of each owner table that have no place, with their total."""
     known = places.select(F.col(zip_column).alias("_zip")).distinct().withColumn("_known", F.lit(True))
-    return _union([
+    return union_all([
         df.select(F.col(column).alias("_zip")).distinct().join(known, "_zip", "left")
         .agg(F.count_if(F.col("_known").isNull()).alias("missing_zips"), F.count("*").alias("total_zips"))
         .select(F.lit(name).alias("table_name"), "missing_zips", "total_zips")
@@ -125,39 +105,35 @@ def date_logic(orders: DataFrame) -> DataFrame:
     )
 
 
-def _sanity(df: DataFrame, table: str, measures: list[tuple[str, str, Column]]) -> DataFrame:
-    """min, max and implausible count per (column, rule, condition), one pass over the table."""
+def _sanity(df: DataFrame, table: str, measures: list[tuple[str, str, str]]) -> DataFrame:
+    """min, max and implausible count per (column, rule, failing condition), one pass over the table."""
     aggs = []
-    for i, (column, _, condition) in enumerate(measures):
-        aggs += [F.min(column).alias(f"min{i}"), F.max(column).alias(f"max{i}"), F.count_if(condition).alias(f"bad{i}")]
-    lines = [
-        F.struct(
-            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(rule).alias("rule"),
-            F.col(f"min{i}").cast("decimal(28,9)").alias("min_value"),
-            F.col(f"max{i}").cast("decimal(28,9)").alias("max_value"), F.col(f"bad{i}").alias("violations"),
-        )
+    for i, (column, _, failing) in enumerate(measures):
+        aggs += [f"min({column}) AS lo{i}", f"max({column}) AS hi{i}", f"count_if({failing}) AS bad{i}"]
+    return to_lines(df.selectExpr(*aggs), [
+        {"table_name": f"'{table}'", "column_name": f"'{column}'", "rule": f"'{rule}'",
+         "min_value": f"CAST(lo{i} AS DECIMAL(28,9))", "max_value": f"CAST(hi{i} AS DECIMAL(28,9))",
+         "violations": f"bad{i}"}
         for i, (column, rule, _) in enumerate(measures)
-    ]
-    return _stacked(df.agg(*aggs), lines)
+    ])
 
 
 def numeric_sanity(items: DataFrame, payments: DataFrame, products: DataFrame) -> DataFrame:
     """Non-positive prices, negative freight, empty payments, zero instalments, weights and dimensions."""
     sides = ["product_length_cm", "product_height_cm", "product_width_cm"]
-    any_zero = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == 0, F.lit(False)) for c in sides])
     shortest = products.withColumn("any_dimension", F.least(*sides))
-    return _union([
+    return union_all([
         _sanity(items, "order_items", [
-            ("price", "<= 0", F.col("price") <= 0),
-            ("freight_value", "< 0", F.col("freight_value") < 0),
+            ("price", "<= 0", "price <= 0"),
+            ("freight_value", "< 0", "freight_value < 0"),
         ]),
         _sanity(payments, "order_payments", [
-            ("payment_value", "<= 0", F.col("payment_value") <= 0),
-            ("payment_installments", "= 0", F.col("payment_installments") == 0),
+            ("payment_value", "<= 0", "payment_value <= 0"),
+            ("payment_installments", "= 0", "payment_installments = 0"),
         ]),
         _sanity(shortest, "products", [
-            ("product_weight_g", "= 0", F.col("product_weight_g") == 0),
-            ("any_dimension", "= 0", any_zero),
+            ("product_weight_g", "= 0", "product_weight_g = 0"),
+            ("any_dimension", "= 0", " OR ".join(f"coalesce({c} = 0, false)" for c in sides)),
         ]),
     ])
 
@@ -166,37 +142,32 @@ def column_ranges(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
     """Non-NULL count, minimum and maximum of each column, as text with its type."""
     aggs = []
     for i, c in enumerate(columns):
-        aggs += [F.count(c).alias(f"n{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}")]
-    lines = [
-        F.struct(
-            F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
-            F.lit(df.schema[c].dataType.simpleString()).alias("column_type"), F.col(f"n{i}").alias("non_null"),
-            F.col(f"lo{i}").cast("string").alias("min_value"), F.col(f"hi{i}").cast("string").alias("max_value"),
-        )
+        aggs += [f"count({c}) AS n{i}", f"min({c}) AS lo{i}", f"max({c}) AS hi{i}"]
+    types = dict(df.dtypes)
+    return to_lines(df.selectExpr(*aggs), [
+        {"table_name": f"'{name}'", "column_name": f"'{c}'", "column_type": f"'{types[c]}'", "non_null": f"n{i}",
+         "min_value": f"CAST(lo{i} AS STRING)", "max_value": f"CAST(hi{i} AS STRING)"}
         for i, c in enumerate(columns)
-    ]
-    return _stacked(df.agg(*aggs), lines)
+    ])
 
 
-def profile_ranges(tables: dict[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
-    return _union([column_ranges(name, tables[name], cols) for name, cols in columns.items()])
+def profile_ranges(tables: Mapping[str, DataFrame], columns: dict[str, list[str]]) -> DataFrame:
+    return union_all([column_ranges(name, tables[name], cols) for name, cols in columns.items()])
 
 
-def value_counts(tables: dict[str, DataFrame], columns: list[tuple[str, str]]) -> DataFrame:
+def value_counts(tables: Mapping[str, DataFrame], columns: list[tuple[str, str]]) -> DataFrame:
     """Every non-NULL value of the named columns with its count, as rows rather than a collected list."""
-    return _union([
-        tables[name].filter(F.col(c).isNotNull())
-        .groupBy(F.col(c).cast("string").alias("value")).agg(F.count("*").alias("value_count"))
-        .select(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), "value", "value_count")
+    return union_all([
+        tables[name].select(c).na.drop().groupBy(c).agg(F.count("*").alias("n")).selectExpr(
+            f"'{name}' AS table_name", f"'{c}' AS column_name", f"CAST({c} AS STRING) AS value", "n AS value_count")
         for name, c in columns
     ])
 
 
-def profile_shape(tables: dict[str, DataFrame]) -> DataFrame:
+def profile_shape(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row and column count per table."""
-    return _union([
-        df.agg(F.count("*").alias("row_count"))
-        .select(F.lit(name).alias("table_name"), "row_count", F.lit(len(df.columns)).alias("column_count"))
+    return union_all([
+        df.selectExpr(f"'{name}' AS table_name", "count(*) AS row_count", f"{len(df.columns)} AS column_count")
         for name, df in tables.items()
     ])
 
@@ -204,9 +175,8 @@ def profile_shape(tables: dict[str, DataFrame]) -> DataFrame:
 def geo_outside(geolocation: DataFrame) -> DataFrame:
     """Points outside the bounding box, count and percent, with the coordinate ranges."""
     outside = outside_box("geolocation_lat", "geolocation_lng", BOUNDING_BOX)
-    lat, lng = F.col("geolocation_lat"), F.col("geolocation_lng")
-    return geolocation.agg(
-        F.count("*").alias("total_points"), F.count_if(outside).alias("outside_points"),
-        F.min(lat).alias("min_lat"), F.max(lat).alias("max_lat"),
-        F.min(lng).alias("min_lng"), F.max(lng).alias("max_lng"),
-    ).withColumn("outside_pct", percent(F.col("outside_points"), F.col("total_points"), 3))
+    return geolocation.withColumn("_outside", outside).selectExpr(
+        "count(*) AS total_points", "count_if(_outside) AS outside_points",
+        "min(geolocation_lat) AS min_lat", "max(geolocation_lat) AS max_lat",
+        "min(geolocation_lng) AS min_lng", "max(geolocation_lng) AS max_lng",
+    ).selectExpr("*", percent("outside_points", "total_points", 3) + " AS outside_pct")

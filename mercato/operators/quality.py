@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.functions.exprs import instant, stamp
+from mercato.functions.frames import union_all
 
 NOT_NULL, EXPRESSION, UNIQUE, UNIQUE_COMBO = "not_null", "expression", "unique", "unique_combo"
 ACCEPTED, RELATIONSHIP = "accepted_values", "relationship"
@@ -44,111 +46,91 @@ class Check:
         return replace(self, warn_rate=warn_rate)
 
 
-_RESULT = ["check_name", "kind", "table_name", "column_name", "failures"]
-
+def _row_checks(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
+    """All not-null and expression checks of one table in a single pass; NULL never fails an expression."""
+    def failing(check: Check) -> str:
+        column = f"`{check.columns[0]}`"
+        return f"{column} IS NULL" if check.kind == NOT_NULL else f"NOT ({column} {check.expression})"
 
-def _labelled(df: DataFrame, check: Check, failures: Column) -> DataFrame:
-    return df.select(
-        F.lit(check.name).alias("check_name"), F.lit(check.kind).alias("kind"),
-        F.lit(check.table).alias("table_name"), F.lit(", ".join(check.columns)).alias("column_name"),
-        F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"),
-    )
+    counts = [f"count_if({failing(c)}) AS f{i}" for i, c in checks.items()]
+    pairs = ", ".join(f"{i}, f{i}" for i in checks)
+    return df.selectExpr(*counts, "count(*) AS rows").selectExpr(
+        f"stack({len(checks)}, {pairs}) AS (check_id, failures)", "rows")
 
 
-def _row_checks(df: DataFrame, checks: list[Check], count_rows: bool) -> DataFrame:
-    """All not-null and expression checks of one table in a single pass; NULL never fails an expression."""
-    def failing(check: Check) -> Column:
-        column = check.columns[0]
-        if check.kind == NOT_NULL:
-            return F.col(column).isNull()
-        return ~F.expr(f"`{column}` {check.expression}")
-
-    counts = [F.count_if(failing(c)).alias(f"f{i}") for i, c in enumerate(checks)]
-    totals = [F.count("*").alias("rows")] if count_rows else []
-    one_row = df.agg(*counts, *totals)
-    lines = [
-        F.struct(
-            F.lit(c.name).alias("check_name"), F.lit(c.kind).alias("kind"), F.lit(c.table).alias("table_name"),
-            F.lit(", ".join(c.columns)).alias("column_name"), F.col(f"f{i}").alias("failures"),
-        )
-        for i, c in enumerate(checks)
-    ]
-    return one_row.select(F.inline(F.array(*lines)), *(["rows"] if count_rows else []))
+def _group_check(check_id: int, groups: DataFrame, failures: str) -> DataFrame:
+    return groups.selectExpr(
+        f"{check_id} AS check_id", f"coalesce({failures}, 0) AS failures", "CAST(NULL AS BIGINT) AS rows")
 
 
-def _repeated(df: DataFrame, check: Check) -> DataFrame:
+def _repeated(check_id: int, df: DataFrame, check: Check) -> DataFrame:
     """Number of key values that occur more than once; a single NULL key is ignored."""
     keyed = df.select(*check.columns)
     if check.kind == UNIQUE:
         keyed = keyed.na.drop()
-    groups = keyed.groupBy(*check.columns).agg(F.count("*").alias("n"))
-    return _labelled(groups.agg(F.count_if(F.col("n") > 1).alias("failures")), check, F.col("failures"))
+    return _group_check(check_id, keyed.groupBy(*check.columns).count(), "count_if(count > 1)")
 
 
-def _unaccepted(df: DataFrame, check: Check) -> DataFrame:
+def _unaccepted(check_id: int, df: DataFrame, check: Check) -> DataFrame:
     """Number of distinct values outside the accepted set; NULL passes."""
     column = check.columns[0]
     strangers = df.filter(~F.col(column).isin(*check.values)).select(column).distinct()
-    return _labelled(strangers.agg(F.count("*").alias("failures")), check, F.col("failures"))
+    return _group_check(check_id, strangers, "count(*)")
 
 
-def _orphan_rows(child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
+def _orphan_rows(check_id: int, child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     """Number of child rows whose non-NULL foreign key has no parent.
 
     Child keys are counted before the join, so a hot key is one row in it.
     """
     column, parent_column = check.columns[0], check.parent[1]
-    keys = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("n"))
+    keys = child.select(F.col(column).alias("_key")).na.drop().groupBy("_key").count()
     known = parent.select(F.col(parent_column).alias("_key")).distinct()
-    return _labelled(keys.join(known, "_key", "left_anti").agg(F.sum("n").alias("failures")), check, F.col("failures"))
+    return _group_check(check_id, keys.join(known, "_key", "left_anti"), "sum(count)")
 
 
-def run_checks(tables: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
+def run_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One report row per check: name, kind, table, columns, failures, severity, threshold, status.
 
     Row-level checks of a table share one scan; a threshold given as a rate is applied to that table's
     row count.
     """
     parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = defaultdict(list)
-    for check in checks:
+    by_table: dict[str, dict[int, Check]] = defaultdict(dict)
+    for i, check in enumerate(checks):
+        table = tables[check.table]
         if check.kind in (NOT_NULL, EXPRESSION):
-            by_table[check.table].append(check)
+            by_table[check.table][i] = check
         elif check.kind in (UNIQUE, UNIQUE_COMBO):
-            parts.append(_repeated(tables[check.table], check))
+            parts.append(_repeated(i, table, check))
         elif check.kind == ACCEPTED:
-            parts.append(_unaccepted(tables[check.table], check))
+            parts.append(_unaccepted(i, table, check))
         elif check.kind == RELATIONSHIP:
-            parts.append(_orphan_rows(tables[check.table], tables[check.parent[0]], check))
+            parts.append(_orphan_rows(i, table, tables[check.parent[0]], check))
         else:
             raise ValueError(f"unknown check kind {check.kind!r}")
+    parts += [_row_checks(tables[name], row_checks) for name, row_checks in by_table.items()]
+    return _judged(union_all(parts), checks)
 
-    no_rows = F.lit(None).cast("bigint").alias("rows")
-    parts = [p.select(*_RESULT, no_rows) for p in parts]
-    for table, row_checks in by_table.items():
-        rated = any(c.warn_rate is not None for c in row_checks)
-        lines = _row_checks(tables[table], row_checks, rated)
-        parts.append(lines if rated else lines.select(*_RESULT, no_rows))
-    found = reduce(DataFrame.unionByName, parts)
-    return _judged(found, checks)
+
+def _text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _judged(found: DataFrame, checks: list[Check]) -> DataFrame:
-    severity, threshold = F.lit("error"), F.lit(0).cast("bigint")
-    for c in checks:
-        if c.severity != "warn":
-            continue
-        limit = (
-            F.floor(F.col("rows") * F.lit(c.warn_rate)) if c.warn_rate is not None else F.lit(c.warn_above)
-        ).cast("bigint")
-        mine = F.col("check_name") == c.name
-        severity = F.when(mine, F.lit("warn")).otherwise(severity)
-        threshold = F.when(mine, limit).otherwise(threshold)
-    status = F.when(F.col("failures") <= F.col("threshold"), "pass").otherwise(F.col("severity"))
-    return (
-        found.withColumns({"severity": severity, "threshold": threshold})
-        .withColumn("status", status).drop("rows")
+    """Label the failures and compare them with the thresholds; labels are one constant array, not a join."""
+    labels = ", ".join(
+        f"named_struct('check_name', {_text(c.name)}, 'kind', {_text(c.kind)}, 'table_name', {_text(c.table)}, "
+        f"'column_name', {_text(', '.join(c.columns))}, 'severity', {_text(c.severity)}, "
+        f"'warn_above', {c.warn_above}L, 'warn_rate', CAST({'NULL' if c.warn_rate is None else c.warn_rate} AS DOUBLE))"
+        for c in checks
     )
+    return found.selectExpr(f"array({labels})[check_id] AS label", "failures", "rows").selectExpr(
+        "label.check_name", "label.kind", "label.table_name", "label.column_name", "failures", "label.severity",
+        "CASE WHEN label.severity = 'error' THEN 0 "
+        "ELSE coalesce(floor(rows * label.warn_rate), label.warn_above) END AS threshold",
+    ).selectExpr("*", "CASE WHEN failures <= threshold THEN 'pass' ELSE severity END AS status")
 
 
 class QualityError(RuntimeError):

@@ -9,11 +9,11 @@ from mercato.constants import CANCELED, DELIVERED
 from mercato.functions.exprs import day_span, month_of, rate
 from mercato.operators.filters import (
     Selection,
+    filter_by_category,
     filter_by_date,
     filter_by_date_and_category,
     filter_by_date_and_state,
 )
-from mercato.plans.loaders import value_by_product
 from mercato.plans.star import ORDER_FLAGS
 
 EVERYTHING = Selection()
@@ -32,7 +32,7 @@ def _top(df: DataFrame, order: list[Column]) -> DataFrame:
 # sales
 
 def kpi_sales(payments: DataFrame, items: DataFrame, selection: Selection = EVERYTHING) -> DataFrame:
-    """Revenue collected, orders, and revenue per order.
+    """Revenue collected, orders, and revenue per order; ``payments`` by payment or summed by order.
 
     The two scopes differ on purpose: revenue follows the dates only, orders the dates and categories.
     """
@@ -47,7 +47,7 @@ def kpi_sales(payments: DataFrame, items: DataFrame, selection: Selection = EVER
 
 
 def monthly_revenue(payments: DataFrame, selection: Selection = EVERYTHING) -> DataFrame:
-    """Payments per month of purchase; months without any are absent."""
+    """Payments per month of purchase; months without any are absent. Takes payments as ``kpi_sales`` does."""
     return (
         filter_by_date(payments, selection)
         .groupBy(month_of("order_purchase_date").alias("month"))
@@ -56,17 +56,13 @@ def monthly_revenue(payments: DataFrame, selection: Selection = EVERYTHING) -> D
     )
 
 
-def top_categories(
-    fct_order_items: DataFrame, fct_orders: DataFrame, dim_products: DataFrame, dim_sellers: DataFrame,
-    selection: Selection = EVERYTHING,
-) -> DataFrame:
-    """The 15 categories with the highest line value; lines without a category are left out."""
-    by_product = value_by_product(
-        fct_order_items, fct_orders, dim_products, dim_sellers, lambda orders: filter_by_date(orders, selection))
-    kept = by_product.filter(F.col(CATEGORY).isNotNull())
-    if selection.categories and not isinstance(selection.categories, str):
-        kept = kept.filter(F.col(CATEGORY).isin(list(selection.categories)))
-    totals = kept.groupBy(CATEGORY).agg(F.sum("revenue").alias("revenue"))
+def top_categories(by_product: DataFrame, selection: Selection = EVERYTHING) -> DataFrame:
+    """The 15 categories with the highest line value, from ``value_by_product`` in the date range.
+
+    Lines without a category are left out.
+    """
+    named = by_product.filter(F.col(CATEGORY).isNotNull())
+    totals = filter_by_category(named, selection).groupBy(CATEGORY).agg(F.sum("revenue").alias("revenue"))
     return _top(totals, [F.desc("revenue"), F.asc(CATEGORY)])
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mercato.operators.filters import Selection, filter_by_date
+
 
 def load_orders(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """Orders with their customer's state."""
@@ -29,8 +31,9 @@ def load_order_items(
     """Order lines with order date, category, and the seller's current state."""
     return (
         fct_order_items.select("order_id", "product_id", "seller_id", "total_item_value")
-        .join(_current_sellers(dim_sellers), "seller_id")
+        # orders first: a date filter on the result shrinks the lines before the other joins
         .join(fct_orders.select("order_id", "order_purchase_date"), "order_id")
+        .join(_current_sellers(dim_sellers), "seller_id")
         .join(_categories(dim_products), "product_id", "left")
         .select("order_id", "order_purchase_date", "total_item_value", "product_category_name_english",
                 "seller_id", "seller_state")
@@ -107,19 +110,33 @@ def review_grain(fct_order_reviews: DataFrame, fct_orders: DataFrame) -> DataFra
     )
 
 
+def paid_by_order(fct_order_payments: DataFrame, fct_orders: DataFrame) -> DataFrame:
+    """Amount paid per order, with the order's date.
+
+    Summed before the join, on the join's own key: no further shuffle, and an order with very many payments
+    is one row in it.
+    """
+    paid = fct_order_payments.groupBy("order_id").agg(F.sum("payment_value").alias("payment_value"))
+    return paid.join(fct_orders.select("order_id", "order_purchase_date"), "order_id")
+
+
 def value_by_product(
-    fct_order_items: DataFrame, fct_orders: DataFrame, dim_products: DataFrame, dim_sellers: DataFrame, dated,
+    fct_order_items: DataFrame,
+    fct_orders: DataFrame,
+    dim_products: DataFrame,
+    dim_sellers: DataFrame,
+    selection: Selection = Selection(),
 ) -> DataFrame:
-    """Line value per product over orders kept by ``dated``, with the product's category.
+    """Line value per product and its category, over the lines ``load_order_items`` keeps in the date range.
 
     Summed before the product join, which then reuses the sum's partitioning: a best-seller reaches the
     join as one row.
     """
-    dates = dated(fct_orders.select("order_id", "order_purchase_date")).select("order_id")
+    dates = filter_by_date(fct_orders.select("order_id", "order_purchase_date"), selection).select("order_id")
     return (
         fct_order_items.select("order_id", "product_id", "seller_id", "total_item_value")
-        .join(_current_sellers(dim_sellers).select("seller_id"), "seller_id")
         .join(dates, "order_id")
+        .join(_current_sellers(dim_sellers).select("seller_id"), "seller_id")
         .groupBy("product_id").agg(F.sum("total_item_value").alias("revenue"))
         .join(_categories(dim_products), "product_id", "left")
     )

@@ -25,6 +25,8 @@ def get_spark(app_name: str = "mercato", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a hot key even where that costs one more shuffle, as between two joins on the same key
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.ui.enabled": "false",
         **conf,
     }

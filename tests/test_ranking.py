@@ -1,0 +1,54 @@
+import random
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from mercato.operators.ranking import global_ntile
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _random(spark, n, seed):
+    rng = random.Random(seed)
+    data = [
+        (f"p{i:05d}", rng.choice([1, 1, 1, 1, 1, 1, 1, 2, 3]), None if rng.random() < 0.1 else Decimal(rng.randrange(50)))
+        for i in range(n)
+    ]
+    rng.shuffle(data)
+    return spark.createDataFrame(data, "id string, orders long, value decimal(38,9)").withColumn(
+        "orders", F.col("orders").cast("decimal(38,9)"))
+
+
+@pytest.mark.parametrize("n,buckets", [(0, 4), (1, 4), (3, 4), (4, 4), (1003, 4), (1003, 7), (2, 1)])
+def test_equals_window_ntile(spark, n, buckets):
+    df = _random(spark, n, n + buckets)
+    tiled = global_ntile(df, buckets, {"f": "orders", "m": "value"}, "id")
+    expected = df.withColumns({
+        "f2": F.ntile(buckets).over(Window.orderBy("orders", "id")),
+        "m2": F.ntile(buckets).over(Window.orderBy(F.col("value").asc_nulls_first(), "id")),
+    })
+    joined = tiled.join(expected.select("id", "f2", "m2"), "id")
+    assert joined.count() == n
+    assert joined.filter("f <> f2 OR m <> m2").count() == 0
+
+
+def test_all_equal_values_split_evenly(spark):
+    df = spark.range(1000).select(F.format_string("%05d", "id").alias("id"), F.lit(1).alias("v"))
+    sizes = global_ntile(df, 4, {"q": "v"}, "id").groupBy("q").count().collect()
+    assert sorted(r["count"] for r in sizes) == [250] * 4
+
+
+def test_no_single_partition_sort(spark):
+    df = _random(spark, 500, 1)
+    tiled = global_ntile(df, 4, {"f": "orders"}, "id")
+    assert "SinglePartition" not in _plan(tiled) and "Window" not in _plan(tiled)
+
+
+def test_mixed_types_are_refused(spark):
+    df = spark.range(3).select(F.col("id").cast("string").alias("id"), F.col("id").alias("a"), F.lit(1.0).alias("b"))
+    with pytest.raises(TypeError):
+        global_ntile(df, 2, {"x": "a", "y": "b"}, "id")

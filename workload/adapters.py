@@ -12,6 +12,7 @@ from datetime import datetime
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from mercato.operators.history import first_snapshot, snapshot_check
 from mercato.plans import star
@@ -145,6 +146,10 @@ def given_tables(text: str) -> list[str]:
     return sorted({name for _, name, _, _ in string.Formatter().parse(text) if name})
 
 
+# reading a schema from the files costs a job, so each path is asked once
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class LazyTables(Mapping):
     """Named plans, each built on first use only: most queries need two or three."""
 
@@ -189,7 +194,10 @@ class Marketplace:
 
     def given(self, name: str) -> DataFrame:
         if name not in self._given:
-            self._given[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._given[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         return self._given[name]
 
     def adapter(self, name: str) -> DataFrame:

@@ -290,6 +290,15 @@ def _review_tables(m):
         "fct_order_reviews", "fct_orders", "fct_order_items", "dim_products", "dim_sellers")]
 
 
+def _paid(m):
+    return loaders.paid_by_order(m.marts["fct_order_payments"], m.marts["fct_orders"])
+
+
+def _by_product(m, selection=Selection()):
+    return loaders.value_by_product(
+        m.marts["fct_order_items"], m.marts["fct_orders"], m.marts["dim_products"], m.marts["dim_sellers"], selection)
+
+
 def _weighted(m):
     return loaders.weighted_reviews(*_review_tables(m))
 
@@ -337,28 +346,24 @@ def filter_date_category_list(m):
 
 @query
 def filter_options(m):
-    return filters.filter_options(_orders(m), _items(m))
+    return filters.filter_options(_orders(m), _by_product(m))
 
 
 # dashboard figures
 
 @query
 def kpi_sales(m):
-    return dashboard.kpi_sales(_payments(m), _items(m), DEFAULT)
+    return dashboard.kpi_sales(_paid(m), _items(m), DEFAULT)
 
 
 @query
 def monthly_revenue(m):
-    return dashboard.monthly_revenue(_payments(m))
+    return dashboard.monthly_revenue(_paid(m))
 
 
 @query
 def top_categories(m):
-    return dashboard.top_categories(*_review_tables_for_value(m), DEFAULT)
-
-
-def _review_tables_for_value(m):
-    return [m.marts[t] for t in ("fct_order_items", "fct_orders", "dim_products", "dim_sellers")]
+    return dashboard.top_categories(_by_product(m), DEFAULT)
 
 
 @query
