@@ -38,16 +38,17 @@ class VersionedTable:
         names = [status.getPath().getName() for status in self._fs.listStatus(folder)]
         return sorted(n for n in names if n.endswith(".json"))
 
-    def _commit_record(self) -> dict:
-        commits = self._commits()
-        if not commits:
-            return {"version": 0, "data": None, "applied": {}}
-        stream = self._fs.open(self._hadoop_path(f"{self.path}/_commits/{commits[-1]}"))
+    def _record(self, commit: str) -> dict:
+        stream = self._fs.open(self._hadoop_path(f"{self.path}/_commits/{commit}"))
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
+    def _commit_record(self) -> dict:
+        commits = self._commits()
+        return self._record(commits[-1]) if commits else {"version": 0, "data": None, "applied": {}}
+
     @property
     def version(self) -> int:
         return self._commit_record()["version"]
@@ -99,6 +100,15 @@ class VersionedTable:
         base = self.version
         return self.switch(self.stage(df), base, writer, batch_id)
 
+    def expire(self, keep: int = 2) -> int:
+        """Delete versions older than the newest ``keep``; returns how many. Unpublished folders stay."""
+        old = self._commits()[:-keep] if keep > 0 else []
+        for commit in old:
+            data = self._record(commit)["data"]
+            self._fs.delete(self._hadoop_path(f"{self.path}/{data}"), True)
+            self._fs.delete(self._hadoop_path(f"{self.path}/_commits/{commit}"), False)
+        return len(old)
+
 
 def write_mart(df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None) -> VersionedTable:
     """Full rebuild of one mart table.

@@ -97,6 +97,17 @@ def test_replayed_batch_is_skipped(spark, tmp_path, rows):
     assert rows(table.read()) == [(0,), (1,), (2,)]
 
 
+def test_expire_keeps_the_newest_versions(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("id", T.LongType())]))
+    for n in range(1, 5):
+        table.publish(spark.range(n))
+    staged = table.stage(spark.range(9))
+    assert table.expire(keep=2) == 2 and table.expire(keep=2) == 0
+    assert table.version == 4 and table.read().count() == 4
+    assert table.read_staged(staged).count() == 9
+    assert len(list((tmp_path / "t").glob("data-*"))) == 3
+
+
 def test_concurrent_writer_loses(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("id", T.LongType())]))
     staged = table.stage(spark.range(1))

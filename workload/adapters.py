@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 from mercato.operators.history import first_snapshot, snapshot_check
 from mercato.plans import star
 from mercato.plans.staging import build_staging, geo_by_zip
+from mercato.session import materialise
 
 RUN_1, RUN_2 = datetime(1998, 1, 1), datetime(2000, 1, 1)
 LOADED_AT = datetime(2024, 1, 1)
@@ -217,6 +218,16 @@ class Marketplace:
         first = first_snapshot(self.raw["sellers"], RUN_1)
         return snapshot_check(first, self.adapter("sellers_v2"), "seller_id", SELLER_COLS, RUN_2, validate=False)
 
+    @cached_property
+    def seller_lookup(self) -> DataFrame:
+        """The seller columns facts look up, written first as a build would: with a size read from files, the
+        planner broadcasts a small dimension at once instead of first shuffling the fact for it."""
+        return materialise(self.marts["dim_sellers"].select("seller_id", "seller_state", "is_current"), "sellers")
+
+    @cached_property
+    def product_lookup(self) -> DataFrame:
+        return materialise(self.marts["dim_products"].select("product_id", "product_category_name_english"), "products")
+
     def layers(self) -> LazyTables:
         """Staging tables as ``stg_<name>`` together with the marts."""
         return LazyTables({

@@ -13,7 +13,7 @@ from mercato.operators import filters, history, profiling, quality, upsert
 from mercato.operators.filters import ALL, Selection
 from mercato.plans import checks, dashboard, loaders, segments, staging, star
 from mercato.schemas import TABLES
-from mercato.session import scratch_path
+from mercato.session import materialise, scratch_path
 from mercato.sources.files import coerce_types, with_audit
 from mercato.sources.tables import VersionedTable, append_rows, write_mart
 from mercato.streaming import ingest
@@ -179,19 +179,24 @@ def geo_by_zip(m):
 
 # star schema
 
+def _places(m):
+    """Coordinates by zip, written once: its size is known when the dimension is planned."""
+    return materialise(m.geo, "geo-by-zip")
+
+
 @query
 def dim_customers(m):
-    return m.marts["dim_customers"]
+    return star.dim_customers(m.staging["customers"], _places(m))
 
 
 @query
 def dim_sellers(m):
-    return m.marts["dim_sellers"]
+    return star.dim_sellers(m.sellers_history, _places(m))
 
 
 @query
 def dim_products(m):
-    return m.marts["dim_products"]
+    return star.dim_products(m.staging["products"], m.staging["category_translation"])
 
 
 @query
@@ -265,8 +270,8 @@ def pit_join_backfill(m):
 
 def _items_at_time(m, **options):
     items = m.marts["fct_order_items"].select("order_id", "order_item_id", "seller_id", "shipping_limit_date", "price")
-    versions = history.dim_scd2(m.sellers_history).select(
-        "seller_id", "seller_zip_code_prefix", "seller_state", "valid_from", "valid_to", "is_current")
+    versions = materialise(history.dim_scd2(m.sellers_history).select(
+        "seller_id", "seller_zip_code_prefix", "seller_state", "valid_from", "valid_to", "is_current"), "versions")
     return history.pit_join(items, versions, "seller_id", "shipping_limit_date", **options)
 
 
@@ -278,7 +283,7 @@ def _orders(m):
 
 def _items(m):
     return loaders.load_order_items(
-        m.marts["fct_order_items"], m.marts["fct_orders"], m.marts["dim_products"], m.marts["dim_sellers"])
+        m.marts["fct_order_items"], m.marts["fct_orders"], m.product_lookup, m.seller_lookup)
 
 
 def _payments(m):
@@ -286,8 +291,8 @@ def _payments(m):
 
 
 def _review_tables(m):
-    return [m.marts[t] for t in (
-        "fct_order_reviews", "fct_orders", "fct_order_items", "dim_products", "dim_sellers")]
+    facts = [m.marts[t] for t in ("fct_order_reviews", "fct_orders", "fct_order_items")]
+    return [*facts, m.product_lookup, m.seller_lookup]
 
 
 def _paid(m):
@@ -296,7 +301,7 @@ def _paid(m):
 
 def _by_product(m, selection=Selection()):
     return loaders.value_by_product(
-        m.marts["fct_order_items"], m.marts["fct_orders"], m.marts["dim_products"], m.marts["dim_sellers"], selection)
+        m.marts["fct_order_items"], m.marts["fct_orders"], m.product_lookup, m.seller_lookup, selection)
 
 
 def _weighted(m):
