@@ -81,14 +81,20 @@ def merge(target: DataFrame, batch: DataFrame, spec: TableSpec, validate: bool =
 
 
 def merge_into(
-    table: VersionedTable, batch: DataFrame, spec: TableSpec, writer: str | None = None, batch_id: int = -1,
+    table: VersionedTable,
+    batch: DataFrame,
+    spec: TableSpec,
+    writer: str | None = None,
+    batch_id: int = -1,
+    validate: bool = True,
 ) -> int:
     """Merge ``batch`` into a versioned table, creating it on first use; returns its version.
 
     A batch the writer already published is skipped. The batch is written once to shared storage,
-    since the key check, the anti-join and the union each read it.
+    since the key check (left out where the batch is unique by construction), the anti-join and the union
+    each read it.
     """
     if writer is not None and table.applied(writer) >= batch_id:
         return table.version
     settled = materialise(batch.select(*spec.columns), f"batch-{spec.name}")
-    return table.publish(merge(table.read(), settled, spec), writer, batch_id)
+    return table.publish(merge(table.read(), settled, spec, validate), writer, batch_id)

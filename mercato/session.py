@@ -52,10 +52,12 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder, deleted when the session's JVM ends normally."""
+    """A new, empty folder in the shared folder, deleted when the session's JVM ends normally."""
     path = "/".join([shared_root(spark), "mercato-scratch", f"{label}-{uuid.uuid4().hex}"])
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
     return path
 
 
@@ -66,7 +68,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     checkpoint, the files keep column pruning, filter pushdown and a size the planner can trust.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch_path(spark, label) + "/data"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

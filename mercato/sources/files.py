@@ -32,13 +32,13 @@ def read_table(spark: SparkSession, spec: TableSpec, path: str | list[str]) -> D
     return enforce_required(raw, spec)
 
 
-def enforce_required(df: DataFrame, spec: TableSpec) -> DataFrame:
+def enforce_required(df: DataFrame, spec: TableSpec, *extra: str) -> DataFrame:
     """Raise on NULL in required columns, inside the scan: file reads ignore ``nullable=False``."""
     def checked(name: str) -> Column:
         message = F.lit(f"{spec.name}.{name} is required but NULL")
         return F.coalesce(F.col(name), F.raise_error(message)).alias(name)
 
-    return df.select(*[checked(c) if c in spec.required else F.col(c) for c in spec.columns])
+    return df.select(*[checked(c) if c in spec.required else F.col(c) for c in spec.columns], *extra)
 
 
 def coerce_types(df: DataFrame, timestamps: list[str] = (), integers: list[str] = ()) -> DataFrame:

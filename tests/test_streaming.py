@@ -1,5 +1,7 @@
 import time
 
+import pytest
+
 from mercato.schemas import TABLES
 from mercato.sources.tables import VersionedTable
 from mercato.streaming.ingest import batch_completeness, stream_upsert
@@ -18,13 +20,50 @@ def _table(spark, tmp_path):
     return VersionedTable(spark, str(tmp_path / "raw_sellers"), SPEC.schema)
 
 
-def test_files_merge_in_arrival_order(spark, tmp_path, rows):
+@pytest.mark.parametrize("files_per_trigger,versions", [(1, 3), (None, 1)])
+def test_files_merge_in_arrival_order(spark, tmp_path, rows, files_per_trigger, versions):
     landing, table = tmp_path / "landing", _table(spark, tmp_path)
     _land(landing, "z.csv", "s1,1,old,A", "s2,2,stay,B")
-    _land(landing, "a.csv", "s1,1,new,A")
-    version = stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck"))
-    assert version == 2
-    assert rows(table.read(), "seller_id", "seller_city") == [("s1", "new"), ("s2", "stay")]
+    _land(landing, "m.csv", "s1,1,newer,A", "s3,3,x,C")
+    _land(landing, "a.csv", "s1,1,newest,A")
+    version = stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck"), files_per_trigger)
+    assert version == versions
+    assert rows(table.read(), "seller_id", "seller_city") == [("s1", "newest"), ("s2", "stay"), ("s3", "x")]
+
+
+@pytest.mark.parametrize("files_per_trigger", [1, None])
+def test_full_rows_match_across_files_but_not_inside_one(spark, tmp_path, rows, files_per_trigger):
+    spec = TABLES["geolocation_raw"]
+    header = ",".join(spec.columns) + "\n"
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for name, lines in [("b.csv", ["1,0.5,0.5,c,S"] * 2 + ["2,0.5,0.5,c,S"]),
+                        ("a.csv", ["1,0.5,0.5,c,S"] * 3 + ["3,0.5,0.5,c,S"] * 2)]:
+        (landing / name).write_text(header + "".join(line + "\n" for line in lines))
+        time.sleep(1.1)
+    table = VersionedTable(spark, str(tmp_path / "raw_geo"), spec.schema)
+    stream_upsert(spark, str(landing), spec, table, str(tmp_path / "ck"), files_per_trigger)
+    assert rows(table.read(), "geolocation_zip_code_prefix") == [(1,), (1,), (2,), (3,), (3,)]
+
+
+def test_key_repeated_inside_one_file_raises(spark, tmp_path):
+    landing, table = tmp_path / "landing", _table(spark, tmp_path)
+    _land(landing, "one.csv", "s1,1,x,A", "s1,2,y,B")
+    with pytest.raises(Exception, match="repeated key"):
+        stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck"))
+    assert table.version == 0
+
+
+def test_text_with_newlines_streams(spark, tmp_path, rows):
+    spec = TABLES["order_reviews"]
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "r.csv").write_bytes(
+        b"\xef\xbb\xbf" + ",".join(spec.columns).encode()
+        + b'\nr1,o1,5,,"two\nlines",2018-01-01 00:00:00,2018-01-02 00:00:00\n')
+    table = VersionedTable(spark, str(tmp_path / "raw_reviews"), spec.schema)
+    stream_upsert(spark, str(landing), spec, table, str(tmp_path / "ck"))
+    assert rows(table.read(), "review_comment_title", "review_comment_message") == [(None, "two\nlines")]
 
 
 def test_a_second_run_loads_only_new_files(spark, tmp_path, rows):
@@ -48,15 +87,6 @@ def test_lost_progress_reloads_without_harm(spark, tmp_path, rows):
     assert rows(table.read()) == before
 
 
-def test_many_files_in_one_batch(spark, tmp_path):
-    landing, table = tmp_path / "landing", _table(spark, tmp_path)
-    for i in range(3):
-        landing.mkdir(exist_ok=True)
-        (landing / f"{i}.csv").write_text(HEADER + f"s{i},{i},c,A\n")
-    assert stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck"), files_per_trigger=None) == 1
-    assert table.read().count() == 3
-
-
 def test_completeness(spark, rows):
     expected = spark.createDataFrame([("a",), ("b",)], "table_name string")
     log = spark.createDataFrame([("a",), ("a",), ("other",)], "table_name string")

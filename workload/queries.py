@@ -91,8 +91,7 @@ def stream_upsert(m):
     table = VersionedTable(m.spark, f"{root}/raw_orders", spec.schema)
     for drop in ("orders", "orders_v2"):
         _land(m.adapter(drop), f"{root}/landing")
-        # the files of one drop hold each key once, so they merge as one batch
-        ingest.stream_upsert(m.spark, f"{root}/landing", spec, table, f"{root}/progress", files_per_trigger=None)
+        ingest.stream_upsert(m.spark, f"{root}/landing", spec, table, f"{root}/progress")
     return table.read()
 
 
