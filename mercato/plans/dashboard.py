@@ -220,3 +220,13 @@ def revenue_share_by_state(fct_orders: DataFrame, dim_customers: DataFrame, paym
     )
     total = by_state.agg(F.sum("revenue")).scalar()
     return by_state.withColumn("revenue_share", F.col("revenue").cast("double") / total.cast("double"))
+
+
+def headline_shares(fct_orders: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Late share of delivered orders and share of scores up to 2, reviews counted once (``review_grain``)."""
+    low = F.sum(F.when(F.col("review_score") <= 2, F.col("weight")).otherwise(F.lit(0)))
+    low_share = reviews.agg(low.cast("double") / F.sum("weight"))
+    delivered = fct_orders.filter(
+        (F.col("order_status") == DELIVERED) & F.col("order_delivered_customer_date").isNotNull())
+    late = delivered.agg(rate(F.col("is_late_delivery")).alias("late_rate_delivered"))
+    return late.withColumn("low_score_share", low_share.scalar())

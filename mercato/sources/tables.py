@@ -9,6 +9,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from mercato.schemas import TABLES
+
 
 class VersionedTable:
     """A parquet table rewritten into a new folder, then switched over by a small commit file.
@@ -128,6 +130,14 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
+    """Append each table below ``root``, parents before the tables that refer to them; returns the order."""
+    order = [name for name in TABLES if name in tables]
+    for name in order:
+        append_rows(tables[name].select(*TABLES[name].columns), f"{root.rstrip('/')}/{name}")
+    return order
+
+
 def register_views(layer: str, tables: dict[str, DataFrame]) -> None:
     """Expose a layer as temp views named ``<layer>_<table>``."""
     for name, df in tables.items():

@@ -177,3 +177,8 @@ def test_date_logic_counts(spark):
     row = profiling.date_logic(df).collect()[0]
     assert row["first_purchase"] == datetime(2017, 1, 2)
     assert tuple(row)[2:] == (1, 1, 1, 1)
+
+
+def test_duplicates_of_signed_zero_and_nan(spark, rows):
+    t = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (1.0,), (None,), (None,)], "x double")
+    assert rows(profiling.profile_duplicates({"t": t, "empty": t.limit(0)})) == [("empty", 0, 0), ("t", 7, 3)]

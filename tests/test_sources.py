@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from mercato.schemas import TABLES, TableSpec, spec_for_file
 from mercato.session import materialise, shared_root
 from mercato.sources.files import coerce_types, read_table, with_audit
-from mercato.sources.tables import VersionedTable, append_rows, register_views, write_mart
+from mercato.sources.tables import VersionedTable, append_rows, append_tables, register_views, write_mart
 
 PAIR = TableSpec("pair", "pair", T.StructType([
     T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType(), True)]), ("a",), multiline=True)
@@ -144,3 +144,10 @@ def test_append_doubles_and_views(spark, tmp_path):
 def test_materialise_uses_the_shared_folder(spark):
     df = materialise(spark.range(3), "probe")
     assert all(shared_root(spark).split(":")[-1] in f for f in df.inputFiles())
+
+
+def test_parents_load_first(spark, tmp_path, small):
+    m = small(spark)
+    order = append_tables({t: m.raw[t] for t in ("order_items", "orders", "customers", "sellers", "products")}, str(tmp_path))
+    assert order == ["customers", "sellers", "products", "orders", "order_items"]
+    assert spark.read.parquet(str(tmp_path / "orders")).count() == 1500

@@ -416,6 +416,11 @@ WHERE {_YEAR} GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15""",
 SELECT customer_state, revenue, round(CAST(revenue AS DOUBLE) / CAST(sum(revenue) OVER () AS DOUBLE), 6) AS revenue_share
 FROM (SELECT customer_state, CAST(sum(payment_value) AS DECIMAL(38,9)) AS revenue
  FROM raw_order_payments JOIN l_orders USING (order_id) GROUP BY 1)""",
+        "headline_shares": """
+SELECT round(avg(CASE WHEN is_late_delivery THEN 1 ELSE 0 END), 6) AS late_rate_delivered,
+ round((SELECT count(*) FILTER (review_score < 3) / count(*) FROM raw_order_reviews JOIN raw_orders USING (order_id)), 6)
+  AS low_score_share
+FROM f_orders WHERE order_status = 'delivered' AND order_delivered_customer_date IS NOT NULL""",
         "rfm_per_customer": "SELECT * FROM persons",
         "rfm_scored": "SELECT * FROM scored",
         "rfm_segments": "SELECT * FROM segmented",

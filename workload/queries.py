@@ -449,6 +449,12 @@ def revenue_share_by_state(m):
         m.marts["fct_orders"], m.marts["dim_customers"], m.marts["fct_order_payments"])
 
 
+@query
+def headline_shares(m):
+    reviews = loaders.review_grain(m.marts["fct_order_reviews"], m.marts["fct_orders"])
+    return dashboard.headline_shares(m.marts["fct_orders"], reviews)
+
+
 # segments
 
 def _per_customer(m):
