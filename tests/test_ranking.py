@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from mercato.operators import ranking
 from mercato.operators.ranking import global_ntile
+from mercato.session import materialise
 
 
 def _plan(df):
@@ -23,10 +25,14 @@ def _random(spark, n, seed):
         "orders", F.col("orders").cast("decimal(38,9)"))
 
 
-@pytest.mark.parametrize("n,buckets", [(0, 4), (1, 4), (3, 4), (4, 4), (1003, 4), (1003, 7), (2, 1)])
-def test_equals_window_ntile(spark, n, buckets):
-    df = _random(spark, n, n + buckets)
-    tiled = global_ntile(df, buckets, {"f": "orders", "m": "value"}, "id")
+@pytest.mark.parametrize("n,buckets,sample_rows", [
+    (0, 4, 20000), (1, 4, 20000), (3, 4, 20000), (4, 4, 20000), (1003, 4, 20000), (1003, 7, 20000), (2, 1, 20000),
+    # small samples force the narrowed search, and the smallest ones make it miss
+    (5001, 4, 400), (5001, 10, 200), (4000, 4, 900), (3000, 4, 5), (3000, 4, 1),
+])
+def test_equals_window_ntile(spark, n, buckets, sample_rows):
+    df = materialise(_random(spark, n, n + buckets), "people")
+    tiled = global_ntile(df, buckets, {"f": "orders", "m": "value"}, "id", sample_rows)
     expected = df.withColumns({
         "f2": F.ntile(buckets).over(Window.orderBy("orders", "id")),
         "m2": F.ntile(buckets).over(Window.orderBy(F.col("value").asc_nulls_first(), "id")),
@@ -36,6 +42,14 @@ def test_equals_window_ntile(spark, n, buckets):
     assert joined.filter("f <> f2 OR m <> m2").count() == 0
 
 
+def test_a_stretch_that_misses_falls_back(spark, monkeypatch):
+    """With no margin the sample is wrong almost surely; counts notice and the whole order is searched."""
+    monkeypatch.setattr(ranking, "isqrt", lambda n: -1)
+    df = materialise(_random(spark, 2000, 5), "people")
+    sizes = global_ntile(df, 4, {"q": "orders"}, "id", 50).groupBy("q").count().collect()
+    assert sorted(r["count"] for r in sizes) == [500] * 4
+
+
 def test_all_equal_values_split_evenly(spark):
     df = spark.range(1000).select(F.format_string("%05d", "id").alias("id"), F.lit(1).alias("v"))
     sizes = global_ntile(df, 4, {"q": "v"}, "id").groupBy("q").count().collect()
