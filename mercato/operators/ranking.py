@@ -14,6 +14,7 @@ from mercato.session import materialise
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row index within it below
 SAMPLE_ROWS = 20_000
+SORT_UP_TO = 1_000_000  # below this many rows, sorting all pairs is cheaper than narrowing the search
 
 Place = tuple  # (value or None, tie-break)
 
@@ -32,38 +33,34 @@ class _Span:
 
 @dataclass(frozen=True)
 class _Order:
-    """Ascending order over (value, tie-break), NULL values first."""
+    """Ascending order over (value, tie-break): structs compare field by field, NULL values first."""
 
-    value: Column
-    tie: Column
+    place: Column
     value_type: DataType
 
-    def after(self, place: Place) -> Column:
+    def literal(self, place: Place) -> Column:
         value, tie = place
-        later_tie = self.tie > F.lit(tie)
-        if value is None:
-            return self.value.isNotNull() | later_tie
-        edge = F.lit(value).cast(self.value_type)
-        return F.coalesce((self.value > edge) | ((self.value == edge) & later_tie), F.lit(False))
+        return F.struct(F.lit(value).cast(self.value_type).alias("value"), F.lit(tie).alias("tie"))
 
-    def at(self, place: Place) -> Column:
-        value, tie = place
-        return self.value.eqNullSafe(F.lit(value).cast(self.value_type)) & (self.tie == F.lit(tie))
+    def after(self, place: Place) -> Column:
+        return self.place > self.literal(place)
 
     def before(self, place: Place) -> Column:
-        return ~self.after(place) & ~self.at(place)
+        return self.place < self.literal(place)
 
     def within(self, span: _Span) -> Column:
-        inside = F.lit(True)
-        if span.low is not None:
-            inside = inside & ~self.before(span.low)
-        if span.high is not None:
-            inside = inside & ~self.after(span.high)
-        return inside
+        low = F.lit(True) if span.low is None else self.place >= self.literal(span.low)
+        high = F.lit(True) if span.high is None else self.place <= self.literal(span.high)
+        return low & high
 
 
 def global_ntile(
-    df: DataFrame, buckets: int, scores: dict[str, str], tie_break: str, sample_rows: int = SAMPLE_ROWS,
+    df: DataFrame,
+    buckets: int,
+    scores: dict[str, str],
+    tie_break: str,
+    sort_up_to: int = SORT_UP_TO,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """Add one NTILE column per entry of ``scores`` (new column -> ascending order column).
 
@@ -71,24 +68,26 @@ def global_ntile(
     (unique, not NULL). Only the last row of each bucket has to be found; every score is then a comparison
     with those few rows, so ``df`` itself is neither sorted, shuffled nor joined.
 
-    On a large table a sample proposes a narrow stretch around each of those rows, an exact count confirms
-    that the row lies in it, and only the stretch is sorted; a stretch that does not hold is replaced by the
-    whole order. Sorting is by range over all tasks and includes the tie-break, so a value shared by most
-    rows still splits evenly. ``df`` is read several times and should be a table. Order columns must share
-    one type.
+    Up to ``sort_up_to`` rows, all (value, tie-break) pairs are sorted. Beyond, a sample proposes a narrow
+    stretch around each wanted row, an exact count confirms that the row lies in it, and only the stretch is
+    sorted; a stretch that does not hold is replaced by the whole order. Sorting is by range over all tasks
+    and includes the tie-break, so a value shared by most rows still splits evenly. ``df`` is read several
+    times and should be a table. Order columns must share one type.
     """
     types = {df.schema[c].dataType for c in scores.values()}
     if len(types) != 1:
         raise TypeError(f"order columns differ in type: {types}")
     (value_type,) = types
-    orders = [_Order(F.col(c), F.col(tie_break), value_type) for c in scores.values()]
+    orders = [
+        _Order(F.struct(F.col(c).alias("value"), F.col(tie_break).alias("tie")), value_type) for c in scores.values()]
 
     total = df.count()
     ranks = sorted({r for r in _last_ranks(total, buckets) if 0 < r < total})
     if not ranks:
         return df.withColumns({name: F.lit(1) for name in scores})
-    spans = [_Span(i, ranks) for i in range(len(orders))]
-    if total > 4 * sample_rows:
+    if total <= sort_up_to:
+        spans = [_Span(i, ranks) for i in range(len(orders))]
+    else:
         spans = _narrowed(df, orders, total, ranks, sample_rows)
     _find(df, orders, spans)
 
@@ -108,8 +107,8 @@ def _last_ranks(total: int, buckets: int) -> list[int]:
 
 def _narrowed(df: DataFrame, orders: list[_Order], total: int, ranks: list[int], sample_rows: int) -> list[_Span]:
     """One stretch per score and rank, proposed by a sample and confirmed by exact counts."""
-    columns = [F.struct(o.value.alias("value"), o.tie.alias("tie")).alias(f"s{i}") for i, o in enumerate(orders)]
-    sample = df.select(*columns).sample(sample_rows / total, seed=1).collect()
+    columns = [o.place.alias(f"s{i}") for i, o in enumerate(orders)]
+    sample = df.select(*columns).sample(min(1.0, sample_rows / total), seed=1).collect()
     size = len(sample)
     margin = 2 * isqrt(size) + 1  # four standard deviations of a sampled rank
     spans = []
@@ -143,13 +142,13 @@ def _narrowed(df: DataFrame, orders: list[_Order], total: int, ranks: list[int],
 def _find(df: DataFrame, orders: list[_Order], spans: list[_Span]) -> None:
     """Sort the rows of each span and look its ranks up by position."""
     rows = [
-        F.when(orders[s.score].within(s), F.struct(
-            F.lit(j).alias("span"), orders[s.score].value.alias("value"), orders[s.score].tie.alias("tie")))
+        F.when(orders[s.score].within(s), F.struct(F.lit(j).alias("span"), orders[s.score].place.alias("place")))
         for j, s in enumerate(spans)
     ]
     by = ["span", "value", "tie"]
     placed = (
-        df.select(F.inline(F.filter(F.array(*rows), lambda r: r.isNotNull())))
+        df.select(F.explode(F.array(*rows)).alias("row")).filter("row IS NOT NULL")
+        .select("row.span", "row.place.value", "row.place.tie")
         .repartitionByRange(*by).sortWithinPartitions(*by)
         .withColumn("position", F.monotonically_increasing_id())
     )
