@@ -80,7 +80,8 @@ def append_load(m):
 
 def _land(df: DataFrame, folder: str) -> None:
     """Drop files into a landing folder as a producer would."""
-    df.write.mode("append").option("header", True).option("escape", '"').csv(folder)
+    full = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # the writer's default keeps milliseconds only
+    df.write.mode("append").options(header="true", escape='"', timestampNTZFormat=full).csv(folder)
 
 
 @query
