@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from mercato.llm.common import driver_file, map_values
 
 _NO_PAIR = 1 << 62
-KEPT_PIECES = 1 << 18  # pieces whose tokens a worker remembers; beyond that it starts afresh
+KEPT_PIECES = 1 << 20  # pieces of up to 32 bytes whose tokens a worker remembers (some 200 MB); beyond that it starts afresh
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -96,7 +96,7 @@ class _Pieces(dict):
         packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(self) >= KEPT_PIECES:
             self.clear()
-        if len(raw) <= 64:
+        if len(raw) <= 32:
             self[piece] = packed
         return packed
 

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bpe, url_filter
+from mercato.llm import bpe, pii, secrets, simhash, token_files, url_filter
 from mercato.llm.common import ship_package, table
+from mercato.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_RANKS, WORD_TOKENIZER = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
@@ -32,6 +33,15 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _of_kind(spans: str, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
+@query
+def op1_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_byte_bpe(spark, sf_dir):
     import public_tokenizers
@@ -43,6 +53,18 @@ def op4_byte_bpe(spark, sf_dir):
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op5_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find_secrets(
+        docs, ["doc_id"], "text", owner=F.col("source"), repository=F.concat_ws("/", "source", "lang"))
+    base = F.filter("secrets", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return found.withColumn("base", base).select(
+        "doc_id", *(_of_kind("base", kind) for kind in secrets.BASE_KINDS),
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("secrets").alias("spans"),
+        F.size(F.filter("secrets", lambda s: s["live"])).cast("bigint").alias("n_live"))
+
+
 @query
 def op8_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -50,6 +72,24 @@ def op8_url_filter(spark, sf_dir):
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query
+def op9_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    folder = scratch_path(spark, "token-files")
+    index = token_files.write_token_files(
+        table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_TOKENIZER))
+    return token_files.read_checksums(index, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op10_pii(spark, sf_dir):
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("base", F.filter("pii", lambda s: s["plain"])).select(
+        "doc_id", *(_of_kind("base", kind) for kind in pii.KINDS),
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("pii").alias("spans"))
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op8_url_filter": r"""

@@ -60,20 +60,20 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     leaves the default. Every distinct URL is expanded once, so a hot URL or host costs its distinct paths only.
     """
     lookup = rule_table(rules)
-    # one short row: the path lengths that rules have, so that prefixes are cut only there
-    lengths = F.broadcast(lookup.agg(F.array_sort(F.collect_set(F.length("rule_path"))).alias("lengths")))
+    # the path lengths that rules have, so that prefixes are cut only there: no more than the longest path has signs
+    lengths = sorted(r["n"] for r in lookup.select(F.length("rule_path").alias("n")).distinct().collect())
 
     urls = (
         pages.select(F.col(url_col).alias("judged")).filter("judged IS NOT NULL").distinct()
         .select("judged", host_of(F.col("judged")).alias("host"), path_of(F.col("judged")).alias("path"))
         .filter("host <> ''")
-        .withColumn("one", F.lit(1)).join(lengths.withColumn("one", F.lit(1)), "one")
     )
     labels = F.split("host", r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     prefixes = F.transform(
-        F.filter("lengths", lambda n: n <= F.length("path")), lambda n: F.left(F.col("path"), n))
+        F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length("path")),
+        lambda n: F.left(F.col("path"), n))
     expressions = (
         urls.select("judged", F.explode(suffixes).alias("suffix"), prefixes.alias("prefixes"))
         .select("judged", "suffix", F.explode("prefixes").alias("prefix"))

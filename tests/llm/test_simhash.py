@@ -1,0 +1,124 @@
+"""Fingerprints, Golay keys and components against brute force."""
+
+import random
+import re
+
+import numpy as np
+import xxhash
+
+from mercato.llm import simhash
+from mercato.llm.components import components
+
+
+def plain_fingerprint(text):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    grams = [" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(nodes, edges):
+    least = {n: n for n in nodes}
+    moved = True
+    while moved:
+        moved = False
+        for a, b in edges:
+            low = min(least[a], least[b])
+            if (least[a], least[b]) != (low, low):
+                least[a] = least[b] = low
+                moved = True
+    return least
+
+
+def test_fingerprint():
+    texts = [None, "", "  \n", "One", "one two", "A b c", "é B c d e f g", "x y z " * 50, "\x1cA \x0bB\x85 c d"]
+    for text in texts:
+        assert simhash.fingerprint(text) % (1 << 64) == plain_fingerprint(text), text
+
+
+def test_chunked_bits(monkeypatch):
+    text = " ".join(random.Random(1).choices("abcdefgh", k=1000))
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "_CHUNK", 7)
+    assert simhash.fingerprint(text) == whole
+
+
+def test_golay_code_has_distance_eight_and_neighbours_share_a_codeword():
+    rng = np.random.default_rng(0)
+    remainder, _, counts = simhash._golay()
+    words = np.arange(4096) << 12
+    assert sorted(set(counts)) == [1, 6]
+    sample = rng.integers(0, 1 << 24, 3000)
+    row, code, first = simhash.codewords(sample)
+    found = {i: set(code[row == i]) for i in range(len(sample))}
+    for i, word in enumerate(sample[:200]):
+        assert len(found[i]) in (1, 6)
+        near = np.array([word ^ (1 << b) for b in range(24)])
+        r, c, _ = simhash.codewords(near)
+        for j in range(24):
+            assert found[i] & set(c[r == j])
+    assert (words >= 0).all() and first.sum() == len(sample)
+
+
+def test_links_are_those_of_brute_force(spark):
+    rng = random.Random(7)
+    values = {0, (1 << 64) - 1}
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        values.add(base)
+        for _ in range(6):
+            flipped = base
+            for bit in rng.sample(range(64), rng.randint(1, 5)):
+                flipped ^= 1 << bit
+            values.add(flipped)
+    signed = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    df = spark.createDataFrame([(v,) for v in signed], "fp long")
+    got = sorted((r["src"], r["dst"]) for r in simhash.links(df).collect())
+    want = sorted((a, b) for i, a in enumerate(signed) for b in signed[i + 1:] if ((a ^ b) % (1 << 64)).bit_count() <= 3)
+    assert got == want and len(want) > 100
+
+
+def test_components_of_a_long_path_and_a_hub(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 60)] + [(300, 299), (300, 300)]
+    df = spark.createDataFrame(edges, "src long, dst long")
+    want = groups({n for e in edges for n in e}, edges)
+    got = {r["node"]: r["root"] for r in components(df).collect()}
+    assert got == {n: low for n, low in want.items() if n != low}
+
+
+TEXTS = [
+    (10, "the quick brown fox jumps over the lazy dog " * 5), (4, "the quick brown fox jumps over the lazy dog " * 5),
+    (4, "the quick brown fox jumps over the lazy dog " * 5), (7, None), (8, ""), (9, " \n"), (None, "all by itself here"),
+    (20, "all by itself here"), (30, "something else entirely, never seen"), (None, "only without an id")]
+
+
+def test_near_duplicates(spark, docs):
+    rows = simhash.near_duplicates(docs(TEXTS)).collect()
+    assert len(rows) == len(TEXTS)
+    assert {(r["doc_id"], r["component_id"]) for r in rows} == {
+        (10, 4), (4, 4), (7, 7), (8, 7), (9, 7), (None, 20), (20, 20), (30, 30), (None, None)}
+    assert {r["fingerprint"] for r in rows if r["doc_id"] in (7, 8, 9)} == {"0" * 16}
+    assert simhash.near_duplicates(docs([])).count() == 0
+
+
+def test_keep_one(spark, docs):
+    kept = simhash.keep_one(docs(TEXTS))
+    assert kept.columns == docs(TEXTS).columns
+    assert sorted((r["doc_id"] or -1, r["text"] or "") for r in kept.collect()) == sorted([
+        (4, TEXTS[0][1]), (7, ""), (20, "all by itself here"), (30, TEXTS[8][1]), (-1, "only without an id")])
+
+
+def test_query_is_brute_force(spark):
+    import duckdb
+
+    from mercato.llm.queries import all_queries
+
+    folder = "/root/testdata/sf0.001"
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet'").fetchall()
+    prints = {i: plain_fingerprint(t) for i, t in rows}
+    ids = sorted(prints)
+    edges = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if (prints[a] ^ prints[b]).bit_count() <= 3]
+    least = groups(ids, edges)
+    got = sorted(tuple(r) for r in all_queries()["op1_simhash"](spark, folder).collect())
+    assert got == [(i, f"{prints[i]:016x}", least[i]) for i in ids]

@@ -1,0 +1,135 @@
+"""Personal data and secrets against plain regular expressions."""
+
+import hashlib
+import re
+
+import duckdb
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from mercato.llm import pii, queries, secrets
+
+SF = "/root/testdata/sf0.001"
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+
+
+def luhn(digits):
+    values = [int(d) for d in digits][::-1]
+    return sum(v if i % 2 == 0 else sum(divmod(2 * v, 10)) for i, v in enumerate(values)) % 10 == 0
+
+
+def plain_pii(text):
+    spans = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            spans.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 16 <= len(digits) <= 19 and luhn(digits):
+            spans.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 8 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            spans.append(("phone", *m.span()))
+    return spans
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(alphabet="ab1.@-+ 4é2()", max_size=60))
+def test_plain_spans(text):
+    assert sorted(pii.plain_spans(text)) == sorted(plain_pii(text))
+
+
+def test_cards():
+    for text in ("4111 1111 1111 1111", "x4111-1111-1111-1111y", "4111111111111112", "41111111111111111111111"):
+        assert pii.plain_spans(text) == plain_pii(text)
+
+
+def test_disguises():
+    def added(text):
+        return [(k, text[a:b]) for k, a, b in pii.all_spans(text)[1]]
+
+    assert added("write to jane (at) mail [dot] org now") == [("email", "jane (at) mail [dot] org")]
+    assert added("write to jane at mail dot example dot com now") == [("email", "jane at mail dot example dot com")]
+    assert added("jаne@mail.org") == [("email", "jаne@mail.org")]  # a Cyrillic letter
+    assert added("call plus four nine one seven six five five five one two, thanks") == [
+        ("phone", "plus four nine one seven six five five five one two")]
+    assert added("１２７.０.０.１ is home") == [("ip", "１２７.０.０.１")]
+    assert added("4111​1111​1111​1111") == [("card", "4111​1111​1111​1111")]
+    for clean in ("we met at noon dot matrix", "one two three", "she is at home", "АВС и ещё", "é à ü ß ñ ¿", "x (at) y"):
+        assert added(clean) == []
+
+
+def test_plain_spans_stay_beside_disguised_ones():
+    text = "a@b.co, jane (at) mail (dot) org, +1 (555) 123-4567"
+    plain, added = pii.all_spans(text)
+    assert plain == plain_pii(text) and [k for k, *_ in added] == ["email"]
+
+
+def test_mask():
+    assert pii.mask_text("mail a@b.co or 10.0.0.1!") == "mail <EMAIL> or <IP>!"
+    assert pii.mask_text(None) is None and pii.mask_text("") == ""
+
+
+def test_pii_operator(spark, docs):
+    rows = [(1, None), (2, ""), (3, "a@b.co"), (3, "a@b.co"), (4, "x" * 50_000 + " 10.1.2.3")]
+    found = pii.find_pii(docs(rows))
+    assert found.columns.count("pii") == 1 and found.count() == 5
+    assert [len(r["pii"]) for r in found.orderBy("doc_id").collect()] == [0, 0, 1, 1, 1]
+    assert pii.find_pii(docs([])).count() == 0
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_pii_query(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
+    want = {}
+    for i, text in rows:
+        spans = sorted(plain_pii(text), key=lambda s: (pii.KINDS.index(s[0]), s[1]))
+        counts = [sum(k == s[0] for s in spans) for k in pii.KINDS]
+        want[i] = (*counts, sha(",".join(f"{k}:{a}:{b}" for k, a, b in spans)))
+    got = {r["doc_id"]: tuple(r)[1:6] for r in queries.all_queries()["op10_pii"](spark, SF).collect()}
+    assert got == want and any(sum(w[:4]) for w in want.values())
+
+
+def plain_secrets(text):
+    found = []
+    for m in re.finditer(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[2]) >= 12:
+            found.append(("assign", *m.span()))
+    found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    return sorted(found, key=lambda f: (f[1], secrets.KINDS.index(f[0])))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["Token", " = ", "api_key:", "'", '"', "deadbeefdeadbeef", "AKIA", "ABCDEFGH12345678", "é", " ", "ſecret=", "x" * 13, "="]), max_size=12))
+def test_base_secrets(parts):
+    text = "".join(parts)
+    assert [f[:3] for f in secrets.candidates(text) if f[0] in secrets.BASE_KINDS] == plain_secrets(text)
+
+
+def test_owners_separate_examples_from_live_values(spark):
+    key, example = "ghp_" + "a1B2" * 9, "ghp_" + "Z9y8" * 9
+    rows = [(1, f"use {key}", "s1"), (1, f"use {key}", "s1"), (2, f"see {example}", "s1"), (3, f"see {example}", "s2"),
+            (4, None, None), (5, "", "s1"), (6, "token = deadbeefdeadbeef00", None), (7, "token = deadbeefdeadbeef00", "s3")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, secrets string")
+    found = secrets.find_secrets(df, ["doc_id"], "text", F.col("secrets"), F.col("secrets"))
+    got = sorted((r["doc_id"], [(s["kind"], s["owners"], s["live"]) for s in r["secrets"]]) for r in found.collect())
+    assert got == [(1, [("key", 1, True)]), (1, [("key", 1, True)]), (2, []), (3, []), (4, []), (5, []),
+                   (6, [("assign", 2, False), ("hex", 2, False)]), (7, [("assign", 2, False), ("hex", 2, False)])]
+    empty = secrets.find_secrets(df.filter("doc_id < 0"), ["doc_id"], "text", F.col("secrets"), F.col("secrets"))
+    assert empty.count() == 0
+
+
+def test_secrets_query(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
+    got = {r["doc_id"]: r for r in queries.all_queries()["op5_secret_scan"](spark, SF).collect()}
+    for i, text in rows:
+        base = plain_secrets(text)
+        assert got[i]["base_sha256"] == sha(",".join(f"{k}:{a}:{b}" for k, a, b in base))
+        assert [got[i][f"n_{k}"] for k in secrets.BASE_KINDS] == [sum(k == f[0] for f in base) for k in secrets.BASE_KINDS]
+    assert len(got) == len(rows)
