@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bpe, pii, secrets, simhash, token_files, url_filter
+from mercato.llm import bpe, decontaminate, pii, repeats, secrets, simhash, token_files, topk, toxicity, url_filter
 from mercato.llm.common import ship_package, table
 from mercato.session import scratch_path
 
@@ -33,6 +33,17 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+@query
+def op2_suffix_dedup(spark, sf_dir):
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_top_k(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def _of_kind(spans: str, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
@@ -65,6 +76,22 @@ def op5_secret_scan(spark, sf_dir):
         F.size(F.filter("secrets", lambda s: s["live"])).cast("bigint").alias("n_live"))
 
 
+@query
+def op6_decontaminate(spark, sf_dir):
+    found = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("score", 6).alias("score"))
+
+
+TOXIC_CHAIN = {"low_quality": "1 - quality", "toxic": "toxic"}
+
+
+@query
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), TOXIC_CHAIN)
+    return toxicity.score(docs, chain).drop("text")
+
+
 @query
 def op8_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
