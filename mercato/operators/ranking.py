@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from mercato.session import materialise
+from mercato.session import Scratch
 
 _INDEX_BITS = 33  # monotonically_increasing_id: partition number above, row index within it below
-SAMPLE_ROWS = 20_000
-SORT_UP_TO = 1_000_000  # below this many rows, sorting all pairs is cheaper than narrowing the search
+SAMPLE_ROWS = 20_000  # proposes where to look; exact counts confirm or refuse that, so it drops nothing
 
 Place = tuple  # (value or None, tie-break)
 
@@ -59,7 +58,6 @@ def global_ntile(
     buckets: int,
     scores: dict[str, str],
     tie_break: str,
-    sort_up_to: int = SORT_UP_TO,
     sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """Add one NTILE column per entry of ``scores`` (new column -> ascending order column).
@@ -68,9 +66,8 @@ def global_ntile(
     (unique, not NULL). Only the last row of each bucket has to be found; every score is then a comparison
     with those few rows, so ``df`` itself is neither sorted, shuffled nor joined.
 
-    Up to ``sort_up_to`` rows, all (value, tie-break) pairs are sorted. Beyond, a sample proposes a narrow
-    stretch around each wanted row, an exact count confirms that the row lies in it, and only the stretch is
-    sorted; a stretch that does not hold is replaced by the whole order. Sorting is by range over all tasks
+    A sample proposes a narrow stretch around each wanted row, an exact count confirms that the row lies in it,
+    and only the stretch is sorted; a stretch that does not hold is replaced by the whole order. Sorting is by range over all tasks
     and includes the tie-break, so a value shared by most rows still splits evenly. ``df`` is read several
     times and should be a table. Order columns must share one type.
     """
@@ -85,11 +82,9 @@ def global_ntile(
     ranks = sorted({r for r in _last_ranks(total, buckets) if 0 < r < total})
     if not ranks:
         return df.withColumns({name: F.lit(1) for name in scores})
-    if total <= sort_up_to:
-        spans = [_Span(i, ranks) for i in range(len(orders))]
-    else:
-        spans = _narrowed(df, orders, total, ranks, sample_rows)
-    _find(df, orders, spans)
+    spans = _narrowed(df, orders, total, ranks, sample_rows)
+    with Scratch(df.sparkSession) as scratch:
+        _find(df, orders, spans, scratch)
 
     tiles = {}
     for i, name in enumerate(scores):
@@ -139,7 +134,7 @@ def _narrowed(df: DataFrame, orders: list[_Order], total: int, ranks: list[int],
     return confirmed + [_Span(score, lost) for score, lost in missed.items()]
 
 
-def _find(df: DataFrame, orders: list[_Order], spans: list[_Span]) -> None:
+def _find(df: DataFrame, orders: list[_Order], spans: list[_Span], scratch: Scratch) -> None:
     """Sort the rows of each span and look its ranks up by position."""
     rows = [
         F.when(orders[s.score].within(s), F.struct(F.lit(j).alias("span"), orders[s.score].place.alias("place")))
@@ -153,7 +148,7 @@ def _find(df: DataFrame, orders: list[_Order], spans: list[_Span]) -> None:
         .withColumn("position", F.monotonically_increasing_id())
     )
     # range bounds come from sampling, so positions must be settled before two jobs use them
-    placed = materialise(placed, "ntile")
+    placed = scratch.materialise(placed, "ntile")
     runs = (
         placed.groupBy("span", F.shiftright("position", _INDEX_BITS).alias("part"))
         .agg(F.count("*").alias("rows"), F.min("position").alias("start"))

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_ROOT: str | None = None
+_root_where_unset: str | None = None
 
 
 def get_spark(app_name: str = "mercato", master: str | None = None, **conf: str) -> SparkSession:
@@ -35,20 +34,18 @@ def get_spark(app_name: str = "mercato", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def shared_root(spark: SparkSession) -> str:
-    """Folder all executors can reach: the one named in ``spark.checkpoint.dir``.
+def use_shared_root(path: str) -> None:
+    """Folder for sessions without ``spark.checkpoint.dir``, as in local trials. The setting always comes first."""
+    global _root_where_unset
+    _root_where_unset = path
 
-    Only a local-mode session without that setting falls back to a temporary folder.
-    """
-    global _LOCAL_ROOT
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+
+def shared_root(spark: SparkSession) -> str:
+    """Folder all executors can reach: the one named in ``spark.checkpoint.dir``."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or _root_where_unset
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if _LOCAL_ROOT is None:
-        _LOCAL_ROOT = tempfile.mkdtemp(prefix="mercato-")
-    return _LOCAL_ROOT
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -73,10 +70,38 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one operation, deleted when it is done.
+
+    Use it where nothing that is returned reads them; lazy results need :func:`materialise`.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def materialise(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(f"{path}/data")
+        return self.spark.read.schema(df.schema).parquet(f"{path}/data")
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def bench_session(app_name: str = "mercato-bench") -> SparkSession:
     """Local session sized by ``BENCH_CPUS``."""
+    import tempfile
+
     cpus = os.environ.get("BENCH_CPUS", "8")
     return get_spark(app_name, master=f"local[{cpus}]", **{
+        "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="mercato-bench-"),
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "20g",
     })

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": "file://" + tempfile.mkdtemp(prefix="mercato-tests-"),
     })
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -25,14 +25,14 @@ def _random(spark, n, seed):
         "orders", F.col("orders").cast("decimal(38,9)"))
 
 
-@pytest.mark.parametrize("n,buckets,sort_up_to,sample_rows", [
-    (0, 4, 9999, 0), (1, 4, 9999, 0), (3, 4, 9999, 0), (4, 4, 9999, 0), (1003, 4, 9999, 0), (1003, 7, 9999, 0), (2, 1, 9999, 0),
-    # the narrowed search; the smallest samples leave stretches open
-    (5001, 4, 0, 400), (5001, 10, 0, 200), (4000, 4, 0, 900), (3000, 4, 0, 5), (3000, 4, 0, 1), (5, 4, 0, 2),
+@pytest.mark.parametrize("n,buckets,sample_rows", [
+    (0, 4, 99), (1, 4, 99), (3, 4, 99), (4, 4, 99), (1003, 4, 2000), (1003, 7, 2000), (2, 1, 9),
+    # the smallest samples leave stretches open
+    (5001, 4, 400), (5001, 10, 200), (4000, 4, 900), (3000, 4, 5), (3000, 4, 1), (5, 4, 2),
 ])
-def test_equals_window_ntile(spark, n, buckets, sort_up_to, sample_rows):
+def test_equals_window_ntile(spark, n, buckets, sample_rows):
     df = materialise(_random(spark, n, n + buckets), "people")
-    tiled = global_ntile(df, buckets, {"f": "orders", "m": "value"}, "id", sort_up_to, sample_rows)
+    tiled = global_ntile(df, buckets, {"f": "orders", "m": "value"}, "id", sample_rows)
     expected = df.withColumns({
         "f2": F.ntile(buckets).over(Window.orderBy("orders", "id")),
         "m2": F.ntile(buckets).over(Window.orderBy(F.col("value").asc_nulls_first(), "id")),
@@ -46,7 +46,7 @@ def test_a_stretch_that_misses_falls_back(spark, monkeypatch):
     """With no margin the sample is wrong almost surely; counts notice and the whole order is searched."""
     monkeypatch.setattr(ranking, "isqrt", lambda n: -1)
     df = materialise(_random(spark, 2000, 5), "people")
-    sizes = global_ntile(df, 4, {"q": "orders"}, "id", 0, 50).groupBy("q").count().collect()
+    sizes = global_ntile(df, 4, {"q": "orders"}, "id", 50).groupBy("q").count().collect()
     assert sorted(r["count"] for r in sizes) == [500] * 4
 
 
