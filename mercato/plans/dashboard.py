@@ -129,7 +129,8 @@ def monthly_volume_late(orders: DataFrame) -> DataFrame:
 # satisfaction: ``reviews`` carries a ``weight`` per row, see ``weighted_reviews``
 
 def _mean_score(condition: Column | None = None) -> Column:
-    points, weight = F.col("review_score") * F.col("weight"), F.col("weight")
+    points = F.col("review_score") * F.col("weight")
+    weight = F.when(F.col("review_score").isNotNull(), F.col("weight"))  # a review without a score has no part in a mean
     if condition is not None:
         points, weight = F.when(condition, points), F.when(condition, weight)
     return F.sum(points).cast("double") / F.sum(weight)
