@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.exprs import instant
 from mercato.operators.upsert import require_unique
+from mercato.session import materialise
 
 # fixed values: bounds of an interval that is open on one side
 BEGINNING = datetime(1, 1, 1)
@@ -99,6 +100,8 @@ def pit_join(
         firsts = dim.groupBy(key).agg(F.min("valid_from").alias("_first"))
         since = F.when(F.col("valid_from") == F.col("_first"), instant(BEGINNING)).otherwise(F.col("valid_from"))
         versions = versions.join(firsts, key).withColumn("_since", since).drop("_first")
+        # written, so that the join with the facts stands on a scan and a hot key's facts can be split
+        versions = materialise(versions, "versions-since")
     else:
         versions = versions.withColumn("_since", F.col("valid_from"))
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from mercato.functions.exprs import instant, stamp
 from mercato.functions.frames import union_all
+from mercato.session import materialise
 
 NOT_NULL, EXPRESSION, UNIQUE, UNIQUE_COMBO = "not_null", "expression", "unique", "unique_combo"
 ACCEPTED, RELATIONSHIP = "accepted_values", "relationship"
@@ -170,10 +171,12 @@ def order_flags_log(fct_orders: DataFrame, flagged_at: datetime) -> DataFrame:
 
 
 def orphan_category_log(products: DataFrame, translation: DataFrame, flagged_at: datetime) -> DataFrame:
+    filled = products.filter(F.col("product_category_name").isNotNull())
     known = translation.select("product_category_name").distinct()
+    orphans = materialise(  # few; written, so that a hot category's products can be split in the join
+        filled.select("product_category_name").distinct().join(known, "product_category_name", "left_anti"), "orphan-categories")
     return (
-        products.filter(F.col("product_category_name").isNotNull())
-        .join(known, "product_category_name", "left_anti")
+        filled.join(orphans, "product_category_name")
         .select(
             F.lit("products").alias("table_name"), F.col("product_id").alias("record_id"),
             F.lit("orphan_category").alias("rule_name"), F.col("product_category_name").alias("detail"),
@@ -210,11 +213,14 @@ def with_violations(
         broken.append(F.when(F.col("_copies") > 1, F.lit(f"unique {', '.join(unique)}")))
         extra.append("_copies")
     for i, (column, (parent, parent_column)) in enumerate((foreign or {}).items()):
-        seen = f"_seen{i}"
-        known = parent.select(F.col(parent_column).alias(column)).distinct().withColumn(seen, F.lit(True))
-        out = out.join(known, column, "left")
-        broken.append(F.when(F.col(column).isNotNull() & F.col(seen).isNull(), F.lit(f"{column} foreign key")))
-        extra.append(seen)
+        lost = f"_lost{i}"
+        known = parent.select(F.col(parent_column).alias(column)).distinct()
+        # the keys without a parent, normally few, are written: joined as a scan, a hot key's rows can be split
+        orphans = materialise(
+            df.select(column).na.drop().distinct().join(known, column, "left_anti").withColumn(lost, F.lit(True)), "orphan-keys")
+        out = out.join(orphans, column, "left")
+        broken.append(F.when(F.col(lost), F.lit(f"{column} foreign key")))
+        extra.append(lost)
     violations = F.filter(F.array(*broken), lambda name: name.isNotNull())
     return out.withColumn("_violations", violations).select(*df.columns, "_violations")
 

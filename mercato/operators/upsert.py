@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mercato.schemas import TableSpec
-from mercato.session import materialise
+from mercato.session import Scratch, materialise
 from mercato.sources.tables import VersionedTable
 
 
@@ -37,12 +37,21 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], validate: bool
 def upsert_full_row(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Insert batch rows that are not in the target as a whole; copies inside a batch all stay.
 
-    Plain equality: a row with a NULL never matches. The target is reduced to distinct rows first, so
-    a row with very many copies is one row in the join.
+    Plain equality: a row with a NULL never matches.
+    """
+    return target.unionByName(new_rows(target, batch))
+
+
+def new_rows(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of ``batch`` that the target does not hold as a whole, all copies.
+
+    Every join stands on written tables, so a row with very many copies on either side can be split.
     """
     columns = target.columns
-    known = target.distinct()
-    return target.unionByName(batch.select(*columns).join(known, columns, "left_anti").select(*columns))
+    batch = batch.select(*columns)
+    sent = materialise(batch.distinct(), "sent-rows")
+    met = materialise(sent.join(target, columns).distinct(), "met-rows")  # at most as many as were sent
+    return batch.join(met, columns, "left_anti").select(*columns)
 
 
 def with_action(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -57,9 +66,10 @@ def merge_report(target: DataFrame, batch: DataFrame, spec: TableSpec) -> DataFr
 
     Full-row tables only insert, so their matches count as neither.
     """
+    sent = batch.groupBy(*spec.merge_keys).count()  # counted first: copies of a hot row are one row in the join
     counts = (
-        with_action(target, batch, spec.merge_keys)
-        .groupBy("_action").count()
+        with_action(target, sent, spec.merge_keys)
+        .groupBy("_action").agg(F.sum("count").alias("count"))
         .agg(
             F.coalesce(F.sum("count"), F.lit(0)).alias("rows_staged"),
             F.coalesce(F.sum(F.when(F.col("_action") == "insert", F.col("count"))), F.lit(0)).alias("rows_inserted"),
@@ -87,14 +97,41 @@ def merge_into(
     writer: str | None = None,
     batch_id: int = -1,
     validate: bool = True,
+    settled: bool = False,
 ) -> int:
     """Merge ``batch`` into a versioned table, creating it on first use; returns its version.
 
-    A batch the writer already published is skipped. The batch is written once to shared storage,
-    since the key check (left out where the batch is unique by construction), the anti-join and the union
-    each read it.
+    A batch the writer already published is skipped. Only what changes is written: by full row, a folder of the new
+    rows is added; by key, the files that hold a matched key are replaced by their other rows and the batch, and all
+    other files stay as they are. ``settled`` says that the batch is a written table already; else it is written once
+    to shared storage, as the key check, the search for files and the write each read it.
     """
     if writer is not None and table.applied(writer) >= batch_id:
         return table.version
-    settled = materialise(batch.select(*spec.columns), f"batch-{spec.name}")
-    return table.publish(merge(table.read(), settled, spec, validate), writer, batch_id)
+    base, target = table.version, table.read()
+    empty = not table.parts
+    with Scratch(table.spark) as scratch:
+        batch = batch.select(*spec.columns)
+        if not settled:
+            batch = scratch.materialise(batch, f"batch-{spec.name}")
+        if spec.full_row:
+            return table.append(new_rows(target, batch), base, writer, batch_id)
+        keys = list(spec.keys)
+        if validate:
+            require_unique(batch, keys, f"batch of {spec.name}")
+        files = [] if empty else _files_with(target, batch, keys)
+        if not files:
+            return table.append(batch, base, writer, batch_id)
+        kept = table.read_files(files).join(batch.select(*keys), keys, "left_anti").select(*spec.columns)
+        return table.replace_files(files, kept.unionByName(batch), base, writer, batch_id)
+
+
+def _files_with(target: DataFrame, batch: DataFrame, keys: list[str]) -> list[str]:
+    """Files of the target that hold a key of the batch. The batch's span of the first key prunes row groups, so with
+    files clustered by key only their neighbourhood is read."""
+    span = batch.agg(F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high")).collect()[0]
+    if span["low"] is None:
+        return []
+    near = target.filter(F.col(keys[0]).between(F.lit(span["low"]), F.lit(span["high"])))
+    held = near.select(*keys, F.col("_metadata.file_path").alias("_file")).join(batch.select(*keys), keys, "left_semi")
+    return sorted(r["_file"] for r in held.select("_file").distinct().collect())  # one row a file

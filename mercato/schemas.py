@@ -21,7 +21,6 @@ class TableSpec:
     schema: T.StructType
     keys: tuple[str, ...] = ()
     full_row: bool = False
-    multiline: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -115,21 +114,20 @@ _SPECS = [
         ("review_comment_message", _STR, "null"),
         ("review_creation_date", _TS),
         ("review_answer_timestamp", _TS),
-    ), ("review_id", "order_id"), multiline=True),
+    ), ("review_id", "order_id")),
 ]
 
 TABLES: dict[str, TableSpec] = {spec.name: spec for spec in _SPECS}
 
 
-def spec_for_file(file_name: str) -> TableSpec | None:
+def spec_for_file(file_name: str, prefix: str = "", suffix: str = "_dataset") -> TableSpec | None:
     """The table a landed CSV belongs to, or ``None`` for files that are not ours.
 
-    ``orders.csv`` and a published name such as ``<publisher>_orders_dataset.csv`` both match.
+    ``orders.csv``, and with the publisher's ``prefix`` or ``suffix`` also ``<prefix>orders<suffix>.csv``; names are
+    otherwise exact, so that ``cancelled_orders.csv`` is no order file.
     """
     base = file_name.rsplit("/", 1)[-1]
     if not base.endswith(".csv"):
         return None
-    stem = base.removesuffix(".csv").removesuffix("_dataset")
-    exact = [spec for spec in _SPECS if stem == spec.stem]
-    prefixed = [spec for spec in _SPECS if stem.endswith("_" + spec.stem)]
-    return next(iter(exact + prefixed), None)
+    stem = base.removesuffix(".csv").removesuffix(suffix).removeprefix(prefix)
+    return next((spec for spec in _SPECS if stem == spec.stem), None)

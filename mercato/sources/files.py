@@ -14,7 +14,7 @@ from mercato.schemas import TableSpec
 def csv_options(spec: TableSpec) -> dict[str, str]:
     """Reader options: header skipped, quotes doubled inside quotes, a bad row fails the load.
 
-    ``multiLine`` makes a file unsplittable, so only tables with free text ask for it.
+    Any text may hold quoted line ends, so a file is read by one task: land many files of bounded size.
     """
     return {
         "header": "true",
@@ -22,7 +22,7 @@ def csv_options(spec: TableSpec) -> dict[str, str]:
         "escape": '"',
         "mode": "FAILFAST",
         "enforceSchema": "false",
-        "multiLine": str(spec.multiline).lower(),
+        "multiLine": "true",
     }
 
 

@@ -1,8 +1,9 @@
-"""Path-based parquet tables: full rebuilds behind a pointer, plain appends, view layers."""
+"""Path-based parquet tables: versions behind a pointer, plain appends, view layers."""
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from functools import cached_property
 
@@ -13,11 +14,13 @@ from mercato.schemas import TABLES
 
 
 class VersionedTable:
-    """A parquet table rewritten into a new folder, then switched over by a small commit file.
+    """A parquet table made of folders, whose current ones a small commit file names.
 
-    Readers keep the version they opened, a failed write is never visible, and the path being read is
-    never overwritten. Commit files also remember the last batch each stream applied, so a replayed
-    batch is recognised.
+    A commit lists folders and, for each, the files of it that no longer count. An append adds a folder, a replacement
+    of files drops these and adds a folder, and a rebuild names a new folder only; files are never changed. Readers
+    keep the version they opened, and a failed write is never visible. Commit files also remember the last batch each
+    stream applied, so a replayed batch is recognised. Two writers may try for the same version: the commit file is
+    created without overwriting, so one of them fails (on stores without such a create, let one writer do it).
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
@@ -33,12 +36,14 @@ class VersionedTable:
     def _hadoop_path(self, path: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(path)
 
-    def _commits(self) -> list[str]:
-        folder = self._hadoop_path(f"{self.path}/_commits")
-        if not self._fs.exists(folder):
+    def _names(self, folder: str) -> list[str]:
+        hadoop_path = self._hadoop_path(f"{self.path}/{folder}")
+        if not self._fs.exists(hadoop_path):
             return []
-        names = [status.getPath().getName() for status in self._fs.listStatus(folder)]
-        return sorted(n for n in names if n.endswith(".json"))
+        return sorted(status.getPath().getName() for status in self._fs.listStatus(hadoop_path))
+
+    def _commits(self) -> list[str]:
+        return [n for n in self._names("_commits") if n.endswith(".json")]
 
     def _record(self, commit: str) -> dict:
         stream = self._fs.open(self._hadoop_path(f"{self.path}/_commits/{commit}"))
@@ -49,34 +54,86 @@ class VersionedTable:
 
     def _commit_record(self) -> dict:
         commits = self._commits()
-        return self._record(commits[-1]) if commits else {"version": 0, "data": None, "applied": {}}
+        return self._record(commits[-1]) if commits else {"version": 0, "parts": {}, "applied": {}}
 
     @property
     def version(self) -> int:
         return self._commit_record()["version"]
 
+    @property
+    def parts(self) -> dict[str, list[str]]:
+        """Folder -> its files that no longer count."""
+        return self._commit_record()["parts"]
+
     def applied(self, writer: str) -> int:
         """Number of the last batch ``writer`` published here, -1 if none."""
         return self._commit_record()["applied"].get(writer, -1)
 
+    def files(self) -> list[str]:
+        """The data files that count now, as folder/name."""
+        return [
+            f"{folder}/{name}" for folder, dropped in self.parts.items() for name in self._names(folder)
+            if name.startswith("part-") and name not in dropped]
+
     def read(self) -> DataFrame:
         """The current version; an empty table if nothing was published yet."""
-        data = self._commit_record()["data"]
-        if data is None:
+        paths: list[str] = []
+        for folder, dropped in self.parts.items():
+            if dropped:
+                paths += [f"{folder}/{n}" for n in self._names(folder) if n.startswith("part-") and n not in dropped]
+            else:
+                paths.append(folder)
+        return self.read_files(paths)
+
+    def read_files(self, files: list[str]) -> DataFrame:
+        """Some files or folders of the table, by their paths or by their names in it."""
+        if not files:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{data}")
+        paths = [f if "/" in f and ":" in f else f"{self.path}/{f}" for f in files]
+        return self.spark.read.schema(self.schema).parquet(*paths)
 
     def stage(self, df: DataFrame) -> str:
-        """Write ``df`` in full to a new, still invisible folder and return its name."""
+        """Write ``df`` to a new, still invisible folder and return its name."""
         data = f"data-{uuid.uuid4().hex}"
         df.select(*self.schema.fieldNames()).write.parquet(f"{self.path}/{data}")
         return data
 
     def read_staged(self, data: str) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{data}")
+        return self.read_files([data])
 
     def switch(self, data: str, base_version: int, writer: str | None = None, batch_id: int = -1) -> int:
-        """Make a staged folder current; fails if another writer published since ``base_version``."""
+        """Make a staged folder the whole table; fails if another writer published since ``base_version``."""
+        return self._commit({data: []}, base_version, writer, batch_id)
+
+    def publish(self, df: DataFrame, writer: str | None = None, batch_id: int = -1) -> int:
+        """Stage ``df`` and switch to it. A batch its writer already published is skipped."""
+        if writer is not None and self.applied(writer) >= batch_id:
+            return self.version
+        base = self.version
+        return self.switch(self.stage(df), base, writer, batch_id)
+
+    def append(self, df: DataFrame, base_version: int, writer: str | None = None, batch_id: int = -1) -> int:
+        """Add a folder of rows and leave all files as they are."""
+        return self.replace_files([], df, base_version, writer, batch_id)
+
+    def replace_files(
+        self, files: list[str], df: DataFrame, base_version: int, writer: str | None = None, batch_id: int = -1,
+    ) -> int:
+        """Put the rows of ``df`` in the place of some files."""
+        parts = {folder: list(dropped) for folder, dropped in self.parts.items()}
+        for file in files:
+            folder, name = file.split("/")[-2:]
+            parts[folder].append(name)
+        return self._commit(parts | {self.stage(df): []}, base_version, writer, batch_id)
+
+    def compact(self, cluster_by: list[str] | None = None) -> int:
+        """Rewrite the table as one folder, clustered so that few files hold the keys of a batch."""
+        rows = self.read()
+        if cluster_by:
+            rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        return self.publish(rows)
+
+    def _commit(self, parts: dict[str, list[str]], base_version: int, writer: str | None, batch_id: int) -> int:
         current = self._commit_record()
         if current["version"] != base_version:
             raise RuntimeError(f"{self.path} moved to version {current['version']} during the write")
@@ -84,33 +141,45 @@ class VersionedTable:
         if writer is not None:
             applied[writer] = batch_id
         version = base_version + 1
-        record = json.dumps({"version": version, "data": data, "applied": applied})
-        folder = f"{self.path}/_commits"
-        pending = self._hadoop_path(f"{folder}/.{uuid.uuid4().hex}.pending")
-        final = self._hadoop_path(f"{folder}/{version:012d}.json")
-        out = self._fs.create(pending, False)
+        record = json.dumps({"version": version, "parts": parts, "applied": applied})
+        final = self._hadoop_path(f"{self.path}/_commits/{version:012d}.json")
+        try:
+            out = self._fs.create(final, False)
+        except Exception as error:
+            raise RuntimeError(f"{self.path} version {version} was published by another writer") from error
         out.write(bytearray(record, "utf-8"))
         out.close()
-        if self._fs.exists(final) or not self._fs.rename(pending, final):
-            raise RuntimeError(f"{self.path} version {version} was published by another writer")
         return version
 
-    def publish(self, df: DataFrame, writer: str | None = None, batch_id: int = -1) -> int:
-        """Stage ``df`` and switch to it. A batch its writer already published is skipped."""
-        if writer is not None and self.applied(writer) >= batch_id:
-            return self.version
-        base = self.version
-        return self.switch(self.stage(df), base, writer, batch_id)
-
     def expire(self, keep: int = 2) -> int:
-        """Delete versions older than the newest ``keep``; returns how many. Unpublished folders stay."""
-        old = self._commits()[:-keep] if keep > 0 else []
+        """Forget versions older than the newest ``keep`` and delete what only they name; returns how many. Folders
+        that no version ever named stay, as a writer may be about to commit them."""
+        commits = self._commits()
+        old, kept = (commits[:-keep], commits[-keep:]) if keep > 0 else ([], commits)
+        needed = [self._record(commit)["parts"] for commit in kept]
         for commit in old:
-            data = self._record(commit)["data"]
-            self._fs.delete(self._hadoop_path(f"{self.path}/{data}"), True)
-            self._fs.delete(self._hadoop_path(f"{self.path}/_commits/{commit}"), False)
+            for folder, _ in self._record(commit)["parts"].items():
+                naming = [parts[folder] for parts in needed if folder in parts]
+                if not naming:
+                    self._delete(folder)
+                for name in set.intersection(*map(set, naming)) if naming else ():
+                    self._delete(f"{folder}/{name}")
+            self._delete(f"_commits/{commit}")
         return len(old)
 
+    def remove_orphans(self, older_than_hours: float) -> int:
+        """Delete folders that no version names and that are older than any write could take; returns how many."""
+        named = {folder for commit in self._commits() for folder in self._record(commit)["parts"]}
+        before = (time.time() - 3600 * older_than_hours) * 1000
+        orphans = [n for n in self._names("") if n.startswith("data-") and n not in named]
+        orphans = [n for n in orphans if self._fs.getFileStatus(self._hadoop_path(f"{self.path}/{n}")).getModificationTime() <= before]
+        for name in orphans:
+            self._delete(name)
+        return len(orphans)
+
+    def _delete(self, name: str) -> None:
+        self._fs.delete(self._hadoop_path(f"{self.path}/{name}"), True)
+
 
 def write_mart(df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None) -> VersionedTable:
     """Full rebuild of one mart table.

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.operators.upsert import merge_into, require_unique
+from mercato.operators.upsert import merge_into
 from mercato.schemas import TABLES, TableSpec
-from mercato.session import materialise
+from mercato.session import Scratch, materialise
 from mercato.sources.files import csv_options, enforce_required
 from mercato.sources.tables import VersionedTable
 
@@ -27,13 +27,19 @@ def collapse_files(rows: DataFrame, spec: TableSpec) -> DataFrame:
     file raises. By full row, the copies in the first file that holds a row stay and later ones match it.
     """
     if spec.full_row:
-        first = rows.groupBy(*spec.columns).agg(F.min(ARRIVED).alias("_first"))
+        # written, so that the copies of a hot row can be split in the join
+        first = materialise(rows.groupBy(*spec.columns).agg(F.min(ARRIVED).alias("_first")), "first-arrivals")
         met = rows.join(first, spec.columns).filter(F.col(ARRIVED) == F.col("_first"))
         return met.select(*spec.columns)
     keys = list(spec.keys)
-    require_unique(rows, [*keys, ARRIVED], f"file of {spec.name}")
-    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*spec.columns), ARRIVED).alias("_row"))
-    return last.select("_row.*")
+    # one grouping: the last file's row, and whether a file holds a key twice
+    last = rows.groupBy(*keys).agg(
+        F.max_by(F.struct(*spec.columns), ARRIVED).alias("_row"), F.count("*").alias("_rows"),
+        F.count_distinct(ARRIVED).alias("_files"))
+    repeated = F.raise_error(F.concat(
+        F.lit(f"file of {spec.name}: repeated key {keys}: "), F.to_json(F.struct(*keys)))).cast("bigint")
+    checked = last.withColumn("_rows", F.when(F.col("_rows") > F.col("_files"), repeated).otherwise(F.col("_rows")))
+    return checked.filter("_rows > 0").select("_row.*")
 
 
 def stream_upsert(
@@ -43,10 +49,11 @@ def stream_upsert(
     table: VersionedTable,
     checkpoint: str,
     files_per_trigger: int | None = None,
+    names: str | None = None,
 ) -> int:
     """Merge every landed file not seen before, then stop; returns the table's version.
 
-    The stream's checkpoint replaces an "already loaded" marker. Files merge in order of arrival; those of
+    ``names`` is a pattern of the file names to take. The stream's checkpoint replaces an "already loaded" marker. Files merge in order of arrival; those of
     one micro-batch are collapsed first, so the table is rewritten once per batch, not once per file. A
     batch replayed after a failure is skipped by its number, which the table's commit remembers together
     with the data.
@@ -54,15 +61,20 @@ def stream_upsert(
     reader = spark.readStream.schema(spec.schema).options(**csv_options(spec))
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if names is not None:
+        reader = reader.option("pathGlobFilter", names)
     arrivals = reader.csv(landing).select(*spec.columns, arrival().alias(ARRIVED))
     writer = f"{spec.name}@{checkpoint}"
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         if table.applied(writer) >= batch_id:
             return
-        # parsed once: the checks and the merge read the copy in shared storage
-        parsed = materialise(enforce_required(batch, spec, ARRIVED), f"arrived-{spec.name}")
-        merge_into(table, collapse_files(parsed, spec), spec, writer, batch_id, validate=False)
+        with Scratch(spark) as scratch:
+            arrived = enforce_required(batch, spec, ARRIVED)
+            if spec.full_row:  # both the first arrivals and the rows themselves are read from the parsed copy
+                arrived = scratch.materialise(arrived, f"arrived-{spec.name}")
+            collapsed = scratch.materialise(collapse_files(arrived, spec), f"batch-{spec.name}")
+            merge_into(table, collapsed, spec, writer, batch_id, validate=False, settled=True)
 
     query = (
         arrivals.writeStream.foreachBatch(merge_batch)
@@ -74,6 +86,22 @@ def stream_upsert(
     return table.version
 
 
+def stream_landing(
+    spark: SparkSession, landing: str, tables: dict[str, VersionedTable], checkpoint: str, prefix: str = "",
+    suffix: str = "_dataset",
+) -> dict[str, int]:
+    """Merge the files of one landing folder into the tables their names say; others are left alone.
+
+    A name fits as in ``spec_for_file``. Returns each table's version.
+    """
+    def names(spec: TableSpec) -> str:
+        return "{" + ",".join(sorted({f"{p}{spec.stem}{s}.csv" for p in ("", prefix) for s in ("", suffix)})) + "}"
+
+    return {
+        name: stream_upsert(spark, landing, TABLES[name], table, f"{checkpoint}/{name}", names=names(TABLES[name]))
+        for name, table in tables.items()}
+
+
 def batch_completeness(expected: DataFrame, load_log: DataFrame) -> DataFrame:
     """One row per expected table: whether it was loaded, and how many of all expected ones were."""
     loaded = load_log.select("table_name").distinct().withColumn("_loaded", F.lit(True))

@@ -10,7 +10,7 @@ from mercato.sources.files import coerce_types, read_table, with_audit
 from mercato.sources.tables import VersionedTable, append_rows, append_tables, register_views, write_mart
 
 PAIR = TableSpec("pair", "pair", T.StructType([
-    T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType(), True)]), ("a",), multiline=True)
+    T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType(), True)]), ("a",))
 
 
 def test_bom_and_quoted_newline(spark, tmp_path, rows):
@@ -46,12 +46,13 @@ def test_typed_orders_csv(spark, tmp_path):
 
 
 @pytest.mark.parametrize("file,table", [
-    ("landing/orders.csv", "orders"), ("acme_order_items_dataset.csv", "order_items"),
-    ("acme_geolocation_dataset.csv", "geolocation_raw"), ("order_reviews.csv", "order_reviews"),
+    ("landing/orders.csv", "orders"), ("acme_order_items_dataset.csv", "order_items"), ("sellers_dataset.csv", "sellers"),
+    ("acme_geolocation_dataset.csv", "geolocation_raw"), ("acme_orders.csv", "orders"), ("cancelled_orders.csv", None),
+    ("top_sellers.csv", None), ("backup_customers_dataset.csv", None), ("order_reviews.csv", "order_reviews"),
     ("product_category_name_translation.csv", "category_translation"), ("notes.csv", None), ("orders.txt", None),
 ])
 def test_registry_by_file(file, table):
-    spec = spec_for_file(file)
+    spec = spec_for_file(file, prefix="acme_")
     assert (spec.name if spec else None) == table
 
 
@@ -151,3 +152,43 @@ def test_parents_load_first(spark, tmp_path, small):
     order = append_tables({t: m.raw[t] for t in ("order_items", "orders", "customers", "sellers", "products")}, str(tmp_path))
     assert order == ["customers", "sellers", "products", "orders", "order_items"]
     assert spark.read.parquet(str(tmp_path / "orders")).count() == 1500
+
+
+def test_shared_folder_must_be_named(spark, monkeypatch):
+    from mercato import session
+
+    class Unset:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda name, default: default)
+
+    monkeypatch.setattr(session, "_root_where_unset", None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Unset)
+
+
+def test_scratch_is_deleted(spark):
+    import os
+
+    from mercato.session import Scratch
+
+    with Scratch(spark) as scratch:
+        kept = scratch.materialise(spark.range(3), "probe")
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert kept.count() == 3 and os.path.exists(folder)
+    assert not os.path.exists(folder)
+
+
+def test_dropped_files_are_expired_and_orphans_removed(spark, tmp_path, rows):
+    table = VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("id", T.LongType())]))
+    table.publish(spark.range(4).repartition(4))
+    first = table.files()
+    table.replace_files(first[:1], spark.range(50, 52), 1)
+    assert table.read().count() == 4 - spark.read.parquet(f"{tmp_path}/t/{first[0]}").count() + 2
+    table.append(spark.range(90, 91), 2)
+    assert table.expire(keep=2) == 1
+    assert not (tmp_path / "t" / first[0]).exists() and (tmp_path / "t" / first[1]).exists()
+    before = rows(table.read())
+    table.stage(spark.range(9))
+    assert table.remove_orphans(older_than_hours=1) == 0 and table.remove_orphans(older_than_hours=0) == 1
+    table.compact(cluster_by=["id"])
+    assert rows(table.read()) == before and len(table.parts) == 1

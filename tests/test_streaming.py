@@ -4,7 +4,7 @@ import pytest
 
 from mercato.schemas import TABLES
 from mercato.sources.tables import VersionedTable
-from mercato.streaming.ingest import batch_completeness, stream_upsert
+from mercato.streaming.ingest import batch_completeness, stream_landing, stream_upsert
 
 SPEC = TABLES["sellers"]
 HEADER = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
@@ -93,3 +93,17 @@ def test_completeness(spark, rows):
     assert rows(batch_completeness(expected, log)) == [("a", True, 1, 2, False), ("b", False, 1, 2, False)]
     both = spark.createDataFrame([("a",), ("b",)], "table_name string")
     assert all(r["is_complete"] for r in batch_completeness(expected, both).collect())
+
+
+def test_one_landing_folder_for_all_tables(spark, tmp_path, rows):
+    landing = tmp_path / "landing"
+    _land(landing, "sellers.csv", "s1,1,x,A")
+    _land(landing, "acme_sellers_dataset.csv", "s2,2,y,B")
+    _land(landing, "top_sellers.csv", "s9,9,z,C")
+    header = ",".join(TABLES["customers"].columns) + "\n"
+    (landing / "customers.csv").write_text(header + 'c1,u1,1,"two\nlines",A\n')
+    tables = {n: VersionedTable(spark, str(tmp_path / n), TABLES[n].schema) for n in ("sellers", "customers")}
+    versions = stream_landing(spark, str(landing), tables, str(tmp_path / "ck"), prefix="acme_")
+    assert versions == {"sellers": 1, "customers": 1}
+    assert rows(tables["sellers"].read(), "seller_id") == [("s1",), ("s2",)]
+    assert rows(tables["customers"].read(), "customer_city") == [("two\nlines",)]

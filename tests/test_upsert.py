@@ -12,6 +12,7 @@ from mercato.operators.upsert import (
 )
 from mercato.schemas import TABLES, TableSpec
 from mercato.sources.tables import VersionedTable
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SCHEMA = "k long, v string"
@@ -94,3 +95,32 @@ def test_hot_full_row_stays_whole(spark):
     merged = upsert_full_row(target, batch)
     counts = {(r["k"], r["v"]): r["count"] for r in merged.groupBy("k", "v").count().collect()}
     assert counts[(0, "hot")] == 300 and counts[(1, "new")] == 300 and merged.count() == 1200
+
+
+def _times(folder):
+    return {p: p.stat().st_mtime_ns for p in folder.rglob("part-*.parquet")}
+
+
+def test_a_keyed_merge_rewrites_only_files_with_matched_keys(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "kv"), SPEC.schema)
+    names = SPEC.schema.names
+    many = spark.range(2000).select(F.col("id").cast(SPEC.schema[0].dataType).alias(names[0]), F.lit("a").alias(names[1]))
+    table.publish(many.repartitionByRange(8, names[0]))
+    files = table.files()
+    before = _times(tmp_path)
+    merge_into(table, spark.createDataFrame([(5, "new"), (5000, "more")], SPEC.schema), SPEC)
+    dropped = sum(map(len, table.parts.values()))
+    assert len(files) == 8 and dropped == 1 and len(table.files()) >= 8
+    assert {p: t for p, t in _times(tmp_path).items() if p in before} == before
+    got = {r[0]: r[1] for r in table.read().collect()}
+    assert len(got) == 2001 and got[5] == "new" and got[5000] == "more" and got[6] == "a"
+
+
+def test_a_full_row_merge_adds_a_folder(spark, tmp_path):
+    spec = TABLES["geolocation_raw"]
+    table = VersionedTable(spark, str(tmp_path / "geo"), spec.schema)
+    row = lambda i: (i, 1.0 * i, 2.0, "c", "S")
+    table.publish(spark.createDataFrame([row(i) for i in range(100)], spec.schema).repartition(4))
+    before = set(table.files())
+    merge_into(table, spark.createDataFrame([row(5), row(500), row(500)], spec.schema), spec)
+    assert before < set(table.files()) and table.read().count() == 102

@@ -501,4 +501,12 @@ FROM (SELECT *, NOT (geolocation_lat BETWEEN {_LAT[0]} AND {_LAT[1]} AND geoloca
 
 
 def all_oracles() -> dict[str, str]:
-    return {name: _sql(body) for name, body in _bodies().items()}
+    bodies = _bodies()
+    bodies |= {
+        "snapshot_run": bodies["snapshot_check"],
+        "gated_build": "SELECT 'fct_orders' AS mart, count(*) AS rows, 1 AS version FROM raw_orders "
+                       "UNION ALL SELECT 'dim_customers', count(*), 1 FROM raw_customers",
+        "csv_roundtrip": _union([
+            f"SELECT '{t}' AS table_name, count(*) AS rows, 0 AS differ FROM raw_{t}" for t in RAW]),
+    }
+    return {name: _sql(body) for name, body in bodies.items()}

@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 
 from mercato.operators import filters, history, profiling, quality, upsert
 from mercato.operators.filters import ALL, Selection
-from mercato.plans import checks, dashboard, loaders, segments, staging, star
+from mercato.functions.frames import union_all
+from mercato.plans import build, checks, dashboard, loaders, segments, staging, star
 from mercato.schemas import TABLES
 from mercato.session import materialise, scratch_path
-from mercato.sources.files import coerce_types, with_audit
+from mercato.sources.files import coerce_types, read_table, with_audit
 from mercato.sources.tables import VersionedTable, append_rows, write_mart
 from mercato.streaming import ingest
-from workload.adapters import LOADED_AT, RAW, RUN_2, SELLER_COLS, Marketplace
+from workload.adapters import LOADED_AT, RAW, RUN_1, RUN_2, SELLER_COLS, Marketplace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -258,6 +259,55 @@ def snapshot_check(m):
     return third
 
 
+@query
+def snapshot_run(m):
+    """Two stored runs, and the second replayed, which changes nothing."""
+    schema = m.sellers_history.schema
+    table = VersionedTable(m.spark, scratch_path(m.spark, "history") + "/sellers", schema)
+    build.snapshot_run(table, m.raw["sellers"], "seller_id", SELLER_COLS, RUN_1)
+    for _ in range(2):
+        build.snapshot_run(table, m.adapter("sellers_v2"), "seller_id", SELLER_COLS, RUN_2)
+    return table.read()
+
+
+@query
+def gated_build(m):
+    """A build that passes, and one whose failed check leaves every version as it was."""
+    root = scratch_path(m.spark, "gated")
+    marts = {name: m.marts[name] for name in ("fct_orders", "dim_customers")}
+    tables = {name: VersionedTable(m.spark, f"{root}/{name}", df.schema) for name, df in marts.items()}
+    rules = [c for c in checks.CHECKS if c.table in marts and (c.parent is None or c.parent[0] in marts)]
+    build.gated_build({name: (tables[name], df) for name, df in marts.items()}, rules)
+    twice = marts["dim_customers"].unionByName(marts["dim_customers"])
+    try:
+        build.gated_build({"dim_customers": (tables["dim_customers"], twice)}, [
+            quality.Check(quality.UNIQUE, "dim_customers", ("customer_id",))])
+    except quality.QualityError:
+        pass
+    else:
+        raise AssertionError("a repeated key passed the gate")
+    return union_all([
+        table.read().groupBy().agg(F.count("*").alias("rows")).select(
+            F.lit(name).alias("mart"), "rows", F.lit(table.version).alias("version"))
+        for name, table in tables.items()])
+
+
+@query
+def csv_roundtrip(m):
+    """Every raw table written as CSV and read by the loader: rows, and how many differ."""
+    root = scratch_path(m.spark, "csv")
+    lines = []
+    for name in RAW:
+        _land(m.raw[name], f"{root}/{name}")
+        read = read_table(m.spark, TABLES[name], f"{root}/{name}")
+        both = m.raw[name].withColumn("_side", F.lit(1)).unionByName(read.withColumn("_side", F.lit(-1)))
+        lines.append(
+            both.groupBy(*m.raw[name].columns).agg(F.sum("_side").alias("_more"), F.count_if(F.col("_side") < 0).alias("_rows"))
+            .groupBy().agg(F.sum("_rows").alias("rows"), F.sum(F.abs("_more")).alias("differ"))
+            .select(F.lit(name).alias("table_name"), "rows", "differ"))
+    return union_all(lines)
+
+
 @query
 def pit_join(m):
     return _items_at_time(m, closed="both")
