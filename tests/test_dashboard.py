@@ -182,3 +182,15 @@ def test_date_logic_counts(spark):
 def test_duplicates_of_signed_zero_and_nan(spark, rows):
     t = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (1.0,), (None,), (None,)], "x double")
     assert rows(profiling.profile_duplicates({"t": t, "empty": t.limit(0)})) == [("empty", 0, 0), ("t", 7, 3)]
+
+
+def test_a_review_without_a_score_has_no_part_in_a_mean(spark):
+    reviews = spark.createDataFrame(
+        [(5, 1, True, "a", date(2018, 1, 1)), (None, 3, True, "a", date(2018, 1, 1)),
+         (1, 1, False, "b", date(2018, 1, 1)), (None, 1, False, "c", date(2018, 1, 1))],
+        "review_score int, weight long, is_late_delivery boolean, product_category_name_english string, order_purchase_date date")
+    row = dashboard.kpi_satisfaction(reviews).collect()[0]
+    assert (row["avg_review_score"], row["on_time_minus_late"]) == (3.0, -4.0)
+    rated = {r[0]: r[1] for r in dashboard.lowest_rated_categories(reviews).collect()}
+    assert rated == {"a": 5.0, "b": 1.0, "c": None}
+    assert {r[0]: r[1] for r in dashboard.score_by_lateness(reviews).collect()} == {"Late": 5.0, "On time": 1.0}

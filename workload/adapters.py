@@ -229,8 +229,12 @@ class Marketplace:
         return materialise(self.marts["dim_products"].select("product_id", "product_category_name_english"), "products")
 
     def layers(self) -> LazyTables:
-        """Staging tables as ``stg_<name>`` together with the marts."""
+        """Staging tables as ``stg_<name>`` together with the marts, each written when first asked for: a report's
+        many checks then read columns of files instead of building the table again."""
+        def written(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
+            return materialise(tables[name], name)
+
         return LazyTables({
-            **{f"stg_{name}": partial(self.staging.__getitem__, name) for name in self.staging},
-            **{name: partial(self.marts.__getitem__, name) for name in self.marts},
+            **{f"stg_{name}": partial(written, self.staging, name) for name in self.staging},
+            **{name: partial(written, self.marts, name) for name in self.marts},
         })
