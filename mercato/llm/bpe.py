@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from mercato.llm.common import driver_file, map_values
 
 _NO_PAIR = 1 << 62
-KEPT_PIECES = 1 << 20  # pieces of up to 32 bytes whose tokens a worker remembers (some 200 MB); beyond that it starts afresh
+KEPT_PIECES = 1 << 18  # of up to 32 bytes, whose tokens a worker remembers; those not asked for since then are forgotten
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -88,18 +88,22 @@ class _Pieces(dict):
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.ranks = ranks
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        whole = self.ranks.get(raw)
-        ids = merge_piece(raw, self.ranks) if whole is None else [whole]
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.older.get(piece) or self._encoded(piece.encode())
         if len(self) >= KEPT_PIECES:
+            self.older = dict(self)
             self.clear()
-        if len(raw) <= 32:
+        if len(piece) <= 32:
             self[piece] = packed
         return packed
 
+    def _encoded(self, raw: bytes) -> bytes:
+        whole = self.ranks.get(raw)
+        ids = merge_piece(raw, self.ranks) if whole is None else [whole]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
 
 @lru_cache(maxsize=2)
 def _encoder(raw: bytes, pattern: str):
