@@ -500,6 +500,29 @@ FROM (SELECT *, NOT (geolocation_lat BETWEEN {_LAT[0]} AND {_LAT[1]} AND geoloca
     }
 
 
+# table, key, rules, references
+_SPLITS = {
+    "items": ("order_items", ("order_id", "order_item_id"), [
+        ("price <= 0", "price positive"), ("freight_value < 0", "freight not negative")],
+        [("order_id", "orders"), ("product_id", "products"), ("seller_id", "sellers")]),
+    "payments": ("order_payments", ("order_id", "payment_sequential"), [
+        ("payment_installments < 0", "instalments not negative"), ("payment_value < 0", "payment not negative")],
+        [("order_id", "orders")]),
+    "reviews": ("order_reviews", ("review_id", "order_id"), [
+        ("review_score NOT BETWEEN 1 AND 5", "score 1 to 5")], [("order_id", "orders")]),
+}
+
+
+def _constraints(table: str, key: tuple[str, ...], rules: list, references: list) -> str:
+    names = ", ".join(key)
+    cases = [f"CASE WHEN {broken} THEN '{name}' END" for broken, name in rules]
+    cases += [f"CASE WHEN {f.name} IS NULL THEN '{f.name} not null' END" for f in TABLES[table].schema if not f.nullable]
+    cases.append(f"CASE WHEN count(*) OVER (PARTITION BY {names}) > 1 THEN 'unique {names}' END")
+    cases += [f"CASE WHEN {c} NOT IN (SELECT {c} FROM raw_{parent}) THEN '{c} foreign key' END" for c, parent in references]
+    return (f"SELECT {names}, violations, violations = '' AS accepted FROM "
+            f"(SELECT {names}, concat_ws('; ', {', '.join(cases)}) AS violations FROM raw_{table})")
+
+
 def all_oracles() -> dict[str, str]:
     bodies = _bodies()
     bodies |= {
@@ -509,4 +532,5 @@ def all_oracles() -> dict[str, str]:
         "csv_roundtrip": _union([
             f"SELECT '{t}' AS table_name, count(*) AS rows, 0 AS differ FROM raw_{t}" for t in RAW]),
     }
+    bodies |= {f"constraint_split_{n}": _constraints(*parts) for n, parts in _SPLITS.items()}
     return {name: _sql(body) for name, body in bodies.items()}

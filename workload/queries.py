@@ -607,6 +607,31 @@ def constraint_split(m):
         (F.size("_violations") == 0).alias("accepted"))
 
 
+def _split(m, name):
+    """Broken constraints of a raw table's rows: its rules, required columns, key and references."""
+    spec = TABLES[name]
+    marked = quality.with_violations(
+        m.raw[name], checks.row_rules(name), required=spec.required, unique=spec.keys,
+        foreign={column: (m.raw[parent], known) for child, column, parent, known in checks.REFERENCES if child == name})
+    return marked.select(
+        *spec.keys, F.array_join("_violations", "; ").alias("violations"), (F.size("_violations") == 0).alias("accepted"))
+
+
+@query
+def constraint_split_items(m):
+    return _split(m, "order_items")
+
+
+@query
+def constraint_split_payments(m):
+    return _split(m, "order_payments")
+
+
+@query
+def constraint_split_reviews(m):
+    return _split(m, "order_reviews")
+
+
 # profile
 
 @query
