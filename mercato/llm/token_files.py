@@ -160,7 +160,7 @@ def write_token_files(
     ``id_col``; return the index: ``id_col``, start, n_tokens, shard, at.
 
     ``start`` counts the ids of all documents before it, ``at`` those before it in its shard. Null ids come first;
-    equal ids in the order of their texts, null texts (which count as empty) first; repeated rows are all written. An
+    equal ids in the order of their texts' XXH64; null texts count as empty; repeated rows are all written. An
     empty table writes no shard and gives an empty index. Other columns are not read, whatever their names. A shard
     is renamed into place when whole, so a task that runs again replaces it with the same bytes.
     """
@@ -189,9 +189,10 @@ def write_token_files(
             shard.close()
 
     _make_folder(docs.sparkSession, folder)
-    order = [F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first()]
+    # the hash keeps texts out of the sample that the ranges are drawn from
+    order = [F.col(id_col).asc_nulls_first(), F.xxhash64(text_col)]
     index = (
-        docs.select(id_col, text_col).repartitionByRange(*order).sortWithinPartitions(*order)
+        docs.select(id_col, text_col).repartitionByRange(*order).sortWithinPartitions(*order, text_col)
         .mapInArrow(write, StructType(fields)))
     index = materialise(index, "token-index")
     sizes = index.groupBy("shard").agg(F.sum("n_tokens").alias("n")).orderBy("shard").collect()  # one row a shard
