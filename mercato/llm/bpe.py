@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from mercato.llm.common import driver_file, map_values
 
 _NO_PAIR = 1 << 62
-KEPT_PIECES = 1 << 18  # of up to 32 bytes, whose tokens a worker remembers; those not asked for since then are forgotten
+KEPT_PIECES = 1 << 17  # of up to 32 bytes, whose tokens a worker remembers; those not asked for since then are forgotten
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -119,6 +119,15 @@ def _vocabulary(raw: bytes):
     return tokens.__getitem__
 
 
+def _encode(raw: bytes, pattern: str, text: str | None) -> bytes:
+    split, tokens = _encoder(raw, pattern)
+    return b"".join(map(tokens, split(text))) if text else b""
+
+
+def _decode(raw: bytes, ids: bytes | None) -> bytes:
+    return b"".join(map(_vocabulary(raw), np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 def encode_column(spark, text: Column, ranks_path: str, pattern: str) -> Column:
     """Token ids of ``text`` as little-endian unsigned 32-bit integers, one after the other.
 
@@ -127,21 +136,28 @@ def encode_column(spark, text: Column, ranks_path: str, pattern: str) -> Column:
     """
     vocabulary = spark.sparkContext.broadcast(driver_file(ranks_path))
 
-    def encode(value: str | None) -> bytes:
-        split, tokens = _encoder(vocabulary.value, pattern)
-        return b"".join(map(tokens, split(value))) if value else b""
-
-    return map_values(encode, "binary", text)
+    return map_values(lambda value: _encode(vocabulary.value, pattern, value), "binary", text)
 
 
 def decode_column(spark, ids: Column, ranks_path: str) -> Column:
     """Bytes of packed token ids; null gives no bytes. An id outside the vocabulary fails the task."""
     vocabulary = spark.sparkContext.broadcast(driver_file(ranks_path))
 
-    def decode(value: bytes | None) -> bytes:
-        return b"".join(map(_vocabulary(vocabulary.value), np.frombuffer(value or b"", "<u4").tolist()))
+    return map_values(lambda value: _decode(vocabulary.value, value), "binary", ids)
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``token_ids``, ``n_tokens`` and ``decoded``, as of :func:`encode` and :func:`decode`, in one pass."""
+    vocabulary = docs.sparkSession.sparkContext.broadcast(driver_file(ranks_path))
+
+    def both(value: str | None) -> tuple[bytes, bytes]:
+        ids = _encode(vocabulary.value, pattern, value)
+        return ids, _decode(vocabulary.value, ids)
 
-    return map_values(decode, "binary", ids)
+    coded = docs.withColumn("_coded", map_values(both, "struct<token_ids:binary,decoded:binary>", F.col(text_col)))
+    return coded.withColumns({
+        "token_ids": F.col("_coded.token_ids"), "decoded": F.col("_coded.decoded"),
+        "n_tokens": (F.octet_length("_coded.token_ids") / 4).cast("bigint")}).drop("_coded")
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:

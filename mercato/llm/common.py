@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
+BATCH_ROWS = 1000  # texts of a batch that Python gets; a batch is in memory several times over
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once a session, for those that do not have it installed."""
+    """Send this package to the executors, once a session, for those that do not have it installed, and let the
+    session's Arrow batches hold few rows, as texts can be long."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, "_mercato_shipped", False):
         return

@@ -59,7 +59,7 @@ def op4_byte_bpe(spark, sf_dir):
 
     ranks = public_tokenizers.path(BYTE_RANKS)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

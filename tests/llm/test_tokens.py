@@ -44,6 +44,8 @@ def test_long_piece():
 
 def test_bpe_operator(docs):
     coded = bpe.decode(bpe.encode(docs(ROWS), RANKS, P.PATTERN), RANKS)
+    once = bpe.round_trip(docs(ROWS), RANKS, P.PATTERN).select(*coded.columns)
+    assert sorted(map(str, once.collect())) == sorted(map(str, coded.collect()))
     for row in coded.collect():
         text = row["text"] or ""
         ids = TIKTOKEN.encode_ordinary(text)
