@@ -48,7 +48,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, their number, and the hashes of the ids and of what they decode to."""
     ship_package(spark)
     ranks = public_tokenizers.path(BYTE_RANKS)
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN), ranks)
+    coded = bpe.round_trip(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
