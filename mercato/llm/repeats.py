@@ -284,7 +284,8 @@ def _with_runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
     """``docs`` (id, text_hash, text) with ``runs``: start and end of each run of repeated windows."""
     found = materialise(_found(docs, length, anchor), "contexts")
     often = found.groupBy("anchor").agg(F.count("*").alias("places")).filter("places > 1").select("anchor")
-    found = materialise(found.join(often, "anchor"), "shared-contexts")
+    # written before the join, so that an anchor that a large part of all texts holds can be split in it
+    found = materialise(found.join(materialise(often, "shared-anchors"), "anchor"), "shared-contexts")
     kinds = found.groupBy("anchor", "context").agg(
         F.count("*").alias("number"), F.min(F.struct("id", "text_hash", "first")).alias("at"), F.first("windows").alias("windows"))
     kinds = materialise(kinds, "context-kinds")
