@@ -73,7 +73,7 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
         .groupBy(F.shiftright("bit", 6).alias("word"))
         .agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")))
     out = np.zeros(1 << BITMAP_BITS - 6, np.int64)
-    for row in words.toLocalIterator():
+    for row in words.collect():
         out[row["word"]] = row["bits"]
     return out.view(np.uint64)
 

@@ -175,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     place = {r["number"]: i for i, r in enumerate(rows)}
     present = np.zeros((len(rows), len(vocabulary)), np.float32)
     holds = words.select("number", F.explode("words").alias("word")).join(F.broadcast(features.select("word")), "word")
-    for row in holds.groupBy("number").agg(F.collect_list("word").alias("words")).toLocalIterator():
+    for row in holds.groupBy("number").agg(F.collect_list("word").alias("words")).collect():  # SAMPLE rows of FEATURES at most
         present[place[row["number"]], np.searchsorted(vocabulary, np.array(row["words"], np.int64).view(np.uint64))] = 1
     table = np.array([[np.nan if r[n] is None else r[n] for n in names] for r in rows], np.float64).reshape(len(rows), len(names))
     folds = np.array([r["number"] % FOLDS for r in rows], np.int64)
