@@ -2,8 +2,8 @@
 
 The seeds of a test item are its n-grams that few items share. A bitmap of fixed size holds their hashes; each task
 looks the n-grams of its texts up in it and keeps only the passages around hits. These meet the items in an equi-join
-on the seed. Pairs that a rare seed or several seeds support are aligned word by word, so that edited and paraphrased
-copies score by what they kept.
+on the seed. Every pair of an item and a different passage that shares a seed is aligned word by word, so that edited
+and paraphrased copies score by what they kept, and the scores go back to all copies of the passage.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from mercato.session import materialise
 GRAM = 4  # words of a seed
 MOST_ITEMS = 8  # a seed is an n-gram that at most so many different items hold
 LEAST_SEEDS = 4  # an item with fewer such n-grams takes its rarest ones up to this number
-RARE = 50  # one seed alone calls for an alignment if at most so many passages hold it; otherwise two do
+RARE = 50  # bounds nothing any more: every seeded pair is aligned; a test still sets the name
 BITMAP_BITS = 24  # the bitmap has 2**24 bits (2 MB), whatever the number of items
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5  # of the score of an identical passage
@@ -133,24 +133,24 @@ def find_contamination(
         F.xxhash64(text_col).alias("text_hash"))
     passages = _passages(
         named.select("id", F.struct("row_number", "text_hash").alias("row"), "text"), bitmap, max(longest, GRAM))
-    passages = materialise(passages.withColumn("passage_number", F.monotonically_increasing_id()), "passages")
-    hits = passages.select("passage_number", F.explode("hits").alias("seed"))
-    often = materialise(
-        hits.groupBy("seed").agg(F.count("*").alias("passages")).join(seeds, "seed"), "seed-counts")
-    pairs = (
-        hits.join(often, "seed").groupBy("passage_number", "item")
-        .agg(F.count("*").alias("seeds"), F.min("passages").alias("rarest"))
-        .filter((F.col("rarest") <= RARE) | (F.col("seeds") > 1)).select("passage_number", "item"))
-    texts = pairs.join(passages.select("passage_number", "id", "row", "passage"), "passage_number").join(
-        known.select("item", "item_ids", "item_text"), "item")
+    passages = materialise(passages.withColumn("digest", F.sha2("passage", 256)), "passages")
+    # equal passages are looked at once: a seed costs as much as it has different surroundings, however many copies
+    hits = materialise(passages.select("digest", F.explode("hits").alias("seed")).distinct(), "hits")
+    pairs = materialise(hits.join(seeds, "seed").select("digest", "item").distinct(), "pairs")
+    different = materialise(passages.groupBy("digest").agg(F.first("passage").alias("passage")), "different-passages")
+    texts = pairs.join(different, "digest").join(known.select("item", "item_text"), "item")
 
     def score(item, passage):
         return alignment_score(split_words([item.encode()]).hashes, split_words([passage.encode()]).hashes)
 
-    return (
+    scores = materialise(
         texts.withColumn("score", map_values(score, "double", F.col("item_text"), F.col("passage")))
-        .filter(F.col("score") >= least_score)
-        .groupBy("id", "row", "item").agg(F.max("score").alias("score"), F.first("item_ids").alias("item_ids"))
+        .filter(F.col("score") >= least_score).select("digest", "item", "score"), "scores")
+    best = (
+        passages.select("digest", "id", "row").join(scores, "digest")
+        .groupBy("id", "row", "item").agg(F.max("score").alias("score")))
+    return (
+        best.join(known.select("item", "item_ids"), "item")
         .select(F.col("id").alias(id_col), F.col("row.text_hash").alias("text_hash"), F.explode("item_ids").alias(item_col), "score"))
 
 

@@ -80,6 +80,18 @@ def test_passages_that_everything_holds(spark, docs, monkeypatch):
     assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(i, 50) for i in range(0, 30, 3)]
 
 
+def test_one_seed_that_many_passages_hold(spark, docs):
+    edited, four = prose(15), prose(4)
+    copy = edited.split()
+    for at in (4, 8, 12):  # one run of four words is left
+        copy[at] = "zzz"
+    rows = [(i, " ".join([*(copy if i % 2 else four.split()), prose(20)])) for i in range(120)]
+    rows += [(200 + i, " ".join(["q", *copy, "q"])) for i in range(60)]
+    found = decontaminate.find_contamination(docs(rows), items_of(spark, [(1, edited), (2, four)])).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [
+        *((i, 1 if i % 2 else 2) for i in range(120)), *((200 + i, 1) for i in range(60))]
+
+
 def test_empty_tables(spark, docs):
     assert decontaminate.find_contamination(docs([]), items_of(spark, [(1, prose(20))])).count() == 0
     assert decontaminate.find_contamination(docs([(1, prose(20))]), items_of(spark, [])).count() == 0
