@@ -44,7 +44,9 @@ _DIGIT_PART = re.compile(rf"(?i)(?P<sign>plus)[\x20-]+|(?P<digit>{_DIGIT_WORD})[
 _DISGUISED_AT = re.compile(
     r"(?i)(?<=[A-Za-z0-9])(?:\x20*[\[({<]\x20*at\x20*[\])}>]\x20*"
     rf"|\x20at\x20(?=(?:[A-Za-z0-9-]+\x20dot\x20)+(?:{'|'.join(ENDINGS)})(?![A-Za-z0-9])))(?=[A-Za-z0-9])")
-_DISGUISED_DOT = re.compile(r"(?i)(?<=[A-Za-z0-9])(?:\x20*[\[({<]\x20*(?:dot|\.)\x20*[\])}>]\x20*|\x20dot\x20)(?=[A-Za-z0-9])")
+_BRACKETED_DOT = r"\x20*[\[({<]\x20*(?:dot|\.)\x20*[\])}>]\x20*"
+_DISGUISED_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9])(?:{_BRACKETED_DOT}|\x20dot\x20)(?=[A-Za-z0-9])")
+_DOT_WITHOUT_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9]){_BRACKETED_DOT}(?=[A-Za-z0-9])|(?<=[0-9])\x20dot\x20(?=[0-9])")
 
 
 def luhn(digits: str) -> bool:
@@ -130,7 +132,8 @@ def normalise(text: str) -> Mapped:
         out = out.rewrite(_SIGNS, lambda m: _ONE_SIGN[m[0]])
     out = out.rewrite(_DIGIT_RUN, _digits)
     at = out.rewrite(_DISGUISED_AT, lambda m: "@")
-    return at.rewrite(_DISGUISED_DOT, lambda m: ".") if at is not out or "@" in out.text else out
+    dots = _DISGUISED_DOT if at is not out or "@" in out.text else _DOT_WITHOUT_AT
+    return at.rewrite(dots, lambda m: ".")
 
 
 _NEEDS_WORK = re.compile(rf"{_SIGNS.pattern}|{_DIGIT_RUN.pattern[4:]}|[\[({{<]\x20*(?:at|dot|\.)\x20*[\])}}>]|\x20dot\x20", re.I)

@@ -60,6 +60,15 @@ def test_disguises():
         assert added(clean) == []
 
 
+def test_disguised_addresses_without_an_at():
+    for ip in ("192[.]168[.]1[.]1", "192 dot 168 dot 1 dot 1", "10 (dot) 0 {.} 0 DOT 1", "１９２ dot 168[.]1[.]1"):
+        for text in (f"host {ip}, up", f"host {ip}, up, a@b.co"):
+            assert [(k, text[a:b]) for k, a, b in pii.all_spans(text)[1]] == [("ip", ip)]
+        assert pii.mask_text(f"host {ip}, up") == "host <IP>, up"
+    for clean in ("300[.]168[.]1[.]1", "1 dot 2 dot 3", "connect the dot 4 dot 5 dot matrix", "see [.] here"):
+        assert pii.all_spans(clean) == ([], [])
+
+
 def test_plain_spans_stay_beside_disguised_ones():
     text = "a@b.co, jane (at) mail (dot) org, +1 (555) 123-4567"
     plain, added = pii.all_spans(text)
