@@ -105,7 +105,7 @@ def op9_token_files(spark, sf_dir):
 
     folder = scratch_path(spark, "token-files")
     index = token_files.write_token_files(
-        table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_TOKENIZER))
+        table(spark, sf_dir, "documents"), folder, public_tokenizers.path(WORD_TOKENIZER), names_as_text=False)
     return token_files.read_checksums(index, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -28,7 +28,7 @@ KEPT_CHUNKS = 1 << 20  # chunks of up to 32 bytes whose ids a worker remembers;
 
 
 class _Chunks(dict):
-    """Stretch between white space (ASCII letters lowered) -> its ids as bytes."""
+    """Stretch between white space -> its ids as bytes."""
 
     def __init__(self, tokenizer, kind):
         super().__init__()
@@ -45,11 +45,11 @@ class _Chunks(dict):
 
 
 @lru_cache(maxsize=2)
-def _chunks(raw: bytes) -> _Chunks:
+def _chunks(raw: bytes, names_as_text: bool) -> _Chunks:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_buffer(raw)
-    tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
+    tokenizer.encode_special_tokens = names_as_text
     tokenizer.no_truncation()
     return _Chunks(tokenizer, id_type(tokenizer.get_vocab_size()))
 
@@ -58,10 +58,17 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def encode_text(raw: bytes, text: str | None) -> bytes:
-    """Packed ids of a text. The tokenizer drops white space and lower-cases, and no token or rule spans white space,
-    so the ids of a text are those of its stretches between white space, one after the other."""
-    return b"".join(map(_chunks(raw).__getitem__, (text or "").encode().lower().split()))
+def encode_text(raw: bytes, text: str | None, names_as_text: bool = True) -> bytes:
+    """Packed ids of a text. The tokenizer drops white space, and no token or rule spans ASCII white space, so the ids
+    of a text are those of its stretches between white space, one after the other.
+
+    The tokenizer composes letters (NFC) before it lower-cases them, so only ASCII texts are lowered here, to remember
+    fewer stretches; nor texts that may name a special token, which is looked for as written.
+    """
+    signs = (text or "").encode()
+    if signs.isascii() and b"<|" not in signs:
+        signs = signs.lower()
+    return b"".join(map(_chunks(raw, names_as_text).__getitem__, signs.split()))
 
 
 class _Shard:
@@ -154,7 +161,7 @@ class Reader:
 
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text",
-    length: int = LENGTH,
+    length: int = LENGTH, names_as_text: bool = True,
 ) -> DataFrame:
     """Write the ids of every text and ``end_id`` after each into ``folder`` (a URI all executors reach), in ascending
     ``id_col``; return the index: ``id_col``, start, n_tokens, shard, at.
@@ -162,13 +169,14 @@ def write_token_files(
     ``start`` counts the ids of all documents before it, ``at`` those before it in its shard. Null ids come first;
     equal ids in the order of their texts' XXH64; null texts count as empty; repeated rows are all written. An
     empty table writes no shard and gives an empty index. Other columns are not read, whatever their names. A shard
-    is renamed into place when whole, so a task that runs again replaces it with the same bytes.
+    is renamed into place when whole, so a task that runs again replaces it with the same bytes. A special token's name
+    in a text is ordinary text, or with ``names_as_text`` off that token, as the tokenizers library does by default.
     """
     raw = docs.sparkSession.sparkContext.broadcast(driver_file(tokenizer_path))
     fields = [docs.schema[id_col], StructField("n_tokens", LongType()), StructField("shard", LongType()), StructField("at", LongType())]
 
     def write(batches):
-        chunks = _chunks(raw.value)
+        chunks = _chunks(raw.value, names_as_text)
         kind = np.dtype(chunks.kind)
         end = np.array([end_id], kind).tobytes()
         number = TaskContext.get().partitionId()
@@ -177,7 +185,7 @@ def write_token_files(
             counts, starts = [], []
             for text in batch.column(1):
                 shard = shard or _Shard(folder, shard_name(number), kind.str, length)
-                packed = encode_text(raw.value, text.as_py()) + end
+                packed = encode_text(raw.value, text.as_py(), names_as_text) + end
                 shard.add(packed)
                 counts.append(len(packed) // kind.itemsize)
                 starts.append(at)

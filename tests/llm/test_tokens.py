@@ -85,3 +85,33 @@ def test_no_documents(spark, docs):
     folder = scratch_path(spark, "test-tokens")
     index = token_files.write_token_files(docs([]), folder, P.path(queries.WORD_TOKENIZER))
     assert token_files.read_checksums(index, folder).collect() == []
+
+
+UNMODIFIED = Tokenizer.from_file(P.path(queries.WORD_TOKENIZER))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(texts, st.lists(st.sampled_from(
+    ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "H", "J", "h", "É", "\u0331", "\u030c", "\u0301", " ", "\n", "x"]),
+    max_size=12).map("".join)))
+def test_unmodified_tokenizer(text):
+    packed = token_files.encode_text(WORDS_RAW, text, names_as_text=False)
+    assert list(struct.unpack(f"<{len(packed) // 2}H", packed)) == UNMODIFIED.encode(text, add_special_tokens=False).ids
+
+
+def test_special_names_and_marks():
+    for text in ("a <|endoftext|> b", "H\u0331 x", "J\u030c"):
+        packed = token_files.encode_text(WORDS_RAW, text, names_as_text=False)
+        assert list(struct.unpack(f"<{len(packed) // 2}H", packed)) == UNMODIFIED.encode(text, add_special_tokens=False).ids
+    packed = token_files.encode_text(WORDS_RAW, "H\u0331 x")
+    assert list(struct.unpack(f"<{len(packed) // 2}H", packed)) == WORDS.encode("H\u0331 x", add_special_tokens=False).ids
+
+
+def test_query_encodes_as_the_unmodified_tokenizer(spark, tmp_path):
+    rows = [(1, "a <|endoftext|> b"), (2, "H\u0331 x"), (3, "x")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"file://{tmp_path}/documents.parquet")
+    got, start = queries.all_queries()["op9_token_files"](spark, str(tmp_path)).orderBy("start").collect(), 0
+    for row, (doc_id, text) in zip(got, rows, strict=True):
+        ids = UNMODIFIED.encode(text, add_special_tokens=False).ids + [1]
+        assert tuple(row) == (doc_id, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        start += len(ids)
