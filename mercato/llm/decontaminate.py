@@ -1,6 +1,6 @@
-"""Benchmark decontamination: rare word n-grams as seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: word n-grams as seeds, then Smith-Waterman alignment.
 
-The seeds of a test item are its n-grams that few items share. A bitmap of fixed size holds their hashes; each task
+The seeds of a test item are all its n-grams. A bitmap of fixed size holds their hashes; each task
 looks the n-grams of its texts up in it and keeps only the passages around hits. These meet the items in an equi-join
 on the seed. Every pair of an item and a different passage that shares a seed is aligned word by word, so that edited
 and paraphrased copies score by what they kept, and the scores go back to all copies of the passage.
@@ -18,9 +18,7 @@ from mercato.llm.common import map_values
 from mercato.llm.words import blocks, split_words
 from mercato.session import materialise
 
-GRAM = 4  # words of a seed
-MOST_ITEMS = 8  # a seed is an n-gram that at most so many different items hold
-LEAST_SEEDS = 4  # an item with fewer such n-grams takes its rarest ones up to this number
+GRAM = 3  # words of a seed
 RARE = 50  # bounds nothing any more: every seeded pair is aligned; a test still sets the name
 BITMAP_BITS = 24  # the bitmap has 2**24 bits (2 MB), whatever the number of items
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -42,7 +40,7 @@ def alignment_score(item: np.ndarray, passage: np.ndarray) -> float:
 
 
 def _grams(text: str | None) -> tuple[list[int], int]:
-    words = split_words([(text or "").encode()])
+    words = split_words([(text or "").encode()], unspaced=True)
     return np.unique(words.grams(GRAM)[0]).view(np.int64).tolist(), len(words.hashes)
 
 
@@ -57,13 +55,8 @@ def _items(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
 
 
 def _seeds(items: DataFrame) -> DataFrame:
-    """(item, seed): n-grams that few items share, and an item's rarest where it has too few of these."""
-    grams = items.select("item", F.explode("grams").alias("seed"))
-    shared = grams.groupBy("seed").agg(F.count("*").alias("items"))
-    ranked = grams.join(shared, "seed").groupBy("item").agg(F.array_sort(F.collect_list(F.struct("items", "seed"))).alias("s"))
-    few = F.filter("s", lambda x: x["items"] <= MOST_ITEMS)
-    chosen = F.when(F.size(few) >= LEAST_SEEDS, few).otherwise(F.slice("s", 1, LEAST_SEEDS))
-    return materialise(ranked.select("item", F.explode(chosen).alias("s")).select("item", "s.seed"), "seeds")
+    """(item, seed): all n-grams of the items."""
+    return materialise(items.select("item", F.explode("grams").alias("seed")), "seeds")
 
 
 def _bitmap(seeds: DataFrame) -> np.ndarray:
@@ -87,7 +80,7 @@ def _passages(docs: DataFrame, bitmap, reach: int) -> DataFrame:
         for batch in batches:
             rows, passages, hits = [], [], []
             done = 0
-            for words in blocks(text.as_py() for text in batch.column(2)):
+            for words in blocks((text.as_py() for text in batch.column(2)), unspaced=True):
                 grams, first = words.grams(GRAM)
                 bit = grams & np.uint64((1 << BITMAP_BITS) - 1)
                 hit = np.flatnonzero(bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1))
@@ -118,8 +111,8 @@ def find_contamination(
 ) -> DataFrame:
     """``id_col``, text_hash, ``item_col``, score: each row of ``docs`` with each item it holds a copy of.
 
-    Words are runs of letters and digits, A-Z lowered. ``score`` is the best local alignment of the item with a passage,
-    as a share of an identical one's, at least ``least_score``. Null and empty texts and items of fewer than four words
+    Words are runs of letters and digits, A-Z lowered, and single characters of scripts without spaces. ``score`` is the best local alignment of the item with a passage,
+    as a share of an identical one's, at least ``least_score``. Null and empty texts and items of fewer than three words
     match nothing. Items of equal text match alike; repeated rows of ``docs`` give their pairs once each. Empty tables
     give none, and no other column is read.
     """
@@ -141,7 +134,7 @@ def find_contamination(
     texts = pairs.join(different, "digest").join(known.select("item", "item_text"), "item")
 
     def score(item, passage):
-        return alignment_score(split_words([item.encode()]).hashes, split_words([passage.encode()]).hashes)
+        return alignment_score(*(split_words([text.encode()], unspaced=True).hashes for text in (item, passage)))
 
     scores = materialise(
         texts.withColumn("score", map_values(score, "double", F.col("item_text"), F.col("passage")))

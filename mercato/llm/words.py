@@ -58,27 +58,45 @@ class Words:
         return ~stretch_hashes(self.sums, starts, starts + size), longer
 
 
-def split_words(texts: list[bytes]) -> Words:
+def _unspaced(signs: np.ndarray) -> np.ndarray:
+    """Whether a character of a script without spaces (Thai, Lao, Burmese, Khmer, Chinese, Japanese) starts or ends at
+    each byte of UTF-8 and at the end."""
+    cut = np.zeros(len(signs) + 1, bool)
+    lead = np.flatnonzero(signs[:-1] >= 0xE0)
+    first, second = signs[lead], signs[lead + 1]
+    three = (first >= 0xE3) & (first <= 0xE9) | (first == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    three |= (first == 0xE1) & ((second >= 0x80) & (second <= 0x82) | (second >= 0x9E) & (second <= 0x9F))
+    four = (first == 0xF0) & (second >= 0xA0) & (second <= 0xB3)
+    for found, size in ((lead[three], 3), (lead[four], 4)):
+        cut[found] = cut[found + size] = True
+    return cut
+
+
+def split_words(texts: list[bytes], unspaced: bool = False) -> Words:
+    """Words of the texts; with ``unspaced``, each character of a script without spaces is a word."""
     block = b"\n".join(texts)
-    codes = _WORD_BYTES[np.frombuffer(block, np.uint8)]
-    inside = np.zeros(len(codes) + 2, np.int8)
+    signs = np.frombuffer(block, np.uint8)
+    codes = _WORD_BYTES[signs]
+    inside = np.zeros(len(codes) + 2, bool)
     inside[1:-1] = codes > 0
-    edges = np.diff(inside)
-    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    edges = inside[1:] != inside[:-1]
+    if unspaced:
+        edges |= _unspaced(signs)
+    starts, ends = np.flatnonzero(edges & inside[1:]), np.flatnonzero(edges & inside[:-1])
     sizes = np.array([len(t) + 1 for t in texts], np.int64)
     text = np.searchsorted(np.cumsum(sizes), starts, side="right")
     sums = prefix_sums(codes)
     return Words(block, stretch_hashes(sums, starts, ends), text, starts, ends, len(texts), sums)
 
 
-def blocks(texts: Iterable[str | None]) -> Iterator[Words]:
+def blocks(texts: Iterable[str | None], unspaced: bool = False) -> Iterator[Words]:
     """Words of the texts in turn, some at a time; null texts have none."""
     waiting, size = [], 0
     for text in texts:
         waiting.append((text or "").encode())
         size += len(waiting[-1])
         if size >= BLOCK or len(waiting) >= BLOCK_TEXTS:
-            yield split_words(waiting)
+            yield split_words(waiting, unspaced)
             waiting, size = [], 0
     if waiting:
-        yield split_words(waiting)
+        yield split_words(waiting, unspaced)

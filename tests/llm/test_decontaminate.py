@@ -92,6 +92,27 @@ def test_one_seed_that_many_passages_hold(spark, docs):
         *((i, 1 if i % 2 else 2) for i in range(120)), *((200 + i, 1) for i in range(60))]
 
 
+def test_dense_edits_and_scripts_without_spaces(spark, docs):
+    def cut(text):
+        return re.findall(r"[\u4e00-\u9fff\u0e00-\u0e7f]|[a-z]+", text)
+
+    chinese, thai = "我们今天在图书馆学习数据处理的方法", "วันนี้อากาศดีมากเราไปเดินเล่นกัน"
+    items = [(1, prose(15)), (2, prose(16)), (3, prose(3)), (4, chinese), (5, thai)]
+    items += [(10 + i, f"{items[0][1].split()[0]} {prose(12)}") for i in range(10)]
+    rows = [(i, prose(40)) for i in range(10)]
+    for doc_id, (_, text), places in ((100, items[0], (3, 7, 11, 14)), (101, items[0], (3, 7, 11)), (102, items[1], (3, 7, 11, 15))):
+        copy = text.split()
+        for at in places:
+            copy[at] = "zzz"
+        rows.append((doc_id, " ".join([prose(9), *copy, prose(9)])))
+    rows += [(103, f"{prose(5)} {items[2][1]} {prose(5)}"), (104, f"他说{chinese}很好"), (105, f"{prose(4)} {chinese[:7]}呢{chinese[8:]}"),
+             (106, thai), (107, "完全不同的一句话没有关系")]
+    want = {(d, i): score for d, t in rows for i, item in items if (score := plain_score(cut(item), cut(t))) >= 0.5}
+    found = decontaminate.find_contamination(docs(rows), items_of(spark, items)).collect()
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in found} == pytest.approx(want)
+    assert set(want) == {(100, 1), (101, 1), (102, 2), (103, 3), (104, 4), (105, 4), (106, 5)}
+
+
 def test_empty_tables(spark, docs):
     assert decontaminate.find_contamination(docs([]), items_of(spark, [(1, prose(20))])).count() == 0
     assert decontaminate.find_contamination(docs([(1, prose(20))]), items_of(spark, [])).count() == 0
