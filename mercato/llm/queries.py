@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bpe, decontaminate, pii, repeats, secrets, simhash, token_files, topk, toxicity, url_filter
+from mercato.llm import bpe, decontaminate, pii, repeats, secrets, simhash, syncmers, token_files, topk, toxicity, url_filter
 from mercato.llm.common import ship_package, table
 from mercato.session import scratch_path
 
@@ -117,6 +117,14 @@ def op10_pii(spark, sf_dir):
         F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("pii").alias("spans"))
 
 
+@query
+def op12_syncmers(spark, sf_dir):
+    compared = syncmers.compare_edits(table(spark, sf_dir, "documents"))
+    return compared.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), syncmers.hex_string(F.col("codes")).alias("fingerprint"),
+        syncmers.hex_string(F.col("edited_codes")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op8_url_filter": r"""
