@@ -122,7 +122,7 @@ def op12_syncmers(spark, sf_dir):
     compared = syncmers.compare_edits(table(spark, sf_dir, "documents"))
     return compared.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), syncmers.hex_string(F.col("codes")).alias("fingerprint"),
-        syncmers.hex_string(F.col("edited_codes")).alias("edited_fingerprint"), "near_edited", "near_next")
+        syncmers.hex_string(F.col("edited_codes")).alias("edited_fingerprint"), "near_edited", "next_id", "near_next")
 
 
 def all_oracles() -> dict[str, str]:

@@ -117,16 +117,17 @@ def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _distinct(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Each (id, text) once: a key of two hashes, id, text and the number of copies. Copies collapse before the shuffle."""
+    """Each (id, text) once, with a key of two hashes. Copies collapse before the shuffle."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = docs.select(
         F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(1), text_col, id_col).alias("k2"),
         F.col(id_col).alias("id"), text.alias("text"))
-    return keyed.groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("text").alias("text"), F.count("*").alias("copies"))
+    return keyed.groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("text").alias("text"))
 
 
 def _successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(k1, k2) of each document with (p1, p2, p_chars) of the one that it follows, by falling id, the first after the last.
+    """(k1, k2) of each document with (p1, p2, chars, copies) of the one that it follows, by falling id, the first after
+    the last.
 
     Sorted by range over keys alone; a row's successor is the next row of its partition, and the last row's is the first
     of the next partition, of which the driver has one row each.
@@ -135,10 +136,10 @@ def _successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         docs.select(
             F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(1), text_col, id_col).alias("k2"),
             F.col(id_col).alias("id"), F.coalesce(F.length(text_col), F.lit(0)).alias("chars"))
-        .groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("chars").alias("chars")))
+        .groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("chars").alias("chars"), F.count("*").alias("copies")))
     order = [F.col("id").desc_nulls_last(), F.col("k1"), F.col("k2")]
     placed = (
-        keys.repartitionByRange(*order).sortWithinPartitions(*order).select("k1", "k2", "chars")
+        keys.repartitionByRange(*order).sortWithinPartitions(*order).select("k1", "k2", "chars", "copies")
         .withColumn("place", F.monotonically_increasing_id()))
     placed = materialise(placed, "document-order")  # range bounds are sampled, so places are settled before they are joined
     parts = (
@@ -149,33 +150,34 @@ def _successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         [(p["last"], first) for p, first in zip(parts, firsts[1:] + firsts[:1])], "place long, jump long")
     before = placed.join(F.broadcast(jumps), "place", "left").select(  # one row a partition
         F.coalesce("jump", F.col("place") + 1).alias("place"), F.col("k1").alias("p1"), F.col("k2").alias("p2"),
-        F.col("chars").alias("p_chars"))
+        "chars", "copies")
     return materialise(placed.select("place", "k1", "k2").join(before, "place").drop("place"), "successors")
 
 
 def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """What an edit of the last third and a change of document do to each fingerprint.
 
-    Returns ``id_col``, n_chars, edited (text), codes, edited_codes, near_edited and near_next. The edited text is the
+    Returns ``id_col``, n_chars, edited (text), codes, edited_codes, near_edited, next_id and near_next. The edited text is the
     document's own with its last floor(n_chars / 3) code points replaced by the first as many, or all, of the next
     document by falling id, the first one's after the last. Null texts count as empty. Null ids come last; equal
     ids in the order of a hash of id and text. Repeated rows, of equal id and text, are one document in that order and all
     returned. A single document is its own next; an empty table gives no rows. No other column is read.
 
-    Texts are shuffled once, by a key of their own. The next document's first third and its codes come to that place;
-    of the edited text only the part that is new, and the seam, is searched for anchors.
+    Texts are shuffled once, by a key of their own, and read from that shuffle twice: the part that a document gives to
+    the one before it comes to that one's place, together with its codes. Of the edited text only the part that is new, and
+    the seam, is searched for anchors.
     """
     own = _distinct(docs, id_col, text_col)
     text, raw = F.col("text"), F.encode("text", "UTF-8")
     followed = _successors(docs, id_col, text_col)
-    third = F.floor(F.col("p_chars") / 3).cast("int")
-    coming = own.join(followed, ["k1", "k2"]).select(
-        F.col("p1").alias("k1"), F.col("p2").alias("k2"), F.left(text, third).alias("coming"),
-        codes(anchors(raw), raw).alias("next_codes"))
+    third = F.floor(F.col("chars") / 3).cast("int")
+    coming = own.join(followed, ["k1", "k2"]).select(  # id and text, as ``own`` has them, so that its shuffle is reused
+        F.col("p1").alias("k1"), F.col("p2").alias("k2"), "copies", F.col("id").alias("next_id"),
+        F.left(text, third).alias("coming"), codes(anchors(raw), raw).alias("next_codes"))
     chars = F.length(text)
     kept = F.left(text, chars - F.floor(chars / 3).cast("int"))
     met = own.join(coming, ["k1", "k2"]).select(
-        "id", "copies", F.length("text").cast("bigint").alias("n_chars"), raw.alias("raw"), "next_codes",
+        "id", "copies", "next_id", F.length("text").cast("bigint").alias("n_chars"), raw.alias("raw"), "next_codes",
         F.octet_length(kept).alias("kept"), F.concat(kept, F.col("coming")).alias("edited"),
         anchors(raw).alias("own_anchors"))
     edited = F.encode("edited", "UTF-8")
@@ -184,11 +186,11 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         anchors(edited.substr(seam + 1, F.length(edited))), lambda x: F.struct((x["at"] + seam).alias("at"), x["code"].alias("code")))
     staying = F.filter("own_anchors", lambda x: x["at"] + K <= F.col("kept"))
     judged = met.select(
-        "id", "copies", "n_chars", "edited", "next_codes", codes(F.col("own_anchors"), F.col("raw")).alias("codes"),
+        "id", "copies", "next_id", "n_chars", "edited", "next_codes", codes(F.col("own_anchors"), F.col("raw")).alias("codes"),
         codes(F.concat(staying, new), edited).alias("edited_codes"))
     compared = judged.select(
         F.col("id").alias(id_col), "n_chars", "edited", "codes", "edited_codes",
-        likeness(F.col("codes"), F.col("edited_codes")).alias("near_edited"),
+        likeness(F.col("codes"), F.col("edited_codes")).alias("near_edited"), "next_id",
         likeness(F.col("codes"), F.col("next_codes")).alias("near_next"), "copies")
     every = compared.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
     return every.drop("copies", "copy")
