@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bpe, decontaminate, pii, repeats, secrets, simhash, syncmers, token_files, topk, toxicity, url_filter
+from mercato.llm import bpe, decontaminate, pii, repeats, secrets, simhash, syncmers, token_files, topk, toxicity, url_filter, whitening
 from mercato.llm.common import ship_package, table
 from mercato.session import scratch_path
 
@@ -117,6 +117,11 @@ def op10_pii(spark, sf_dir):
         F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("pii").alias("spans"))
 
 
+@query
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 @query
 def op12_syncmers(spark, sf_dir):
     compared = syncmers.compare_edits(table(spark, sf_dir, "documents"))
