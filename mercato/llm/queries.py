@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mercato.llm import bpe, decontaminate, pii, repeats, secrets, simhash, syncmers, token_files, topk, toxicity, url_filter, whitening
+from mercato.llm import bpe, decontaminate, negatives, pii, repeats, secrets, simhash, syncmers, token_files, topk, toxicity, url_filter, whitening
 from mercato.llm.common import ship_package, table
 from mercato.session import scratch_path
 
@@ -130,6 +130,17 @@ def op12_syncmers(spark, sf_dir):
         syncmers.hex_string(F.col("edited_codes")).alias("edited_fingerprint"), "near_edited", "next_id", "near_next")
 
 
+def mine(embeddings: DataFrame) -> DataFrame:
+    """Hard negatives of every hundredth vector, a seventh of the labels being wrong on purpose."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(embeddings, F.col("vec_id") % 100 == 0, moved)
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op8_url_filter": r"""

@@ -10,11 +10,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from mercato.llm.eigen import leading
+from mercato.llm.vectors import matrix, scaled, usable
 from mercato.session import materialise
 
 SCALE = 256
@@ -40,27 +41,6 @@ class Whitening:
         return (rows - self.sums / self.count) @ (self.components / np.sqrt(self.values)[:, None]).T
 
 
-def usable(vector: Column) -> Column:
-    """No null vector, and none with a null or non-finite entry."""
-    bad = F.exists(vector, lambda c: c.isNull() | F.isnan(c) | (F.abs(c.cast("double")) == float("inf")))
-    return F.coalesce(vector.isNotNull() & ~bad, F.lit(False))
-
-
-def scaled(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * c) of each entry, in double precision, as long; raises from ``MOST`` on."""
-    def entry(c: Column) -> Column:
-        x = F.lit(float(scale)) * c.cast("double")
-        too_big = F.raise_error(F.concat(F.lit("vector entry out of range: "), c.cast("string"))).cast("bigint")
-        return F.when(F.abs(x) < MOST, F.floor(x)).otherwise(too_big)
-
-    return F.transform(vector, entry)
-
-
-def _matrix(lists: pa.Array, kind=np.int64) -> np.ndarray:
-    count = len(lists)
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(count, -1) if count else np.zeros((0, 0), kind)
-
-
 def _summed(parts: DataFrame, count: int) -> np.ndarray:
     """Rows (row, part: array) of the tasks, added up by (row, place in the array): a matrix of ``count`` columns."""
     entries = (
@@ -78,7 +58,7 @@ def _sums(fit: DataFrame) -> tuple[int, np.ndarray]:
 
     def add(batches):
         for batch in batches:
-            x = _matrix(batch.column(0))
+            x = matrix(batch.column(0))
             if len(x):
                 total = np.append(x.sum(axis=0), len(x))  # below 2**31 each, and few in a batch
                 yield pa.record_batch([pa.array([0], pa.int64()), pa.array([total.tolist()], pa.list_(pa.int64()))], names=kind.names)
@@ -98,7 +78,7 @@ def _centred(fit: DataFrame, wide: int, centre: np.ndarray, project=None) -> np.
     def add(batches):
         total = np.zeros((wide, wide))
         for batch in batches:
-            x = _matrix(batch.column(0))
+            x = matrix(batch.column(0))
             if len(x):
                 x = (project(x) if project else x) - centre
                 total += x.T @ x
@@ -115,7 +95,7 @@ def _means(fit: DataFrame, model: Whitening) -> np.ndarray:
     def add(batches):
         total = np.zeros(len(model.values))
         for batch in batches:
-            x = _matrix(batch.column(0))
+            x = matrix(batch.column(0))
             if len(x):
                 total += model.apply(x).sum(axis=0)
         yield pa.record_batch([pa.array([0], pa.int64()), pa.array([total.tolist()], pa.list_(pa.float64()))], names=kind.names)
@@ -126,7 +106,7 @@ def _means(fit: DataFrame, model: Whitening) -> np.ndarray:
 def vectors(rows: DataFrame, vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
     """The usable rows of ``rows`` as ``row`` (a struct of all their columns) and ``x``, their scaled vectors; shorter
     ones are filled up with zeros to the longest."""
-    kept = rows.filter(usable(F.col(vector_col))).select(F.struct("*").alias("row"), scaled(F.col(vector_col), scale).alias("x"))
+    kept = rows.filter(usable(F.col(vector_col))).select(F.struct("*").alias("row"), scaled(F.col(vector_col), scale, MOST).alias("x"))
     kept = materialise(kept, "vectors")
     wide = kept.agg(F.max(F.size("x"))).collect()[0][0] or 0
     return kept.withColumn("x", F.concat("x", F.array_repeat(F.lit(0).cast("bigint"), F.lit(wide) - F.size("x"))))
@@ -170,7 +150,7 @@ def transform(found: DataFrame, model: Whitening) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            x = _matrix(batch.column(at)) if batch.num_rows else np.zeros((0, len(model.sums)), np.int64)
+            x = matrix(batch.column(at), len(model.sums))
             yield pa.record_batch([
                 *batch.columns, pa.array(model.apply(x).tolist(), pa.list_(pa.float64())),
                 pa.array(deviations(x, model.count, model.sums), pa.int64())], names=out.names)
