@@ -36,7 +36,9 @@ def all_queries() -> dict[str, Query]:
 @query
 def op2_suffix_dedup(spark, sf_dir):
     cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        (F.col("n_removed") > 0).alias("has_repeat"))
 
 
 @query
