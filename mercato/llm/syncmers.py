@@ -80,14 +80,20 @@ def anchors(raw: Column) -> Column:
     return F.coalesce(_once(raw, cut), F.array().cast("array<struct<at:int,code:bigint>>"))
 
 
-def codes(found: Column, raw: Column) -> Column:
-    """Fingerprint of ``anchors`` found in bytes: 32 bits per anchor, of its bytes and the distance to the next one (0 at
-    the last). Without an anchor, bytes have one code, of them all; no bytes have none."""
-    def linked(a: Column) -> Column:
-        return F.transform(a, lambda x, i: _code(F.xxhash64(x["code"], F.coalesce(F.get(a, i + 1)["at"] - x["at"], F.lit(0)))))
+def _links(found: Column) -> Column:
+    """32 bits of each anchor: of its bytes and the distance to the next one, 0 at the last."""
+    return _once(found, lambda a: F.transform(
+        a, lambda x, i: _code(F.xxhash64(x["code"], F.coalesce(F.get(a, i + 1)["at"] - x["at"], F.lit(0))))))
+
 
-    alone = F.when(F.length(raw) > 0, F.array(_code(F.xxhash64(raw)))).otherwise(F.array().cast("array<int>"))
-    return _once(found, lambda a: F.when(F.size(a) > 0, linked(a)).otherwise(alone))
+def _alone(raw: Column) -> Column:
+    return F.when(F.length(raw) > 0, F.array(_code(F.xxhash64(raw)))).otherwise(F.array().cast("array<int>"))
+
+
+def codes(found: Column, raw: Column) -> Column:
+    """Fingerprint of ``anchors`` found in bytes: one code each. Without an anchor, bytes have one code, of them all; no
+    bytes have none."""
+    return _once(found, lambda a: F.when(F.size(a) > 0, _links(a)).otherwise(_alone(raw)))
 
 
 def _code(hashed: Column) -> Column:
@@ -116,13 +122,30 @@ def fingerprints(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return docs.withColumn("codes", codes(anchors(raw), raw))
 
 
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    return [F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(1), text_col, id_col).alias("k2")]
+
+
+def _third(chars: Column) -> Column:
+    return F.floor(chars / 3).cast("int")
+
+
 def _distinct(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Each (id, text) once, with a key of two hashes. Copies collapse before the shuffle."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    keyed = docs.select(
-        F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(1), text_col, id_col).alias("k2"),
-        F.col(id_col).alias("id"), text.alias("text"))
-    return keyed.groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("text").alias("text"))
+    """Each (id, text) once: a key of two hashes and ``doc``. Copies collapse before the shuffle.
+
+    ``doc`` holds id, text, codes and what an edit of the last third leaves: kept bytes, how many anchors lie wholly in
+    them, and the last of these. It is one column, so that all who read the shuffle read the same.
+    """
+    text, raw = F.col("text"), F.encode("text", "UTF-8")
+    chars = F.length("text")
+    found = docs.select(
+        *_keys(id_col, text_col), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    ).withColumns({"found": anchors(raw), "kept": F.octet_length(F.left(text, chars - _third(chars)))})
+    staying = F.size(F.filter("found", lambda x: x["at"] + K <= F.col("kept")))
+    marked = found.withColumn("staying", staying).select("k1", "k2", F.struct(
+        "id", "text", codes(F.col("found"), raw).alias("codes"), "kept", "staying",
+        F.get("found", F.col("staying") - 1).alias("last")).alias("doc"))
+    return marked.groupBy("k1", "k2").agg(F.first("doc").alias("doc"))
 
 
 def _successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -134,8 +157,7 @@ def _successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     keys = (
         docs.select(
-            F.xxhash64(id_col, text_col).alias("k1"), F.xxhash64(F.lit(1), text_col, id_col).alias("k2"),
-            F.col(id_col).alias("id"), F.coalesce(F.length(text_col), F.lit(0)).alias("chars"))
+            *_keys(id_col, text_col), F.col(id_col).alias("id"), F.coalesce(F.length(text_col), F.lit(0)).alias("chars"))
         .groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("chars").alias("chars"), F.count("*").alias("copies")))
     order = [F.col("id").desc_nulls_last(), F.col("k1"), F.col("k2")]
     placed = (
@@ -163,34 +185,30 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ids in the order of a hash of id and text. Repeated rows, of equal id and text, are one document in that order and all
     returned. A single document is its own next; an empty table gives no rows. No other column is read.
 
-    Texts are shuffled once, by a key of their own, and read from that shuffle twice: the part that a document gives to
-    the one before it comes to that one's place, together with its codes. Of the edited text only the part that is new, and
-    the seam, is searched for anchors.
+    Texts are shuffled once, by a key of their own, with their codes, and read from that shuffle twice: the part that a
+    document gives to the one before it comes to that one's place. Of the edited text only the part that is new, and
+    the seam, is searched for anchors; all others are the document's own.
     """
     own = _distinct(docs, id_col, text_col)
-    text, raw = F.col("text"), F.encode("text", "UTF-8")
-    followed = _successors(docs, id_col, text_col)
-    third = F.floor(F.col("chars") / 3).cast("int")
-    coming = own.join(followed, ["k1", "k2"]).select(  # id and text, as ``own`` has them, so that its shuffle is reused
-        F.col("p1").alias("k1"), F.col("p2").alias("k2"), "copies", F.col("id").alias("next_id"),
-        F.left(text, third).alias("coming"), codes(anchors(raw), raw).alias("next_codes"))
-    chars = F.length(text)
-    kept = F.left(text, chars - F.floor(chars / 3).cast("int"))
+    coming = own.join(_successors(docs, id_col, text_col), ["k1", "k2"]).select(
+        F.col("p1").alias("k1"), F.col("p2").alias("k2"), "copies", F.col("doc.id").alias("next_id"),
+        F.left(F.col("doc.text"), _third(F.col("chars"))).alias("coming"), F.col("doc.codes").alias("next_codes"))
+    chars = F.length("doc.text")
     met = own.join(coming, ["k1", "k2"]).select(
-        "id", "copies", "next_id", F.length("text").cast("bigint").alias("n_chars"), raw.alias("raw"), "next_codes",
-        F.octet_length(kept).alias("kept"), F.concat(kept, F.col("coming")).alias("edited"),
-        anchors(raw).alias("own_anchors"))
+        "doc", "copies", "next_id", "next_codes", chars.cast("bigint").alias("n_chars"),
+        F.concat(F.left(F.col("doc.text"), chars - _third(chars)), F.col("coming")).alias("edited"))
     edited = F.encode("edited", "UTF-8")
-    seam = F.greatest(F.lit(0), F.col("kept") - (K - 1))  # the first string that holds a new byte starts here
+    seam = F.greatest(F.lit(0), F.col("doc.kept") - (K - 1))  # the first string that holds a new byte starts here
     new = F.transform(
-        anchors(edited.substr(seam + 1, F.length(edited))), lambda x: F.struct((x["at"] + seam).alias("at"), x["code"].alias("code")))
-    staying = F.filter("own_anchors", lambda x: x["at"] + K <= F.col("kept"))
-    judged = met.select(
-        "id", "copies", "next_id", "n_chars", "edited", "next_codes", codes(F.col("own_anchors"), F.col("raw")).alias("codes"),
-        codes(F.concat(staying, new), edited).alias("edited_codes"))
-    compared = judged.select(
-        F.col("id").alias(id_col), "n_chars", "edited", "codes", "edited_codes",
-        likeness(F.col("codes"), F.col("edited_codes")).alias("near_edited"), "next_id",
-        likeness(F.col("codes"), F.col("next_codes")).alias("near_next"), "copies")
-    every = compared.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
-    return every.drop("copies", "copy")
+        anchors(edited.substr(seam + 1, F.length(edited))),
+        lambda x: F.struct((x["at"] + seam).alias("at"), x["code"].alias("code")))
+    ending = F.concat(F.filter(F.array("doc.last"), lambda x: x.isNotNull()), new)  # the last one that stays has a new next
+    judged = met.withColumn("ending", ending).withColumn("edited_codes", F.when(
+        F.size("ending") > 0,
+        F.concat(F.slice("doc.codes", F.lit(1), F.greatest(F.col("doc.staying") - 1, F.lit(0))), _links(F.col("ending")))
+    ).otherwise(_alone(edited)))
+    own_codes = F.col("doc.codes")
+    return judged.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).select(
+        F.col("doc.id").alias(id_col), "n_chars", "edited", own_codes.alias("codes"), "edited_codes",
+        likeness(own_codes, F.col("edited_codes")).alias("near_edited"), "next_id",
+        likeness(own_codes, F.col("next_codes")).alias("near_next"))
