@@ -8,6 +8,7 @@ are equally long and the file is not compressed, any stretch of ids is a slice o
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -27,22 +28,41 @@ BATCH = 128  # sequences in a batch
 KEPT_CHUNKS = 1 << 20  # chunks of up to 32 bytes whose ids a worker remembers; beyond that it starts afresh
 
 
+# signs that no rule joins to an ASCII letter before them; an apostrophe may start a contraction
+_ENDING = b"""!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"""
+
+
 class _Chunks(dict):
     """Stretch between white space -> its ids as bytes."""
 
     def __init__(self, tokenizer, kind):
         super().__init__()
-        self.tokenizer, self.kind = tokenizer, kind
+        self.tokenizer, self.model, self.kind, self.code = tokenizer, tokenizer.model, kind, np.dtype(kind).char
 
     def __missing__(self, chunk: bytes) -> bytes:
-        ids = self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids
-        packed = np.array(ids, self.kind).tobytes()
+        packed = self._encoded(chunk)
         if len(self) >= KEPT_CHUNKS:
             self.clear()
         if len(chunk) <= 32:
             self[chunk] = packed
         return packed
 
+    def _encoded(self, chunk: bytes) -> bytes:
+        if b"<|" not in chunk:  # a special token's name is looked for as written
+            body = chunk.rstrip(_ENDING)
+            if body[-1:].isalpha() and len(body) < len(chunk):
+                return self[body] + self[chunk[len(body):]]
+            if chunk.isascii():
+                lowered = chunk.lower()
+                if lowered != chunk:
+                    return self[lowered]
+                if chunk.isalpha():  # nothing to normalise or split, so the model's turn
+                    return self._packed([t.id for t in self.model.tokenize(chunk.decode())])
+        return self._packed(self.tokenizer.encode(chunk.decode(), add_special_tokens=False).ids)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
 
 @lru_cache(maxsize=2)
 def _chunks(raw: bytes, names_as_text: bool) -> _Chunks:
@@ -62,8 +82,8 @@ def encode_text(raw: bytes, text: str | None, names_as_text: bool = True) -> byt
     """Packed ids of a text. The tokenizer drops white space, and no token or rule spans ASCII white space, so the ids
     of a text are those of its stretches between white space, one after the other.
 
-    The tokenizer composes letters (NFC) before it lower-cases them, so only ASCII texts are lowered here, to remember
-    fewer stretches; nor texts that may name a special token, which is looked for as written.
+    The tokenizer composes letters (NFC) before it lower-cases them, so only ASCII stretches are lowered here, to remember
+    fewer of them; nor such as may name a special token.
     """
     signs = (text or "").encode()
     if signs.isascii() and b"<|" not in signs:

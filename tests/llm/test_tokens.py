@@ -92,7 +92,8 @@ UNMODIFIED = Tokenizer.from_file(P.path(queries.WORD_TOKENIZER))
 
 @settings(max_examples=300, deadline=None)
 @given(st.one_of(texts, st.lists(st.sampled_from(
-    ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "H", "J", "h", "É", "\u0331", "\u030c", "\u0301", " ", "\n", "x"]),
+    ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "H", "J", "h", "É", "\u0331", "\u030c", "\u0301", " ", "\n", "x",
+     "don't", "'s", "'S", ",", "...", "word", "The", "\u0130", "1", "_", "|>", "!", "caf\u00e9", "ok"]),
     max_size=12).map("".join)))
 def test_unmodified_tokenizer(text):
     packed = token_files.encode_text(WORDS_RAW, text, names_as_text=False)
