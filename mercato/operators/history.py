@@ -92,23 +92,92 @@ def pit_join(
     An equi-join with a range residual: versions of a measured small dimension are broadcast, otherwise
     the sort-merge join's skew splitting spreads a hot key's facts over tasks.
     """
-    if closed not in ("both", "left"):
-        raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
+    versions = _with_bounds(dim, key, backfill_first)
+    left, right = fact.alias("fact"), versions.alias("dim")
+    matched = (F.col(f"fact.{key}") == F.col(f"dim.{key}")) & _valid(F.col(f"fact.{ts}"), closed)
+    return left.join(right, matched, how).select("fact.*", *_brought(fact, dim))
+
+
+def _with_bounds(dim: DataFrame, key: str, backfill_first: bool) -> DataFrame:
+    """Versions with ``_since`` and ``_until``, closed at both ends of time."""
     versions = dim.withColumn("_until", F.coalesce("valid_to", instant(END_OF_TIME)))
-    if backfill_first:
-        # a grouped minimum, not a window: a key with very many versions stays one partial row per task
-        firsts = dim.groupBy(key).agg(F.min("valid_from").alias("_first"))
-        since = F.when(F.col("valid_from") == F.col("_first"), instant(BEGINNING)).otherwise(F.col("valid_from"))
-        versions = versions.join(firsts, key).withColumn("_since", since).drop("_first")
-        # written, so that the join with the facts stands on a scan and a hot key's facts can be split
-        versions = materialise(versions, "versions-since")
-    else:
-        versions = versions.withColumn("_since", F.col("valid_from"))
+    if not backfill_first:
+        return versions.withColumn("_since", F.col("valid_from"))
+    # a grouped minimum, not a window: a key with very many versions stays one partial row per task
+    firsts = dim.groupBy(key).agg(F.min("valid_from").alias("_first"))
+    since = F.when(F.col("valid_from") == F.col("_first"), instant(BEGINNING)).otherwise(F.col("valid_from"))
+    versions = versions.join(firsts, key).withColumn("_since", since).drop("_first")
+    # written, so that the join with the facts stands on a scan and a hot key's facts can be split
+    return materialise(versions, "versions-since")
 
-    left, right = fact.alias("fact"), versions.alias("dim")
-    at = F.col(f"fact.{ts}")
+
+def _valid(at: Column, closed: str) -> Column:
+    if closed not in ("both", "left"):
+        raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
     before_end = at <= F.col("dim._until") if closed == "both" else at < F.col("dim._until")
-    matched = (F.col(f"fact.{key}") == F.col(f"dim.{key}")) & (at >= F.col("dim._since")) & before_end
+    return (at >= F.col("dim._since")) & before_end
+
+
+def _brought(fact: DataFrame, dim: DataFrame) -> list[Column]:
     taken = set(fact.columns)
-    brought = [F.col(f"dim.{c}") for c in dim.columns if c not in taken]
-    return left.join(right, matched, how).select("fact.*", *brought)
+    return [F.col(f"dim.{c}") for c in dim.columns if c not in taken]
+
+
+FEW_VERSIONS = 8  # of a key: its facts meet them all, which costs no more than this many comparisons
+
+
+def _seconds(at: Column) -> Column:
+    """Whole seconds of a local time since 1970, the same in every session time zone."""
+    days = F.date_diff(F.to_date(at), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.floor(F.second(at))
+
+
+def bucketed_sides(
+    fact: DataFrame, dim: DataFrame, key: str, ts: str, backfill_first: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Facts, and versions with ``_since`` and ``_until``, both with the time bucket ``_bucket`` of their key.
+
+    A key with more than ``FEW_VERSIONS`` versions has about as many buckets, of equal width between its first and last
+    change; times before and after fall into the outer ones. A version is in all buckets it overlaps, so a key's rows
+    grow to three times its versions at most; a fact is in one bucket, so each match is met once.
+    """
+    versions = _with_bounds(dim, key, backfill_first)
+    changed = _seconds(F.col("valid_from"))
+    spans = (
+        dim.groupBy(F.col(key).alias("_key")).agg(
+            F.count("*").alias("_buckets"), F.min(changed).alias("_start"), F.max(changed).alias("_end"))
+        .filter(F.col("_buckets") > FEW_VERSIONS)
+        .select("_key", "_buckets", "_start", F.greatest(
+            F.lit(1), F.ceil((F.col("_end") - F.col("_start")) / F.col("_buckets"))).cast("bigint").alias("_width")))
+    spans = materialise(spans, "version-spans")  # the few hot keys; written, so that facts of one can be split
+
+    def bucket(at: Column) -> Column:
+        place = F.floor((_seconds(at) - F.col("_start")) / F.col("_width"))
+        return F.coalesce(F.least(F.greatest(place, F.lit(0)), F.col("_buckets") - 1), F.lit(0)).cast("int")
+
+    def spanned(df: DataFrame) -> DataFrame:
+        return df.join(spans, df[key] == spans["_key"], "left")
+
+    held = [c for c in versions.columns]
+    facts = spanned(fact).withColumn("_bucket", bucket(F.col(ts))).select(*fact.columns, "_bucket")
+    placed = spanned(versions).withColumn("_bucket", F.explode(
+        F.sequence(bucket(F.col("_since")), F.greatest(bucket(F.col("_since")), bucket(F.col("_until")))))
+    ).select(*held, "_bucket")
+    return facts, placed
+
+
+def pit_join_bucketed(
+    fact: DataFrame, dim: DataFrame, key: str, ts: str, closed: str = "both", backfill_first: bool = False, how: str = "inner",
+) -> DataFrame:
+    """:func:`pit_join` for keys with many versions and many facts: an equi-join on (key, time bucket).
+
+    A fact meets the versions of its own bucket alone, a handful where a key changes evenly over time, so the rows
+    compared grow with the facts and not with facts times versions, and a hot key is spread over its buckets.
+    Same rows as ``pit_join``, and the same ``closed``, ``backfill_first`` and ``how``. Facts with a null time or key meet
+    nothing. Times are bucketed by the second; several changes within one are compared in full.
+    """
+    facts, versions = bucketed_sides(fact, dim, key, ts, backfill_first)
+    left, right = facts.alias("fact"), versions.alias("dim")
+    same = (F.col(f"fact.{key}") == F.col(f"dim.{key}")) & (F.col("fact._bucket") == F.col("dim._bucket"))
+    joined = left.join(right, same & _valid(F.col(f"fact.{ts}"), closed), how)
+    return joined.select(*[F.col(f"fact.{c}") for c in fact.columns], *_brought(fact, dim))

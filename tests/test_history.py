@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from mercato.operators.history import dim_scd2, first_snapshot, pit_join, snapshot_check
+from mercato.operators.history import bucketed_sides, dim_scd2, first_snapshot, pit_join, pit_join_bucketed, snapshot_check
 from mercato.operators.upsert import DuplicateKeyError
 
 T1, T2, T3 = datetime(2020, 1, 1), datetime(2020, 2, 1), datetime(2020, 3, 1)
@@ -77,6 +77,49 @@ def test_point_in_time(facts, two_runs, rows, options, expected):
     assert rows(got.select(F.date_format("ts", "yyyy-MM-dd"), "zip")) == sorted(expected, key=str)
 
 
+@pytest.fixture
+def many_versions(spark):
+    """Keys with one to 300 versions, changing hourly, daily or all at once, with gaps; facts before, between and after."""
+    at = "TIMESTAMP_NTZ'2020-01-01 00:00:00'"
+    dim = spark.range(0, 900).selectExpr(
+        "CASE WHEN id < 300 THEN 'hourly' WHEN id < 600 THEN 'daily' WHEN id < 880 THEN 'at once' ELSE concat('few', id % 5) END AS k",
+        "id AS version",
+        f"""CASE WHEN id < 300 THEN {at} + make_dt_interval(0, id) WHEN id < 600 THEN {at} + make_dt_interval(id - 300)
+             WHEN id < 880 THEN {at} + make_dt_interval(0, 0, 0, (id - 600) / 1000) ELSE {at} + make_dt_interval(id) END AS valid_from""")
+    dim = dim.selectExpr("*", """CASE WHEN version % 50 = 49 THEN NULL WHEN version % 7 = 3 THEN valid_from
+        ELSE valid_from + make_dt_interval(0, version % 30) END AS valid_to""")
+    fact = spark.range(0, 3000).selectExpr(
+        "element_at(array('hourly', 'daily', 'at once', 'few1', 'few2', 'unknown', NULL), CAST(id % 7 + 1 AS INT)) AS k",
+        "id AS fact", f"CASE WHEN id % 11 = 5 THEN NULL ELSE {at} + make_dt_interval(-3, 0, id * 17) END AS ts")
+    return fact, dim
+
+
+@pytest.mark.parametrize("options", [
+    {}, {"closed": "left"}, {"how": "left"}, {"closed": "left", "backfill_first": True, "how": "left"}])
+def test_buckets_change_no_row(many_versions, rows, options):
+    fact, dim = many_versions
+    got = rows(pit_join_bucketed(fact, dim, "k", "ts", **options))
+    assert got == rows(pit_join(fact, dim, "k", "ts", **options)) and len(got) > 1000
+
+
+def test_no_versions_and_no_facts(many_versions):
+    fact, dim = many_versions
+    assert pit_join_bucketed(fact, dim.limit(0), "k", "ts").count() == 0
+    assert pit_join_bucketed(fact, dim.limit(0), "k", "ts", how="left").count() == 3000
+    assert pit_join_bucketed(fact.limit(0), dim, "k", "ts").count() == 0
+
+
+@pytest.mark.parametrize("versions", [200, 2000])
+def test_rows_compared_grow_with_the_facts(spark, versions):
+    at = "TIMESTAMP_NTZ'2020-01-01 00:00:00'"
+    dim = spark.range(0, versions).selectExpr(
+        "'hot' AS k", "id", f"{at} + make_dt_interval(0, id) AS valid_from", f"{at} + make_dt_interval(0, id + 1) AS valid_to")
+    fact = spark.range(0, 4000).selectExpr("'hot' AS k", f"{at} + make_dt_interval(0, 0, id * {versions * 60} div 4000) AS ts")
+    facts, placed = bucketed_sides(fact, dim, "k", "ts")
+    assert placed.count() <= 3 * versions and facts.count() == 4000
+    assert facts.join(placed, ["k", "_bucket"]).count() <= 4 * 4000
+
+
 def test_unknown_interval_kind(facts, two_runs):
     with pytest.raises(ValueError):
         pit_join(facts, two_runs[2], "id", "ts", closed="right")

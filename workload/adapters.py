@@ -104,6 +104,13 @@ SELECT CASE WHEN o_orderkey % 7 = 0 THEN concat('new-', order_id) ELSE order_id
  order_estimated_delivery_date
 FROM (SELECT o_orderkey, CAST(o_orderkey AS STRING) AS order_id, CAST(o_orderkey AS STRING) AS customer_id,{_ORDER_COLUMNS}
  FROM {{orders}}) o""",
+    # what each product was offered for: a new price on every day that a line of it was to be shipped
+    "asking_prices": """
+SELECT product_id, max(price) AS asking_price, valid_from,
+ lead(valid_from) OVER (PARTITION BY product_id ORDER BY valid_from) AS valid_to
+FROM (SELECT CAST(l_partkey AS STRING) AS product_id, l_shipdate AS valid_from, CAST(l_extendedprice AS DECIMAL(28,9)) AS price
+ FROM {lineitem}) offers
+GROUP BY product_id, valid_from""",
     # as text, with values that do not parse
     "orders_text": f"""
 SELECT CAST(o_orderkey AS STRING) AS order_id,
@@ -218,6 +225,10 @@ class Marketplace:
         first = first_snapshot(self.raw["sellers"], RUN_1)
         return snapshot_check(first, self.adapter("sellers_v2"), "seller_id", SELLER_COLS, RUN_2, validate=False)
 
+    @cached_property
+    def asking_prices(self) -> DataFrame:
+        return materialise(self.adapter("asking_prices"), "asking-prices")
+
     @cached_property
     def seller_lookup(self) -> DataFrame:
         """The seller columns facts look up, written first as a build would: with a size read from files, the

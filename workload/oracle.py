@@ -352,6 +352,10 @@ FROM (SELECT * FROM raw_geolocation_raw
         "pit_join_backfill": _AT_TIME.format(how="LEFT", within="""
  i.shipping_limit_date < coalesce(h.valid_to, TIMESTAMP '9999-12-31') AND (i.shipping_limit_date >= h.valid_from
   OR h.valid_from = (SELECT min(f.valid_from) FROM history f WHERE f.seller_id = h.seller_id))"""),
+        "pit_join_bucketed": """
+SELECT i.order_id, i.order_item_id, i.product_id, o.order_purchase_timestamp, p.asking_price, p.valid_from, p.valid_to
+FROM raw_order_items i JOIN raw_orders o USING (order_id) JOIN raw_asking_prices p ON p.product_id = i.product_id
+ AND o.order_purchase_timestamp BETWEEN p.valid_from AND coalesce(p.valid_to, TIMESTAMP '9999-12-31')""",
         "load_orders": "SELECT * FROM l_orders",
         "load_order_items": "SELECT * FROM l_items",
         "load_payments": "SELECT * FROM l_payments",

@@ -325,6 +325,15 @@ def _items_at_time(m, **options):
     return history.pit_join(items, versions, "seller_id", "shipping_limit_date", **options)
 
 
+@query
+def pit_join_bucketed(m):
+    """Each line with its product's asking price when the order was placed; a product has many prices."""
+    items = m.staging["order_items"].select("order_id", "order_item_id", "product_id").join(
+        m.staging["orders"].select("order_id", "order_purchase_timestamp"), "order_id")
+    return history.pit_join_bucketed(items, m.asking_prices, "product_id", "order_purchase_timestamp").select(
+        "order_id", "order_item_id", "product_id", "order_purchase_timestamp", "asking_price", "valid_from", "valid_to")
+
+
 # loaders and filters
 
 def _orders(m):
