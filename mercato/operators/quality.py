@@ -43,6 +43,10 @@ class Check:
         detail = self.expression or (".".join(self.parent) if self.parent else "")
         return " ".join(filter(None, [self.kind, f"{self.table}({', '.join(self.columns)})", detail]))
 
+    @property
+    def tables(self) -> list[str]:
+        return [self.table] + ([self.parent[0]] if self.parent else [])
+
     def with_rate(self, warn_rate: float) -> Check:
         return replace(self, warn_rate=warn_rate)
 
@@ -59,58 +63,101 @@ def _row_checks(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
         f"stack({len(checks)}, {pairs}) AS (check_id, failures)", "rows")
 
 
-def _group_check(check_id: int, groups: DataFrame, failures: str) -> DataFrame:
-    return groups.selectExpr(
-        f"{check_id} AS check_id", f"coalesce({failures}, 0) AS failures", "CAST(NULL AS BIGINT) AS rows")
+def _first_hash(columns: list[Column]) -> Column:
+    return F.xxhash64(*columns)
+
+
+def _second_hash(columns: list[Column]) -> Column:
+    return F.xxhash64(F.lit(1), *columns)
 
 
-def _repeated(check_id: int, df: DataFrame, check: Check) -> DataFrame:
-    """Number of key values that occur more than once; a single NULL key is ignored."""
-    keyed = df.select(*check.columns)
-    if check.kind == UNIQUE:
-        keyed = keyed.na.drop()
-    return _group_check(check_id, keyed.groupBy(*check.columns).count(), "count_if(count > 1)")
+def _key_parts(check: Check, side: int, types: Mapping[str, DataFrame]) -> tuple[list[Column], Column]:
+    """What is hashed of a row's key, and whether the row counts. The parent's side of a relationship has 1."""
+    if check.kind == RELATIONSHIP:
+        parent, column = types[check.parent[0]], check.parent[1]
+        key = F.col(column) if side else F.col(check.columns[0]).cast(parent.schema[column].dataType)
+        return [key], key.isNotNull()
+    keys = [F.col(c) for c in check.columns]
+    if check.kind == UNIQUE_COMBO:  # a hash skips a NULL, so where they stand is hashed too
+        return [*keys, *(k.isNull() for k in keys)], F.lit(True)
+    if check.kind == ACCEPTED:
+        return keys, F.coalesce(~keys[0].isin(*check.values), F.lit(False))
+    return keys, keys[0].isNotNull()
 
 
-def _unaccepted(check_id: int, df: DataFrame, check: Check) -> DataFrame:
-    """Number of distinct values outside the accepted set; NULL passes."""
-    column = check.columns[0]
-    strangers = df.filter(~F.col(column).isin(*check.values)).select(column).distinct()
-    return _group_check(check_id, strangers, "count(*)")
+def _tags(tables: Mapping[str, DataFrame], checks: dict[int, Check]) -> DataFrame:
+    """(check, key hash, second hash, side) of every row and check that looks at its key; one scan per table."""
+    wanted: dict[str, list[Column]] = defaultdict(list)
+    for i, check in checks.items():
+        for side, table in enumerate(check.tables):
+            parts, counts = _key_parts(check, side, tables)
+            wanted[table] += [F.when(counts, F.lit(i)), _first_hash(parts), _second_hash(parts), F.lit(side)]
+    return union_all([
+        tables[name].select(F.stack(F.lit(len(tags) // 4), *tags).alias("check_id", "hash", "again", "side"))
+        .filter("check_id IS NOT NULL")
+        for name, tags in wanted.items()])
 
 
-def _orphan_rows(check_id: int, child: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
-    """Number of child rows whose non-NULL foreign key has no parent.
+def _grouped_failures(tables: Mapping[str, DataFrame], checks: dict[int, Check]) -> DataFrame:
+    """Failures of all checks on keys, from one grouping of (check, key hash).
 
-    Child keys are counted before the join, so a hot key is one row in it.
+    A hash that only one key has decides by itself: a key repeats, is not among the accepted, or has no parent. Where the
+    second hashes of a group differ, keys share a hash; these few (fewer than one in a billion keys) are counted again
+    on the full keys.
     """
-    column, parent_column = check.columns[0], check.parent[1]
-    keys = child.select(F.col(column).alias("_key")).na.drop().groupBy("_key").count()
-    known = parent.select(F.col(parent_column).alias("_key")).distinct()
-    return _group_check(check_id, keys.join(known, "_key", "left_anti"), "sum(count)")
+    spark = next(iter(tables.values())).sparkSession
+    grouped = _tags(tables, checks).groupBy("check_id", "hash").agg(
+        F.count_if(F.col("side") == 0).alias("children"), F.count_if(F.col("side") == 1).alias("parents"),
+        F.min("again").alias("low"), F.max("again").alias("high"))
+    certain = F.col("low") == F.col("high")
+    found = materialise(grouped.groupBy("check_id").agg(
+        F.count_if(certain & (F.col("children") > 1)).alias("repeated"), F.count_if(certain).alias("kinds"),
+        F.sum(F.when(certain & (F.col("parents") == 0), F.col("children"))).alias("orphans"),
+        F.collect_list(F.when(~certain, F.col("hash"))).alias("doubtful")), "key-checks")
+    doubtful = {r["check_id"]: r["doubtful"] for r in found.filter(F.size("doubtful") > 0).select("check_id", "doubtful").collect()}
+    measure = {UNIQUE: "repeated", UNIQUE_COMBO: "repeated", ACCEPTED: "kinds", RELATIONSHIP: "orphans"}
+    cases = " ".join(f"WHEN {i} THEN {measure[c.kind]}" for i, c in checks.items())
+    known = found.selectExpr("check_id", f"CASE check_id {cases} END AS failures")
+    none = spark.createDataFrame([(i, 0) for i in checks], "check_id int, failures long")  # of empty tables, too
+    again = [_counted_again(i, tables, checks[i], hashes) for i, hashes in doubtful.items()]
+    return union_all([known, none, *again]).groupBy("check_id").agg(F.sum("failures").alias("failures")).selectExpr(
+        "check_id", "coalesce(failures, 0) AS failures", "CAST(NULL AS BIGINT) AS rows")
+
+
+def _counted_again(check_id: int, tables: Mapping[str, DataFrame], check: Check, hashes: list[int]) -> DataFrame:
+    """Failures among the keys with the given hashes, by the keys themselves."""
+    def keyed(side: int, table: str) -> DataFrame:
+        parts, counts = _key_parts(check, side, tables)
+        rows = tables[table].filter(counts & _first_hash(parts).isin(hashes))
+        return rows.select(*[p.alias(f"k{i}") for i, p in enumerate(parts)])
+
+    children = keyed(0, check.table)
+    groups = children.groupBy(*children.columns).count()
+    if check.kind == RELATIONSHIP:
+        groups = groups.join(keyed(1, check.parent[0]).distinct(), "k0", "left_anti")
+    failures = {RELATIONSHIP: "sum(count)", ACCEPTED: "count(*)"}.get(check.kind, "count_if(count > 1)")
+    return groups.selectExpr(f"{check_id} AS check_id", f"coalesce({failures}, 0) AS failures")
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One report row per check: name, kind, table, columns, failures, severity, threshold, status.
 
-    Row-level checks of a table share one scan; a threshold given as a rate is applied to that table's
-    row count.
+    Row-level checks of a table share one scan. All checks on keys share one grouping, which runs at once: a repeated
+    key counts once (a single NULL is no key), an unaccepted value once (NULL passes), and an orphan with every child row.
+    A threshold given as a rate is applied to that table's row count.
     """
-    parts: list[DataFrame] = []
     by_table: dict[str, dict[int, Check]] = defaultdict(dict)
+    on_keys: dict[int, Check] = {}
     for i, check in enumerate(checks):
-        table = tables[check.table]
         if check.kind in (NOT_NULL, EXPRESSION):
             by_table[check.table][i] = check
-        elif check.kind in (UNIQUE, UNIQUE_COMBO):
-            parts.append(_repeated(i, table, check))
-        elif check.kind == ACCEPTED:
-            parts.append(_unaccepted(i, table, check))
-        elif check.kind == RELATIONSHIP:
-            parts.append(_orphan_rows(i, table, tables[check.parent[0]], check))
+        elif check.kind in (UNIQUE, UNIQUE_COMBO, ACCEPTED, RELATIONSHIP):
+            on_keys[i] = check
         else:
             raise ValueError(f"unknown check kind {check.kind!r}")
-    parts += [_row_checks(tables[name], row_checks) for name, row_checks in by_table.items()]
+    parts = [_row_checks(tables[name], row_checks) for name, row_checks in by_table.items()]
+    if on_keys:
+        parts.append(_grouped_failures(tables, on_keys))
     return _judged(union_all(parts), checks)
 
 
@@ -208,7 +255,8 @@ def with_violations(
     broken += [F.when(F.col(c).isNull(), F.lit(f"{c} not null")) for c in required]
     extra: list[str] = []
     if unique:
-        counts = df.groupBy(*unique).agg(F.count("*").alias("_copies")).filter("_copies > 1")
+        # the repeated keys, normally few, are written: joined as a scan, a hot key's rows can be split
+        counts = materialise(df.groupBy(*unique).agg(F.count("*").alias("_copies")).filter("_copies > 1"), "repeated-keys")
         out = out.join(counts, list(unique), "left")
         broken.append(F.when(F.col("_copies") > 1, F.lit(f"unique {', '.join(unique)}")))
         extra.append("_copies")

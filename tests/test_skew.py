@@ -60,6 +60,12 @@ def test_foreign_keys(low):
     assert marked.filter(F.size("_violations") > 0).count() == 32_001
 
 
+def test_repeated_keys(low):
+    marked = quality.with_violations(materialise(hot(low), "batch"), {}, unique=["k"])
+    assert "SortMergeJoin(skew=true)" in final_plan(marked)
+    assert marked.filter(F.size("_violations") > 0).count() == 32_001
+
+
 def test_orphan_categories(low):
     products = materialise(hot(low).select(
         F.col("id").alias("product_id"), F.col("k").cast("string").alias("product_category_name"), "wide"), "products")

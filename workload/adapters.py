@@ -7,7 +7,8 @@ table. Anomalies are planted on purpose, so that every check has something to fi
 from __future__ import annotations
 
 import string
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import cached_property, partial
 
@@ -239,13 +240,17 @@ class Marketplace:
     def product_lookup(self) -> DataFrame:
         return materialise(self.marts["dim_products"].select("product_id", "product_category_name_english"), "products")
 
-    def layers(self) -> LazyTables:
+    def layers(self, names: Iterable[str] = ()) -> LazyTables:
         """Staging tables as ``stg_<name>`` together with the marts, each written when first asked for: a report's
-        many checks then read columns of files instead of building the table again."""
+        many checks then read columns of files instead of building the table again. Those named are written at once,
+        side by side, as one small table does not fill a cluster."""
         def written(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
             return materialise(tables[name], name)
 
-        return LazyTables({
+        tables = LazyTables({
             **{f"stg_{name}": partial(written, self.staging, name) for name in self.staging},
             **{name: partial(written, self.marts, name) for name in self.marts},
         })
+        with ThreadPoolExecutor(4) as pool:
+            list(pool.map(tables.__getitem__, names))
+        return tables
