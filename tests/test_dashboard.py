@@ -179,6 +179,18 @@ def test_date_logic_counts(spark):
     assert tuple(row)[2:] == (1, 1, 1, 1)
 
 
+def test_rows_that_share_a_digest_are_compared_in_full(spark, rows, monkeypatch):
+    monkeypatch.setattr(profiling, "_digest", lambda columns: [F.lit(1).alias("_d1"), F.lit(2).alias("_d2")])
+    t = spark.createDataFrame([("a", 1), ("a", 1), ("b", None), ("b", None), ("b", None), (None, 2)], "k string, n long")
+    assert rows(profiling.profile_duplicates({"t": t, "one": t.limit(1)})) == [("one", 1, 0), ("t", 6, 3)]
+
+
+def test_duplicates_are_counted_by_digest(spark):
+    t = spark.range(0, 1000).selectExpr("id", "repeat('wide ', 100) AS text")
+    plan = profiling.profile_duplicates({"t": t})._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan  # no digest repeats, so no row is fetched
+
+
 def test_duplicates_of_signed_zero_and_nan(spark, rows):
     t = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (1.0,), (None,), (None,)], "x double")
     assert rows(profiling.profile_duplicates({"t": t, "empty": t.limit(0)})) == [("empty", 0, 0), ("t", 7, 3)]
