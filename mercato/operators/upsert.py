@@ -1,13 +1,15 @@
-"""Keyed and full-row upserts, as plans and onto versioned tables."""
+"""Keyed and full-row upserts, as plans and onto stored tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.schemas import TableSpec
 from mercato.session import Scratch, materialise
-from mercato.sources.tables import VersionedTable
+from mercato.sources.tables import PART, MergedTable
 
 
 class DuplicateKeyError(ValueError):
@@ -90,48 +92,69 @@ def merge(target: DataFrame, batch: DataFrame, spec: TableSpec, validate: bool =
     return upsert(target, batch, list(spec.keys), validate)
 
 
+class Merged(NamedTuple):
+    """What a merge did: the table's version, and rows sent, inserted and updated."""
+
+    version: int
+    staged: int
+    inserted: int
+    updated: int
+
+
 def merge_into(
-    table: VersionedTable,
+    table: MergedTable,
     batch: DataFrame,
-    spec: TableSpec,
     writer: str | None = None,
     batch_id: int = -1,
     validate: bool = True,
     settled: bool = False,
-) -> int:
-    """Merge ``batch`` into a versioned table, creating it on first use; returns its version.
+) -> Merged:
+    """Merge ``batch`` into a table, creating it on first use.
+
+    By key, the folders of the buckets that hold a key of the batch are replaced by their other rows and the batch's; by
+    full row, the batch's new rows become a folder. All other folders stay as they are. A batch the writer already
+    brought in is skipped; one that failed is repeated, which gives the same rows. The counts are observed by the write
+    itself: rows that stay are counted as they are written, and a bucket's rows before come from file footers.
 
-    A batch the writer already published is skipped. Only what changes is written: by full row, a folder of the new
-    rows is added; by key, the files that hold a matched key are replaced by their other rows and the batch, and all
-    other files stay as they are. ``settled`` says that the batch is a written table already; else it is written once
-    to shared storage, as the key check, the search for files and the write each read it.
+    ``settled`` says that the batch is a written table already; else it is written once to shared storage, as the key
+    check, the search for buckets and the write each read it.
     """
+    spec = table.spec
     if writer is not None and table.applied(writer) >= batch_id:
-        return table.version
-    base, target = table.version, table.read()
-    empty = not table.parts
+        return Merged(table.version, 0, 0, 0)
+    base = table.version
     with Scratch(table.spark) as scratch:
         batch = batch.select(*spec.columns)
         if not settled:
             batch = scratch.materialise(batch, f"batch-{spec.name}")
+        staged = batch.count()
+        if not staged:
+            return Merged(table.count_up(base, writer, batch_id), 0, 0, 0)
         if spec.full_row:
-            return table.append(new_rows(target, batch), base, writer, batch_id)
+            own = base + 1  # a repeated write finds its own folder, and replaces it
+            before = table.read_parts().filter(F.col(PART) != own).drop(PART)
+            inserted = _written(table, new_rows(before, batch).withColumn(PART, F.lit(own).cast("bigint")))
+            return Merged(table.count_up(base, writer, batch_id), staged, inserted, 0)
         keys = list(spec.keys)
         if validate:
             require_unique(batch, keys, f"batch of {spec.name}")
-        files = [] if empty else _files_with(target, batch, keys)
-        if not files:
-            return table.append(batch, base, writer, batch_id)
-        kept = table.read_files(files).join(batch.select(*keys), keys, "left_anti").select(*spec.columns)
-        return table.replace_files(files, kept.unionByName(batch), base, writer, batch_id)
-
-
-def _files_with(target: DataFrame, batch: DataFrame, keys: list[str]) -> list[str]:
-    """Files of the target that hold a key of the batch. The batch's span of the first key prunes row groups, so with
-    files clustered by key only their neighbourhood is read."""
-    span = batch.agg(F.min(keys[0]).alias("low"), F.max(keys[0]).alias("high")).collect()[0]
-    if span["low"] is None:
-        return []
-    near = target.filter(F.col(keys[0]).between(F.lit(span["low"]), F.lit(span["high"])))
-    held = near.select(*keys, F.col("_metadata.file_path").alias("_file")).join(batch.select(*keys), keys, "left_semi")
-    return sorted(r["_file"] for r in held.select("_file").distinct().collect())  # one row a file
+        touched = [r[0] for r in batch.select(table.part_of()).distinct().collect()]  # as many as there are buckets
+        target = table.read_parts(touched)
+        held = target.count()
+        stayed = _written(table, upsert(target, batch.select("*", table.part_of()), keys, validate=False)) - staged
+        updated = held - stayed
+        return Merged(table.count_up(base, writer, batch_id), staged, staged - updated, updated)
+
+
+def _written(table: MergedTable, rows: DataFrame) -> int:
+    """Write ``rows`` and return their number, observed in the write's last stage."""
+    seen = Observation()
+    table.write_parts(rows.hint("rebalance", PART).observe(seen, F.count("*").alias("rows")))
+    return seen.get["rows"]
+
+
+def merge_reports(spark: SparkSession, merged: dict[str, Merged]) -> DataFrame:
+    """Merges as rows: table_name, rows_staged, rows_inserted, rows_updated, rows_merged."""
+    return spark.createDataFrame(
+        [(name, m.staged, m.inserted, m.updated, m.inserted + m.updated) for name, m in merged.items()],
+        "table_name string, rows_staged long, rows_inserted long, rows_updated long, rows_merged long")

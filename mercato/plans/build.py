@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 
 from mercato.operators.history import snapshot_check
 from mercato.operators.quality import Check, enforce, run_checks
-from mercato.sources.tables import VersionedTable
-
-_SNAPSHOTS = "snapshot"
+from mercato.session import Scratch
+from mercato.sources.tables import HistoryTable, VersionedTable
 
 
 def gated_build(
@@ -19,7 +18,7 @@ def gated_build(
     """Stage all marts, check the staged files, and only then make them current.
 
     What is published is what was checked. A failed check of severity ``error`` raises, and every table stays at its
-    version; its staged folders are left to ``remove_orphans``. ``others`` are tables that checks refer to besides the
+    version; its staged folders are never pointed to. ``others`` are tables that checks refer to besides the
     marts. Returns the names of checks that only warn.
     """
     staged = {name: (table, table.version, table.stage(df)) for name, (table, df) in marts.items()}
@@ -30,13 +29,15 @@ def gated_build(
     return warned
 
 
-def snapshot_run(table: VersionedTable, src: DataFrame, key: str, check_cols: list[str], as_of: datetime) -> int:
-    """Bring a stored type-2 history up to ``src`` as of a time; returns the table's version.
+def snapshot_run(table: HistoryTable, src: DataFrame, key: str, check_cols: list[str], as_of: datetime) -> int:
+    """Bring a stored type-2 history up to ``src`` as of a time; returns the number of its runs.
 
+    Only the open versions are compared and replaced, and the ones that this run closes are added to the closed ones.
     A run at or before the last one's time is a replay and changes nothing.
     """
     run = int(as_of.replace(tzinfo=timezone.utc).timestamp())
-    if table.applied(_SNAPSHOTS) >= run:
-        return table.version
-    known = table.read() if table.parts else None
-    return table.publish(snapshot_check(known, src, key, check_cols, as_of), _SNAPSHOTS, run)
+    if table.last_run >= run:
+        return table.open.version
+    known = table.open.read() if table.open.version else None
+    with Scratch(src.sparkSession) as scratch:  # both sides are written from one comparison
+        return table.replace(scratch.materialise(snapshot_check(known, src, key, check_cols, as_of), "advanced"), run)

@@ -1,96 +1,84 @@
-"""Path-based parquet tables: versions behind a pointer, plain appends, view layers."""
+"""Path-based parquet tables: rebuilt whole behind a pointer, merged by bucket, kept as history; plain appends and views."""
 
 from __future__ import annotations
 
 import json
-import time
 import uuid
+from collections.abc import Iterable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mercato.schemas import TABLES
+from mercato.schemas import TABLES, TableSpec
 
+BUCKETS = 64  # partition folders of a table merged by key
+PART = "_part"
 
-class VersionedTable:
-    """A parquet table made of folders, whose current ones a small commit file names.
 
-    A commit lists folders and, for each, the files of it that no longer count. An append adds a folder, a replacement
-    of files drops these and adds a folder, and a rebuild names a new folder only; files are never changed. Readers
-    keep the version they opened, and a failed write is never visible. Commit files also remember the last batch each
-    stream applied, so a replayed batch is recognised. Two writers may try for the same version: the commit file is
-    created without overwriting, so one of them fails (on stores without such a create, let one writer do it).
-    """
+class _Pointed:
+    """A folder with a pointer: a small file per version, whose newest counts. It remembers the last batch that each
+    writer brought in, so that a replayed one is recognised. One writer at a time; the pointer is created without
+    overwriting, so the later of two fails (on stores without such a create, let one writer do it)."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark = spark
-        self.path = path.rstrip("/")
-        self.schema = schema
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
 
     @cached_property
     def _fs(self):
-        hadoop_path = self._hadoop_path(self.path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _hadoop_path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _names(self, folder: str) -> list[str]:
-        hadoop_path = self._hadoop_path(f"{self.path}/{folder}")
-        if not self._fs.exists(hadoop_path):
-            return []
-        return sorted(status.getPath().getName() for status in self._fs.listStatus(hadoop_path))
-
-    def _commits(self) -> list[str]:
-        return [n for n in self._names("_commits") if n.endswith(".json")]
-
-    def _record(self, commit: str) -> dict:
-        stream = self._fs.open(self._hadoop_path(f"{self.path}/_commits/{commit}"))
+        return self._hadoop_path("").getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _hadoop_path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
+
+    def _pointer(self) -> dict:
+        folder = self._hadoop_path("_versions")
+        names = sorted(s.getPath().getName() for s in self._fs.listStatus(folder)) if self._fs.exists(folder) else []
+        names = [n for n in names if n.endswith(".json")]
+        if not names:
+            return {"version": 0, "data": None, "applied": {}}
+        stream = self._fs.open(self._hadoop_path(f"_versions/{names[-1]}"))
         try:
             return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def _commit_record(self) -> dict:
-        commits = self._commits()
-        return self._record(commits[-1]) if commits else {"version": 0, "parts": {}, "applied": {}}
-
     @property
     def version(self) -> int:
-        return self._commit_record()["version"]
-
-    @property
-    def parts(self) -> dict[str, list[str]]:
-        """Folder -> its files that no longer count."""
-        return self._commit_record()["parts"]
+        return self._pointer()["version"]
 
     def applied(self, writer: str) -> int:
-        """Number of the last batch ``writer`` published here, -1 if none."""
-        return self._commit_record()["applied"].get(writer, -1)
+        """Number of the last batch ``writer`` brought in, -1 if none."""
+        return self._pointer()["applied"].get(writer, -1)
+
+    def _move(self, data: str | None, base_version: int, writer: str | None, batch_id: int) -> int:
+        """Point to the next version."""
+        pointer = self._pointer()
+        if pointer["version"] != base_version:
+            raise RuntimeError(f"{self.path} moved to version {pointer['version']} during the write")
+        applied = pointer["applied"] | ({} if writer is None else {writer: batch_id})
+        version = base_version + 1
+        try:
+            out = self._fs.create(self._hadoop_path(f"_versions/{version:012d}.json"), False)
+        except Exception as error:
+            raise RuntimeError(f"{self.path} version {version} was published by another writer") from error
+        out.write(bytearray(json.dumps({"version": version, "data": data, "applied": applied}), "utf-8"))
+        out.close()
+        return version
 
-    def files(self) -> list[str]:
-        """The data files that count now, as folder/name."""
-        return [
-            f"{folder}/{name}" for folder, dropped in self.parts.items() for name in self._names(folder)
-            if name.startswith("part-") and name not in dropped]
+
+class VersionedTable(_Pointed):
+    """A parquet table that is rebuilt whole: a folder per version, and a pointer to the current one.
+
+    Readers keep the version they opened, and a failed write is never visible. Folders are not deleted: which old ones
+    may go is for the store's own retention rules.
+    """
 
     def read(self) -> DataFrame:
         """The current version; an empty table if nothing was published yet."""
-        paths: list[str] = []
-        for folder, dropped in self.parts.items():
-            if dropped:
-                paths += [f"{folder}/{n}" for n in self._names(folder) if n.startswith("part-") and n not in dropped]
-            else:
-                paths.append(folder)
-        return self.read_files(paths)
-
-    def read_files(self, files: list[str]) -> DataFrame:
-        """Some files or folders of the table, by their paths or by their names in it."""
-        if not files:
-            return self.spark.createDataFrame([], self.schema)
-        paths = [f if "/" in f and ":" in f else f"{self.path}/{f}" for f in files]
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        data = self._pointer()["data"]
+        return self.read_staged(data) if data else self.spark.createDataFrame([], self.schema)
 
     def stage(self, df: DataFrame) -> str:
         """Write ``df`` to a new, still invisible folder and return its name."""
@@ -99,11 +87,11 @@ class VersionedTable:
         return data
 
     def read_staged(self, data: str) -> DataFrame:
-        return self.read_files([data])
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{data}")
 
     def switch(self, data: str, base_version: int, writer: str | None = None, batch_id: int = -1) -> int:
-        """Make a staged folder the whole table; fails if another writer published since ``base_version``."""
-        return self._commit({data: []}, base_version, writer, batch_id)
+        """Make a staged folder the table; fails if another writer published since ``base_version``."""
+        return self._move(data, base_version, writer, batch_id)
 
     def publish(self, df: DataFrame, writer: str | None = None, batch_id: int = -1) -> int:
         """Stage ``df`` and switch to it. A batch its writer already published is skipped."""
@@ -112,73 +100,73 @@ class VersionedTable:
         base = self.version
         return self.switch(self.stage(df), base, writer, batch_id)
 
-    def append(self, df: DataFrame, base_version: int, writer: str | None = None, batch_id: int = -1) -> int:
-        """Add a folder of rows and leave all files as they are."""
-        return self.replace_files([], df, base_version, writer, batch_id)
-
-    def replace_files(
-        self, files: list[str], df: DataFrame, base_version: int, writer: str | None = None, batch_id: int = -1,
-    ) -> int:
-        """Put the rows of ``df`` in the place of some files."""
-        parts = {folder: list(dropped) for folder, dropped in self.parts.items()}
-        for file in files:
-            folder, name = file.split("/")[-2:]
-            parts[folder].append(name)
-        return self._commit(parts | {self.stage(df): []}, base_version, writer, batch_id)
-
-    def compact(self, cluster_by: list[str] | None = None) -> int:
-        """Rewrite the table as one folder, clustered so that few files hold the keys of a batch."""
-        rows = self.read()
-        if cluster_by:
-            rows = rows.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
-        return self.publish(rows)
-
-    def _commit(self, parts: dict[str, list[str]], base_version: int, writer: str | None, batch_id: int) -> int:
-        current = self._commit_record()
-        if current["version"] != base_version:
-            raise RuntimeError(f"{self.path} moved to version {current['version']} during the write")
-        applied = dict(current["applied"])
-        if writer is not None:
-            applied[writer] = batch_id
-        version = base_version + 1
-        record = json.dumps({"version": version, "parts": parts, "applied": applied})
-        final = self._hadoop_path(f"{self.path}/_commits/{version:012d}.json")
-        try:
-            out = self._fs.create(final, False)
-        except Exception as error:
-            raise RuntimeError(f"{self.path} version {version} was published by another writer") from error
-        out.write(bytearray(record, "utf-8"))
-        out.close()
-        return version
 
-    def expire(self, keep: int = 2) -> int:
-        """Forget versions older than the newest ``keep`` and delete what only they name; returns how many. Folders
-        that no version ever named stay, as a writer may be about to commit them."""
-        commits = self._commits()
-        old, kept = (commits[:-keep], commits[-keep:]) if keep > 0 else ([], commits)
-        needed = [self._record(commit)["parts"] for commit in kept]
-        for commit in old:
-            for folder, _ in self._record(commit)["parts"].items():
-                naming = [parts[folder] for parts in needed if folder in parts]
-                if not naming:
-                    self._delete(folder)
-                for name in set.intersection(*map(set, naming)) if naming else ():
-                    self._delete(f"{folder}/{name}")
-            self._delete(f"_commits/{commit}")
-        return len(old)
-
-    def remove_orphans(self, older_than_hours: float) -> int:
-        """Delete folders that no version names and that are older than any write could take; returns how many."""
-        named = {folder for commit in self._commits() for folder in self._record(commit)["parts"]}
-        before = (time.time() - 3600 * older_than_hours) * 1000
-        orphans = [n for n in self._names("") if n.startswith("data-") and n not in named]
-        orphans = [n for n in orphans if self._fs.getFileStatus(self._hadoop_path(f"{self.path}/{n}")).getModificationTime() <= before]
-        for name in orphans:
-            self._delete(name)
-        return len(orphans)
-
-    def _delete(self, name: str) -> None:
-        self._fs.delete(self._hadoop_path(f"{self.path}/{name}"), True)
+class PartedTable(_Pointed):
+    """A parquet table in partition folders, of which a write replaces those it has rows for, by Spark's dynamic partition
+    overwrite, and leaves all others as they are.
+
+    Writing the same rows again gives the same folders, so a write that failed is simply repeated. The pointer counts
+    the writes. Readers that opened the table before a write may have to open it again.
+    """
+
+    def read(self) -> DataFrame:
+        return self.read_parts().drop(PART)
+
+    def read_parts(self, parts: Iterable[int] | None = None) -> DataFrame:
+        """Rows with the number of their folder; of some folders only, if named."""
+        fields = T.StructType([*self.schema.fields, T.StructField(PART, T.LongType())])
+        if not self._fs.exists(self._hadoop_path("rows")):
+            return self.spark.createDataFrame([], fields)
+        rows = self.spark.read.schema(fields).parquet(f"{self.path}/rows")
+        return rows if parts is None else rows.filter(F.col(PART).isin(list(parts)))
+
+    def write_parts(self, df: DataFrame) -> None:
+        """Replace the folders that ``df`` has rows for. Deal its rows by folder first (hint ``rebalance``)."""
+        (df.select(*self.schema.fieldNames(), PART)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(f"{self.path}/rows"))
+
+    def count_up(self, base_version: int, writer: str | None = None, batch_id: int = -1) -> int:
+        return self._move(None, base_version, writer, batch_id)
+
+
+class MergedTable(PartedTable):
+    """A raw table, merged by key: a key's hash says which of ``buckets`` folders it is in. A table merged by full row only
+    ever gains rows, so each merge has a folder of its own. The number of buckets must not change."""
+
+    def __init__(self, spark: SparkSession, path: str, spec: TableSpec, buckets: int = BUCKETS):
+        super().__init__(spark, path, spec.schema)
+        self.spec, self.buckets = spec, buckets
+
+    def part_of(self) -> Column:
+        """The folder of a row of a table merged by key."""
+        return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.buckets)).cast("bigint").alias(PART)
+
+
+class HistoryTable:
+    """A type-2 history in two parts: closed versions, a folder per run that closed them, and the open ones, replaced by
+    every run. A run writes what it closed and the open side, whatever the length of the history. ``schema`` has
+    ``valid_from`` and ``valid_to``."""
+
+    WRITER = "snapshot"
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.closed = PartedTable(spark, f"{path.rstrip('/')}/closed", schema)
+        self.open = VersionedTable(spark, f"{path.rstrip('/')}/open", schema)
+
+    @property
+    def last_run(self) -> int:
+        """Number of the last whole run, -1 before the first."""
+        return self.open.applied(self.WRITER)
+
+    def read(self) -> DataFrame:
+        # a run that failed midway may have left its closed rows, which count only once the open side is replaced
+        closed = self.closed.read_parts().filter(F.col(PART) <= self.last_run).drop(PART)
+        return closed.unionByName(self.open.read())
+
+    def replace(self, advanced: DataFrame, run: int) -> int:
+        """Bring in a run: the next state of the open versions, some of them closed by it. Returns the runs so far."""
+        self.closed.write_parts(advanced.filter("valid_to IS NOT NULL").withColumn(PART, F.lit(run).cast("bigint")))
+        return self.open.publish(advanced.filter("valid_to IS NULL"), self.WRITER, run)
 
 
 def write_mart(df: DataFrame, root: str, name: str, cluster_by: list[str] | None = None) -> VersionedTable:

@@ -1,15 +1,18 @@
-"""Files landing in a folder, merged into versioned tables by a file stream."""
+"""Files landing in a folder, merged into stored tables by a file stream."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mercato.operators.upsert import merge_into
-from mercato.schemas import TABLES, TableSpec
+from mercato.operators.upsert import Merged, merge_into, merge_reports
+from mercato.schemas import TABLES, TableSpec, spec_for_file
 from mercato.session import Scratch, materialise
 from mercato.sources.files import csv_options, enforce_required
-from mercato.sources.tables import VersionedTable
+from mercato.sources.tables import PART, MergedTable, PartedTable
 
 
 ARRIVED = "_arrived"
@@ -42,40 +45,40 @@ def collapse_files(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return checked.filter("_rows > 0").select("_row.*")
 
 
-def stream_upsert(
-    spark: SparkSession,
-    landing: str,
-    spec: TableSpec,
-    table: VersionedTable,
-    checkpoint: str,
-    files_per_trigger: int | None = None,
-    names: str | None = None,
-) -> int:
-    """Merge every landed file not seen before, then stop; returns the table's version.
-
-    ``names`` is a pattern of the file names to take. The stream's checkpoint replaces an "already loaded" marker. Files merge in order of arrival; those of
-    one micro-batch are collapsed first, so the table is rewritten once per batch, not once per file. A
-    batch replayed after a failure is skipped by its number, which the table's commit remembers together
-    with the data.
+def _merge_arrived(table: MergedTable, arrived: DataFrame, writer: str, batch_id: int) -> Merged:
+    """Merge the files of one micro-batch, collapsed first, so that a table is written once per batch and not per file."""
+    spec = table.spec
+    if table.applied(writer) >= batch_id:
+        return Merged(table.version, 0, 0, 0)
+    with Scratch(table.spark) as scratch:
+        arrived = enforce_required(arrived, spec, ARRIVED)
+        if spec.full_row:  # both the first arrivals and the rows themselves are read from the parsed copy
+            arrived = scratch.materialise(arrived, f"arrived-{spec.name}")
+        collapsed = scratch.materialise(collapse_files(arrived, spec), f"batch-{spec.name}")
+        return merge_into(table, collapsed, writer, batch_id, validate=False, settled=True)
+
+
+def stream_upsert(table: MergedTable, landing: str, checkpoint: str, files_per_trigger: int | None = None) -> int:
+    """Merge every file of one table's landing folder not seen before, then stop; returns the table's version.
+
+    The stream's checkpoint replaces an "already loaded" marker. Files merge in order of arrival. A batch replayed after a
+    failure is skipped by its number, which the table remembers, or repeated without harm.
     """
+    spark, spec = table.spark, table.spec
     reader = spark.readStream.schema(spec.schema).options(**csv_options(spec))
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if names is not None:
-        reader = reader.option("pathGlobFilter", names)
     arrivals = reader.csv(landing).select(*spec.columns, arrival().alias(ARRIVED))
     writer = f"{spec.name}@{checkpoint}"
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        if table.applied(writer) >= batch_id:
-            return
-        with Scratch(spark) as scratch:
-            arrived = enforce_required(batch, spec, ARRIVED)
-            if spec.full_row:  # both the first arrivals and the rows themselves are read from the parsed copy
-                arrived = scratch.materialise(arrived, f"arrived-{spec.name}")
-            collapsed = scratch.materialise(collapse_files(arrived, spec), f"batch-{spec.name}")
-            merge_into(table, collapsed, spec, writer, batch_id, validate=False, settled=True)
+        _merge_arrived(table, batch, writer, batch_id)
+
+    _run(arrivals, merge_batch, checkpoint)
+    return table.version
 
+
+def _run(arrivals: DataFrame, merge_batch, checkpoint: str) -> None:
     query = (
         arrivals.writeStream.foreachBatch(merge_batch)
         .option("checkpointLocation", checkpoint)
@@ -83,23 +86,49 @@ def stream_upsert(
         .start()
     )
     query.awaitTermination()
-    return table.version
+
+
+def load_log(spark: SparkSession, path: str) -> PartedTable:
+    """Which tables each batch of a landing stream loaded, and what it did to them; a folder per batch."""
+    counts = [T.StructField(f"rows_{done}", T.LongType()) for done in ("staged", "inserted", "updated", "merged")]
+    return PartedTable(spark, path, T.StructType([T.StructField("table_name", T.StringType()), *counts]))
 
 
 def stream_landing(
-    spark: SparkSession, landing: str, tables: dict[str, VersionedTable], checkpoint: str, prefix: str = "",
-    suffix: str = "_dataset",
+    spark: SparkSession, landing: str, tables: dict[str, MergedTable], checkpoint: str, log: PartedTable, prefix: str = "",
+    suffix: str = "_dataset", files_per_trigger: int = 1000,
 ) -> dict[str, int]:
     """Merge the files of one landing folder into the tables their names say; others are left alone.
 
-    A name fits as in ``spec_for_file``. Returns each table's version.
+    One stream, so one listing per trigger: it brings the names of new files alone, ``spec_for_file`` says whose each is,
+    and every table's files are read and merged side by side. What each merge did goes to ``log`` with the same batch,
+    so a table is in it once it is loaded; ``batch_completeness`` asks the log. A replayed batch skips the tables that have
+    it and rewrites its folder of the log. Returns each table's version.
     """
-    def names(spec: TableSpec) -> str:
-        return "{" + ",".join(sorted({f"{p}{spec.stem}{s}.csv" for p in ("", prefix) for s in ("", suffix)})) + "}"
+    # the content column is never read, so a file costs its name
+    names = (
+        spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+        .option("maxFilesPerTrigger", files_per_trigger).load(landing).select("path"))
+    writer = f"landing@{checkpoint}"
 
-    return {
-        name: stream_upsert(spark, landing, TABLES[name], table, f"{checkpoint}/{name}", names=names(TABLES[name]))
-        for name, table in tables.items()}
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        files: dict[str, list[str]] = {}
+        for row in batch.collect():  # at most files_per_trigger names
+            spec = spec_for_file(row["path"], prefix, suffix)
+            if spec and spec.name in tables:
+                files.setdefault(spec.name, []).append(row["path"])
+
+        def merge_table(name: str) -> Merged:
+            spec = TABLES[name]
+            read = spark.read.schema(spec.schema).options(**csv_options(spec)).csv(files[name])
+            return _merge_arrived(tables[name], read.select(*spec.columns, arrival().alias(ARRIVED)), writer, batch_id)
+
+        with ThreadPoolExecutor(max(1, len(files))) as pool:
+            merged = dict(zip(files, pool.map(merge_table, files)))
+        log.write_parts(merge_reports(spark, merged).withColumn(PART, F.lit(batch_id).cast("bigint")))
+
+    _run(names, merge_batch, checkpoint)
+    return {name: table.version for name, table in tables.items()}
 
 
 def batch_completeness(expected: DataFrame, load_log: DataFrame) -> DataFrame:

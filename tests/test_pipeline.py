@@ -9,7 +9,7 @@ from mercato.operators.upsert import merge_into
 from mercato.plans import checks, dashboard, loaders, staging, star
 from mercato.schemas import TABLES
 from mercato.sources.files import read_table
-from mercato.sources.tables import VersionedTable, write_mart
+from mercato.sources.tables import MergedTable, write_mart
 
 LANDED = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 WATCHED = ["seller_zip_code_prefix", "seller_city", "seller_state"]
@@ -21,8 +21,8 @@ def test_files_to_figures(spark, small, rows, tmp_path):
     for name, spec in TABLES.items():
         landed = str(tmp_path / "landing" / spec.stem)
         m.raw[name].write.options(**LANDED).csv(landed)
-        table = VersionedTable(spark, str(tmp_path / "raw" / name), spec.schema)
-        merge_into(table, read_table(spark, spec, landed), spec)
+        table = MergedTable(spark, str(tmp_path / "raw" / name), spec, buckets=4)
+        merge_into(table, read_table(spark, spec, landed))
         raw[name] = table.read()
         assert rows(raw[name]) == rows(m.raw[name].select(*spec.columns)), name
 

@@ -7,7 +7,9 @@ from pyspark.sql import types as T
 from mercato.schemas import TABLES, TableSpec, spec_for_file
 from mercato.session import materialise, shared_root
 from mercato.sources.files import coerce_types, read_table, with_audit
-from mercato.sources.tables import VersionedTable, append_rows, append_tables, register_views, write_mart
+from mercato.operators.history import snapshot_check
+from mercato.plans.build import snapshot_run
+from mercato.sources.tables import HistoryTable, PartedTable, VersionedTable, append_rows, append_tables, register_views, write_mart
 
 PAIR = TableSpec("pair", "pair", T.StructType([
     T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType(), True)]), ("a",))
@@ -98,17 +100,6 @@ def test_replayed_batch_is_skipped(spark, tmp_path, rows):
     assert rows(table.read()) == [(0,), (1,), (2,)]
 
 
-def test_expire_keeps_the_newest_versions(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("id", T.LongType())]))
-    for n in range(1, 5):
-        table.publish(spark.range(n))
-    staged = table.stage(spark.range(9))
-    assert table.expire(keep=2) == 2 and table.expire(keep=2) == 0
-    assert table.version == 4 and table.read().count() == 4
-    assert table.read_staged(staged).count() == 9
-    assert len(list((tmp_path / "t").glob("data-*"))) == 3
-
-
 def test_concurrent_writer_loses(spark, tmp_path):
     table = VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("id", T.LongType())]))
     staged = table.stage(spark.range(1))
@@ -178,17 +169,58 @@ def test_scratch_is_deleted(spark):
     assert not os.path.exists(folder)
 
 
-def test_dropped_files_are_expired_and_orphans_removed(spark, tmp_path, rows):
-    table = VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("id", T.LongType())]))
-    table.publish(spark.range(4).repartition(4))
-    first = table.files()
-    table.replace_files(first[:1], spark.range(50, 52), 1)
-    assert table.read().count() == 4 - spark.read.parquet(f"{tmp_path}/t/{first[0]}").count() + 2
-    table.append(spark.range(90, 91), 2)
-    assert table.expire(keep=2) == 1
-    assert not (tmp_path / "t" / first[0]).exists() and (tmp_path / "t" / first[1]).exists()
-    before = rows(table.read())
-    table.stage(spark.range(9))
-    assert table.remove_orphans(older_than_hours=1) == 0 and table.remove_orphans(older_than_hours=0) == 1
-    table.compact(cluster_by=["id"])
-    assert rows(table.read()) == before and len(table.parts) == 1
+def _written(folder):
+    return {p: (p.stat().st_mtime_ns, p.stat().st_size) for p in folder.rglob("part-*.parquet")}
+
+
+def test_parted_table_replaces_only_the_folders_it_has_rows_for(spark, tmp_path, rows):
+    table = PartedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("id", T.LongType())]))
+    assert table.read().count() == 0
+    table.write_parts(spark.range(10).withColumn("_part", F.col("id") % 3))
+    before = _written(tmp_path)
+    table.write_parts(spark.range(100, 102).withColumn("_part", F.lit(1).cast("bigint")))
+    after = _written(tmp_path)
+    assert {p for p in before if "_part=1" not in str(p)} <= set(after) and all(after[p] == before[p] for p in set(before) & set(after))
+    assert rows(table.read()) == sorted([(i,) for i in (0, 2, 3, 5, 6, 8, 9, 100, 101)], key=str)
+    assert rows(table.read_parts([1]), "id") == [(100,), (101,)]
+
+
+HISTORY = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("city", T.StringType()),
+    T.StructField("valid_from", T.TimestampNTZType()), T.StructField("valid_to", T.TimestampNTZType())])
+
+
+def _run(spark, table, day, moved):
+    src = spark.range(1000).select("id", F.when(F.col("id") < moved, f"day {day}").otherwise("home").alias("city"))
+    return snapshot_run(table, src, "id", ["city"], datetime(2024, 1, day))
+
+
+def test_history_writes_follow_the_changes(spark, tmp_path):
+    """Closed versions are written once, however many runs follow; the same rows as one comparison after the other."""
+    table = HistoryTable(spark, str(tmp_path / "h"), HISTORY)
+    known = None
+    for day, moved in ((1, 0), (2, 400), (3, 10), (4, 10)):
+        before = _written(tmp_path / "h" / "closed")
+        assert _run(spark, table, day, moved) == day
+        after = _written(tmp_path / "h" / "closed")
+        assert before.items() <= after.items()
+        src = spark.range(1000).select("id", F.when(F.col("id") < moved, f"day {day}").otherwise("home").alias("city"))
+        known = snapshot_check(known, src, "id", ["city"], datetime(2024, 1, day))
+        known = materialise(known, "known")
+        assert sorted(map(str, table.read().collect())) == sorted(map(str, known.collect()))
+        fresh = sum(spark.read.parquet(str(p)).count() for p in set(after) - set(before))
+        assert fresh == known.filter(F.col("valid_to") == F.lit(datetime(2024, 1, day)).cast("timestamp_ntz")).count()
+    assert _run(spark, table, 4, 500) == 4  # a replay changes nothing
+
+
+def test_a_run_that_failed_midway_is_not_seen_and_is_repeated(spark, tmp_path, monkeypatch):
+    table = HistoryTable(spark, str(tmp_path / "h"), HISTORY)
+    _run(spark, table, 1, 0)
+    before = sorted(map(str, table.read().collect()))
+    with monkeypatch.context() as broken:
+        broken.setattr(table.open, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            _run(spark, table, 2, 300)
+    assert sorted(map(str, table.read().collect())) == before
+    _run(spark, table, 2, 300)
+    assert table.read().count() == 1300 and table.read().filter("valid_to IS NULL").count() == 1000

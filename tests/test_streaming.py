@@ -3,8 +3,8 @@ import time
 import pytest
 
 from mercato.schemas import TABLES
-from mercato.sources.tables import VersionedTable
-from mercato.streaming.ingest import batch_completeness, stream_landing, stream_upsert
+from mercato.sources.tables import MergedTable
+from mercato.streaming.ingest import batch_completeness, expected_tables, load_log, stream_landing, stream_upsert
 
 SPEC = TABLES["sellers"]
 HEADER = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
@@ -17,7 +17,7 @@ def _land(folder, name, *lines):
 
 
 def _table(spark, tmp_path):
-    return VersionedTable(spark, str(tmp_path / "raw_sellers"), SPEC.schema)
+    return MergedTable(spark, str(tmp_path / "raw_sellers"), SPEC, buckets=4)
 
 
 @pytest.mark.parametrize("files_per_trigger,versions", [(1, 3), (None, 1)])
@@ -26,7 +26,7 @@ def test_files_merge_in_arrival_order(spark, tmp_path, rows, files_per_trigger,
     _land(landing, "z.csv", "s1,1,old,A", "s2,2,stay,B")
     _land(landing, "m.csv", "s1,1,newer,A", "s3,3,x,C")
     _land(landing, "a.csv", "s1,1,newest,A")
-    version = stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck"), files_per_trigger)
+    version = stream_upsert(table, str(landing), str(tmp_path / "ck"), files_per_trigger)
     assert version == versions
     assert rows(table.read(), "seller_id", "seller_city") == [("s1", "newest"), ("s2", "stay"), ("s3", "x")]
 
@@ -41,8 +41,8 @@ def test_full_rows_match_across_files_but_not_inside_one(spark, tmp_path, rows,
                         ("a.csv", ["1,0.5,0.5,c,S"] * 3 + ["3,0.5,0.5,c,S"] * 2)]:
         (landing / name).write_text(header + "".join(line + "\n" for line in lines))
         time.sleep(1.1)
-    table = VersionedTable(spark, str(tmp_path / "raw_geo"), spec.schema)
-    stream_upsert(spark, str(landing), spec, table, str(tmp_path / "ck"), files_per_trigger)
+    table = MergedTable(spark, str(tmp_path / "raw_geo"), spec, buckets=4)
+    stream_upsert(table, str(landing), str(tmp_path / "ck"), files_per_trigger)
     assert rows(table.read(), "geolocation_zip_code_prefix") == [(1,), (1,), (2,), (3,), (3,)]
 
 
@@ -50,7 +50,7 @@ def test_key_repeated_inside_one_file_raises(spark, tmp_path):
     landing, table = tmp_path / "landing", _table(spark, tmp_path)
     _land(landing, "one.csv", "s1,1,x,A", "s1,2,y,B")
     with pytest.raises(Exception, match="repeated key"):
-        stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck"))
+        stream_upsert(table, str(landing), str(tmp_path / "ck"))
     assert table.version == 0
 
 
@@ -61,14 +61,14 @@ def test_text_with_newlines_streams(spark, tmp_path, rows):
     (landing / "r.csv").write_bytes(
         b"\xef\xbb\xbf" + ",".join(spec.columns).encode()
         + b'\nr1,o1,5,,"two\nlines",2018-01-01 00:00:00,2018-01-02 00:00:00\n')
-    table = VersionedTable(spark, str(tmp_path / "raw_reviews"), spec.schema)
-    stream_upsert(spark, str(landing), spec, table, str(tmp_path / "ck"))
+    table = MergedTable(spark, str(tmp_path / "raw_reviews"), spec, buckets=4)
+    stream_upsert(table, str(landing), str(tmp_path / "ck"))
     assert rows(table.read(), "review_comment_title", "review_comment_message") == [(None, "two\nlines")]
 
 
 def test_a_second_run_loads_only_new_files(spark, tmp_path, rows):
     landing, table = tmp_path / "landing", _table(spark, tmp_path)
-    run = lambda: stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck"))
+    run = lambda: stream_upsert(table, str(landing), str(tmp_path / "ck"))
     _land(landing, "one.csv", "s1,1,x,A")
     assert run() == 1
     assert run() == 1
@@ -81,9 +81,9 @@ def test_lost_progress_reloads_without_harm(spark, tmp_path, rows):
     """At-least-once delivery: every file again under a new checkpoint gives the same rows."""
     landing, table = tmp_path / "landing", _table(spark, tmp_path)
     _land(landing, "one.csv", "s1,1,x,A", "s2,2,y,B")
-    stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck1"))
+    stream_upsert(table, str(landing), str(tmp_path / "ck1"))
     before = rows(table.read())
-    stream_upsert(spark, str(landing), SPEC, table, str(tmp_path / "ck2"))
+    stream_upsert(table, str(landing), str(tmp_path / "ck2"))
     assert rows(table.read()) == before
 
 
@@ -102,8 +102,35 @@ def test_one_landing_folder_for_all_tables(spark, tmp_path, rows):
     _land(landing, "top_sellers.csv", "s9,9,z,C")
     header = ",".join(TABLES["customers"].columns) + "\n"
     (landing / "customers.csv").write_text(header + 'c1,u1,1,"two\nlines",A\n')
-    tables = {n: VersionedTable(spark, str(tmp_path / n), TABLES[n].schema) for n in ("sellers", "customers")}
-    versions = stream_landing(spark, str(landing), tables, str(tmp_path / "ck"), prefix="acme_")
-    assert versions == {"sellers": 1, "customers": 1}
+    tables = {n: MergedTable(spark, str(tmp_path / n), TABLES[n], buckets=4) for n in ("sellers", "customers")}
+    log = load_log(spark, str(tmp_path / "log"))
+
+    def run():
+        return stream_landing(spark, str(landing), tables, str(tmp_path / "ck"), log, prefix="acme_")
+
+    assert run() == {"sellers": 1, "customers": 1}
     assert rows(tables["sellers"].read(), "seller_id") == [("s1",), ("s2",)]
     assert rows(tables["customers"].read(), "customer_city") == [("two\nlines",)]
+    assert rows(log.read()) == [("customers", 1, 1, 0, 1), ("sellers", 2, 2, 0, 2)]
+    assert {r["table_name"] for r in batch_completeness(expected_tables(spark), log.read()).filter("is_loaded").collect()} == set(tables)
+
+    _land(landing, "sellers_dataset.csv", "s2,3,y,B", "s3,1,z,C")
+    assert run() == {"sellers": 2, "customers": 1} and run() == {"sellers": 2, "customers": 1}
+    assert rows(tables["sellers"].read(), "seller_id", "seller_zip_code_prefix") == [("s1", 1), ("s2", 3), ("s3", 1)]
+    assert rows(log.read()) == [("customers", 1, 1, 0, 1), ("sellers", 2, 1, 1, 2), ("sellers", 2, 2, 0, 2)]
+    # one stream lists the folder for all tables
+    assert len(list((tmp_path / "ck" / "sources").iterdir())) == 1
+
+
+def test_a_landing_batch_that_failed_is_repeated(spark, tmp_path, rows):
+    landing = tmp_path / "landing"
+    _land(landing, "sellers.csv", "s1,1,x,A")
+    (landing / "customers.csv").write_text(",".join(TABLES["customers"].columns) + "\nc1,u1,1,x,A\nc1,u1,1,y,A\n")  # a key twice
+    tables = {n: MergedTable(spark, str(tmp_path / n), TABLES[n], buckets=4) for n in ("sellers", "customers")}
+    log = load_log(spark, str(tmp_path / "log"))
+    with pytest.raises(Exception, match="repeated key"):
+        stream_landing(spark, str(landing), tables, str(tmp_path / "ck"), log)
+    assert log.read().count() == 0 and tables["customers"].version == 0
+    (landing / "customers.csv").write_text(",".join(TABLES["customers"].columns) + "\nc1,u1,1,x,A\n")
+    assert stream_landing(spark, str(landing), tables, str(tmp_path / "ck"), log) == {"sellers": 1, "customers": 1}
+    assert {r["table_name"] for r in log.read().collect()} == {"sellers", "customers"}

@@ -278,6 +278,18 @@ FROM (SELECT b IN (SELECT t FROM raw_geolocation_raw t) AS known FROM raw_geoloc
     return _union([keyed("orders", "raw_orders_v2", "order_id"), keyed("sellers", "raw_sellers_v2", "seller_id"), places])
 
 
+def _landed() -> str:
+    known = "order_id IN (SELECT order_id FROM raw_orders)"
+    lines = [
+        f"SELECT '{t}' AS table_name, count(*) AS rows_held, count(*) AS rows_staged, count(*) AS rows_inserted, "
+        f"CAST(0 AS BIGINT) AS rows_updated, true AS is_complete "
+        f"FROM (SELECT {'DISTINCT ' + ', '.join(TABLES[t].keys) if TABLES[t].keys else '*'} FROM raw_{t})"
+        for t in RAW if t != "orders"]
+    return _union([*lines, f"""
+SELECT 'orders', first + fresh, first + second, first + fresh, second - fresh, true
+FROM (SELECT (SELECT count(*) FROM raw_orders) AS first, count(*) AS second, count(*) FILTER (NOT {known}) AS fresh FROM raw_orders_v2)"""])
+
+
 def _value_counts() -> str:
     return _union([
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS value_count "
@@ -311,6 +323,7 @@ SELECT order_status, coalesce(order_delivered_customer_date > order_estimated_de
 FROM ({_upsert_orders()}) LEFT JOIN (SELECT order_id, count(*) AS n FROM raw_order_items GROUP BY 1) USING (order_id)
 GROUP BY 1, 2""",
         "merge_report": _merge_report(),
+        "landing_routed": _landed(),
         "batch_completeness": f"""
 SELECT table_name, n > 0 AS is_loaded, CAST(sum(CASE WHEN n > 0 THEN 1 ELSE 0 END) OVER () AS BIGINT) AS tables_loaded,
  count(*) OVER () AS tables_expected, bool_and(n > 0) OVER () AS is_complete

@@ -16,7 +16,7 @@ from mercato.plans import build, checks, dashboard, loaders, segments, staging,
 from mercato.schemas import TABLES
 from mercato.session import materialise, scratch_path
 from mercato.sources.files import coerce_types, read_table, with_audit
-from mercato.sources.tables import VersionedTable, append_rows, write_mart
+from mercato.sources.tables import HistoryTable, MergedTable, VersionedTable, append_rows, write_mart
 from mercato.streaming import ingest
 from workload.adapters import LOADED_AT, RAW, RUN_1, RUN_2, SELLER_COLS, Marketplace
 
@@ -88,15 +88,45 @@ def _land(df: DataFrame, folder: str) -> None:
 @query
 def stream_upsert(m):
     """Two drops of order files, each merged by its own run of the stream."""
-    spec = TABLES["orders"]
     root = scratch_path(m.spark, "stream")
-    table = VersionedTable(m.spark, f"{root}/raw_orders", spec.schema)
+    table = MergedTable(m.spark, f"{root}/raw_orders", TABLES["orders"], buckets=8)
     for drop in ("orders", "orders_v2"):
         _land(m.adapter(drop), f"{root}/landing")
-        ingest.stream_upsert(m.spark, f"{root}/landing", spec, table, f"{root}/progress")
+        ingest.stream_upsert(table, f"{root}/landing", f"{root}/progress")
     return table.read()
 
 
+def _land_as(m, df, folder, name):
+    """One file of a given name, as the landing folder of all tables gets them."""
+    _land(df.coalesce(1), f"{folder}-{name}")
+    fs_path = m.spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(folder).getFileSystem(m.spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(folder))
+    part = next(s.getPath() for s in fs.listStatus(fs_path(f"{folder}-{name}")) if s.getPath().getName().startswith("part-"))
+    fs.rename(part, fs_path(f"{folder}/{name}"))
+
+
+@query
+def landing_routed(m):
+    """Files of all tables (each key once, as a file must) and a stranger in one landing folder, then a second drop of
+    orders; what each table holds, what the log says was done to it, and whether all are loaded."""
+    root = scratch_path(m.spark, "landing")
+    tables = {name: MergedTable(m.spark, f"{root}/raw/{name}", TABLES[name], buckets=8) for name in RAW}
+    log = ingest.load_log(m.spark, f"{root}/log")
+    landed = {name: m.raw[name].dropDuplicates(list(TABLES[name].keys)) if TABLES[name].keys else m.raw[name] for name in RAW}
+    drops = [{f"acme_{TABLES[name].stem}_dataset.csv": landed[name] for name in RAW} | {"cancelled_orders.csv": m.raw["sellers"]},
+             {"orders.csv": m.adapter("orders_v2")}]
+    for files in drops:
+        for name, rows in files.items():
+            _land_as(m, rows, f"{root}/files", name)
+        ingest.stream_landing(m.spark, f"{root}/files", tables, f"{root}/progress", log, prefix="acme_")
+    held = union_all([t.read().groupBy().count().select(F.lit(n).alias("table_name"), F.col("count").alias("rows_held")) for n, t in tables.items()])
+    done = log.read().groupBy("table_name").agg(
+        F.sum("rows_staged").alias("rows_staged"), F.sum("rows_inserted").alias("rows_inserted"), F.sum("rows_updated").alias("rows_updated"))
+    loaded = ingest.batch_completeness(ingest.expected_tables(m.spark), log.read()).select("table_name", "is_complete")
+    return held.join(done, "table_name").join(loaded, "table_name")
+
+
 @query
 def mart_rebuild(m):
     """A mart written, rebuilt from changed orders, and read back at its current version."""
@@ -112,9 +142,14 @@ def mart_rebuild(m):
 
 @query
 def merge_report(m):
-    return upsert.merge_report(m.raw["orders"], m.adapter("orders_v2"), TABLES["orders"]).unionByName(
-        upsert.merge_report(m.raw["geolocation_raw"], m.adapter("geolocation_v2"), TABLES["geolocation_raw"])
-    ).unionByName(upsert.merge_report(m.raw["sellers"], m.adapter("sellers_v2"), TABLES["sellers"]))
+    """Second batches merged into stored tables, as counted by the writes."""
+    root = scratch_path(m.spark, "merged")
+    reports = {}
+    for name, batch in (("orders", "orders_v2"), ("geolocation_raw", "geolocation_v2"), ("sellers", "sellers_v2")):
+        table = MergedTable(m.spark, f"{root}/{name}", TABLES[name], buckets=8)
+        upsert.merge_into(table, m.raw[name], validate=False)
+        reports[name] = upsert.merge_into(table, m.adapter(batch), validate=False)
+    return upsert.merge_reports(m.spark, reports)
 
 
 @query
@@ -245,9 +280,8 @@ def upsert_full_row(m):
 @query
 def upsert_cold_start(m):
     """First merge into a table that does not exist yet."""
-    spec = TABLES["orders"]
-    table = VersionedTable(m.spark, scratch_path(m.spark, "cold"), spec.schema)
-    upsert.merge_into(table, m.raw["orders"], spec)
+    table = MergedTable(m.spark, scratch_path(m.spark, "cold"), TABLES["orders"], buckets=8)
+    upsert.merge_into(table, m.raw["orders"])
     return table.read()
 
 
@@ -263,7 +297,7 @@ def snapshot_check(m):
 def snapshot_run(m):
     """Two stored runs, and the second replayed, which changes nothing."""
     schema = m.sellers_history.schema
-    table = VersionedTable(m.spark, scratch_path(m.spark, "history") + "/sellers", schema)
+    table = HistoryTable(m.spark, scratch_path(m.spark, "history") + "/sellers", schema)
     build.snapshot_run(table, m.raw["sellers"], "seller_id", SELLER_COLS, RUN_1)
     for _ in range(2):
         build.snapshot_run(table, m.adapter("sellers_v2"), "seller_id", SELLER_COLS, RUN_2)
