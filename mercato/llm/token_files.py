@@ -25,7 +25,7 @@ from mercato.session import materialise
 
 LENGTH = 2048  # ids in a sequence
 BATCH = 128  # sequences in a batch
-KEPT_CHUNKS = 1 << 20  # chunks of up to 32 bytes whose ids a worker remembers; beyond that it starts afresh
+KEPT_CHUNKS = 1 << 21  # chunks of up to 32 bytes whose ids a worker remembers; beyond that it starts afresh
 
 
 # signs that no rule joins to an ASCII letter before them; an apostrophe may start a contraction
