@@ -13,6 +13,8 @@ from mercato.functions.frames import union_all
 
 DATE, STATE, CATEGORY = "order_purchase_date", "customer_state", "product_category_name_english"
 
+MONTH = "order_month"  # first day of the order date's month, in facts stored by month
+
 ALL = "all"  # every listed option chosen: drops only rows without a value
 
 
@@ -30,9 +32,12 @@ class Selection:
 
 
 def filter_by_date(df: DataFrame, selection: Selection, date_col: str = DATE) -> DataFrame:
-    """Inclusive range; without two bounds every dated row stays."""
+    """Inclusive range; without two bounds every dated row stays. Facts stored by month are also asked for the range's
+    months, which their scans, and those of facts joined to them by month, prune folders with."""
     bounds = selection.date_range
     if bounds and len(bounds) == 2:
+        if MONTH in df.columns:
+            df = df.filter(F.col(MONTH).between(F.lit(bounds[0].replace(day=1)), F.lit(bounds[1])))
         return df.filter(F.col(date_col).between(F.lit(bounds[0]), F.lit(bounds[1])))
     return df.filter(F.col(date_col).isNotNull())
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mercato.operators.filters import Selection, filter_by_date
+from mercato.operators.filters import MONTH, Selection, filter_by_date
 
 
 def load_orders(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
@@ -17,6 +17,17 @@ def load_orders(fct_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     )
 
 
+def _with_order(fact: DataFrame, fct_orders: DataFrame, columns: list[str], order_columns: list[str]) -> DataFrame:
+    """Some columns of a fact and of its order; facts stored by month meet by it too, and keep it."""
+    by = ["order_id", MONTH] if MONTH in fact.columns and MONTH in fct_orders.columns else ["order_id"]
+    columns = list(dict.fromkeys([*by, *columns]))
+    return fact.select(*columns).join(fct_orders.select(*by, *order_columns), by)
+
+
+def _month(df: DataFrame) -> list[str]:
+    return [MONTH] if MONTH in df.columns else []
+
+
 def _current_sellers(dim_sellers: DataFrame) -> DataFrame:
     return dim_sellers.filter("is_current").select("seller_id", "seller_state")
 
@@ -29,21 +40,21 @@ def load_order_items(
     fct_order_items: DataFrame, fct_orders: DataFrame, dim_products: DataFrame, dim_sellers: DataFrame,
 ) -> DataFrame:
     """Order lines with order date, category, and the seller's current state."""
+    # orders first: a date filter on the result shrinks the lines before the other joins
+    lines = _with_order(
+        fct_order_items, fct_orders, ["order_id", "product_id", "seller_id", "total_item_value"], ["order_purchase_date"])
     return (
-        fct_order_items.select("order_id", "product_id", "seller_id", "total_item_value")
-        # orders first: a date filter on the result shrinks the lines before the other joins
-        .join(fct_orders.select("order_id", "order_purchase_date"), "order_id")
-        .join(_current_sellers(dim_sellers), "seller_id")
+        lines.join(_current_sellers(dim_sellers), "seller_id")
         .join(_categories(dim_products), "product_id", "left")
         .select("order_id", "order_purchase_date", "total_item_value", "product_category_name_english",
-                "seller_id", "seller_state")
+                "seller_id", "seller_state", *_month(lines))
     )
 
 
 def load_payments(fct_order_payments: DataFrame, fct_orders: DataFrame) -> DataFrame:
     """Payments with their order's date."""
-    dates = fct_orders.select("order_id", "order_purchase_date")
-    return fct_order_payments.join(dates, "order_id").select("order_purchase_date", "payment_type", "payment_value")
+    paid = _with_order(fct_order_payments, fct_orders, ["order_id", "payment_type", "payment_value"], ["order_purchase_date"])
+    return paid.select("order_purchase_date", "payment_type", "payment_value", *_month(paid))
 
 
 def load_reviews(

@@ -371,6 +371,8 @@ FROM raw_order_items i JOIN raw_orders o USING (order_id) JOIN raw_asking_prices
  AND o.order_purchase_timestamp BETWEEN p.valid_from AND coalesce(p.valid_to, TIMESTAMP '9999-12-31')""",
         "load_orders": "SELECT * FROM l_orders",
         "load_order_items": "SELECT * FROM l_items",
+        "load_items_bucketed": "SELECT * FROM l_items",
+        "filter_items_by_month": f"SELECT * FROM l_items WHERE {_YEAR} AND {_CATEGORIES}",
         "load_payments": "SELECT * FROM l_payments",
         "load_reviews": "SELECT * FROM l_reviews",
         "filter_date": f"SELECT * FROM l_orders WHERE {_YEAR}",

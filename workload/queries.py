@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from mercato.operators import filters, history, profiling, quality, upsert
 from mercato.operators.filters import ALL, Selection
 from mercato.functions.frames import union_all
-from mercato.plans import build, checks, dashboard, loaders, segments, staging, star
+from mercato.plans import build, checks, dashboard, layout, loaders, segments, staging, star
 from mercato.schemas import TABLES
 from mercato.session import materialise, scratch_path
 from mercato.sources.files import coerce_types, read_table, with_audit
@@ -411,6 +412,24 @@ def load_order_items(m):
     return _items(m)
 
 
+@query
+def load_items_bucketed(m):
+    """Order lines over facts stored in buckets by order."""
+    facts = layout.store_bucketed(
+        {name: m.marts[name] for name in ("fct_orders", "fct_order_items")}, "bucketed_" + uuid.uuid4().hex,
+        scratch_path(m.spark, "bucketed"), buckets=8)
+    return loaders.load_order_items(facts["fct_order_items"], facts["fct_orders"], m.product_lookup, m.seller_lookup)
+
+
+@query
+def filter_items_by_month(m):
+    """A year's order lines over facts stored by month: other months' folders are not read."""
+    facts = layout.store_by_month(
+        {name: m.marts[name] for name in ("fct_orders", "fct_order_items")}, scratch_path(m.spark, "by-month"))
+    lines = loaders.load_order_items(facts["fct_order_items"], facts["fct_orders"], m.product_lookup, m.seller_lookup)
+    return filters.filter_by_date_and_category(lines, TWO_CATEGORIES).drop(filters.MONTH)
+
+
 @query
 def load_payments(m):
     return _payments(m)
