@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mercato.operators.filters import MONTH
 
-NO_MONTH = date(1, 1, 1)
+NO_MONTH = "0001-01-01"
 FACTS = ("fct_orders", "fct_order_items", "fct_order_payments", "fct_order_reviews")
 
 
@@ -42,12 +41,12 @@ def store_by_month(marts: Mapping[str, DataFrame], root: str) -> dict[str, DataF
     alone. Rows of an unknown order or date share the folder of ``NO_MONTH``, and stay in results that filter no date.
     Months differ in size, and are dealt to tasks and files by size.
     """
-    orders = marts["fct_orders"].withColumn(MONTH, F.coalesce(F.trunc("order_purchase_date", "month"), F.lit(NO_MONTH)))
+    orders = marts["fct_orders"].withColumn(MONTH, F.coalesce(F.trunc("order_purchase_date", "month"), F.to_date(F.lit(NO_MONTH))))
     months = orders.select("order_id", MONTH)
     for name in FACTS:
         if name in marts:
             dated = orders if name == "fct_orders" else marts[name].join(months, "order_id", "left").withColumn(
-                MONTH, F.coalesce(MONTH, F.lit(NO_MONTH)))
+                MONTH, F.coalesce(MONTH, F.to_date(F.lit(NO_MONTH))))
             dated.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(f"{root.rstrip('/')}/{name}")
     spark = orders.sparkSession
     return {name: spark.read.parquet(f"{root.rstrip('/')}/{name}") for name in FACTS if name in marts}
