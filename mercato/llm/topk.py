@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from mercato.llm.vectors import scaled, usable
 from mercato.session import materialise
 
 SCALE = 1024
+MOST = 1 << 24  # scaled components stay below this in size
 BLOCK, QUERY_BLOCK = 8192, 8192  # rows, and queries, that meet in one task
 LEVEL_BITS = 4  # an impact level is 16 wide
 STEPS = 8  # of a query's postings in a block
@@ -113,28 +115,17 @@ def _search_block(k: int):
     return search
 
 
-def scaled(vector: Column) -> Column:
-    """floor(1024 * x) of each component, in double precision."""
-    return F.transform(vector, lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double")))
-
-
-def usable(vector: Column) -> Column:
-    """No null vector, and none with a null or non-finite component."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
-    return F.coalesce(vector.isNotNull() & ~bad, F.lit(False))
-
-
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, ``id_col``, score: the ``k`` rows of largest inner product with each query row but itself.
 
     Queries are the rows of ``vectors`` where ``is_query`` holds. Equal scores go to the smaller id, then to the earlier
-    row. Unusable vectors and null ids take no part. Repeated rows are rows of their own, as queries and as candidates. A
-    shorter vector counts as filled up with zeros; empty ones score 0. Scaled components must stay below 2**24 in size,
-    so that sums are exact. Fewer than ``k`` other rows are all returned; an empty table gives none. Extra columns are
+    row. Vectors that are null or hold a null or non-finite component, and null ids, take no part. Repeated rows are rows of their own, as queries and as candidates. A
+    shorter vector counts as filled up with zeros; empty ones score 0. Scaled components of 2**24 or more in size raise, as
+    sums are exact below. Fewer than ``k`` other rows are all returned; an empty table gives none. Extra columns are
     not read.
     """
     rows = vectors.filter(usable(F.col(vector_col)) & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("bigint").alias("id"), scaled(F.col(vector_col)).alias("vector"),
+        F.col(id_col).cast("bigint").alias("id"), scaled(F.col(vector_col), SCALE, MOST).alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     sizes = rows.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).collect()[0]

@@ -93,5 +93,5 @@ def judge(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str
         pages.join(decided, pages[url_col] == decided["judged"], "left")
         .select(
             *(pages[c] for c in kept), host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path"),
-            F.col("won_rule").alias("rule"), F.coalesce("won_verdict", F.lit(default)).alias("verdict"))
+            decided["won_rule"].alias("rule"), F.coalesce(decided["won_verdict"], F.lit(default)).alias("verdict"))
     )

@@ -62,3 +62,9 @@ def test_query_is_brute_force(spark):
         order = [m for m in np.lexsort((ids, -scores)) if m != n][:10]
         want += [(int(ids[n]), r + 1, int(ids[m]), int(scores[m])) for r, m in enumerate(order)]
     assert sorted(tuple(r) for r in queries.all_queries()["op3_top_k"](spark, folder).collect()) == sorted(want)
+
+
+def test_components_out_of_range_raise(spark):
+    df = spark.createDataFrame([(1, [3e6, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="out of range"):
+        topk.top_k(df, F.lit(True)).collect()

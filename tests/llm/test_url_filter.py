@@ -58,3 +58,11 @@ def test_query_is_its_sql(spark):
     assert sorted((tuple(r) for r in found.collect()), key=str) == want
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_columns_of_the_same_names(spark):
+    names = ["judged", "won_rule", "won_verdict", "won", "digest", "suffix", "prefix", "rule_host", "rule"]
+    pages = spark.createDataFrame([("http://a.net/b", *"abcdefghi")], ", ".join(f"{n} string" for n in ["url", *names]))
+    rules = spark.createDataFrame([("net", "/", "block")], "host string, path string, verdict string")
+    (row,) = url_filter.judge(pages, rules).collect()
+    assert (row["won_rule"], row["judged"], row["rule"], row["verdict"]) == ("b", "a", "net/", "block")
