@@ -129,7 +129,7 @@ def op12_syncmers(spark, sf_dir):
     compared = syncmers.compare_edits(table(spark, sf_dir, "documents"))
     return compared.select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), syncmers.hex_string(F.col("codes")).alias("fingerprint"),
-        syncmers.hex_string(F.col("edited_codes")).alias("edited_fingerprint"), "near_edited", "next_id", "near_next")
+        syncmers.hex_string(F.col("edited_codes")).alias("edited_fingerprint"), "near_edited", "near_next", "next_id")
 
 
 def mine(embeddings: DataFrame) -> DataFrame:
@@ -143,8 +143,37 @@ def op13_hard_negatives(spark, sf_dir):
     return mine(table(spark, sf_dir, "embeddings"))
 
 
+_SCALED = """
+            WITH kept AS (
+                SELECT row_number() OVER () AS r, vec_id, {label} AS label,
+                       list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v
+                FROM embeddings
+                WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+            scored AS (
+                SELECT a.r AS ar, b.r AS br, a.vec_id AS asked, b.vec_id AS other, a.label = b.label AS same,
+                       CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+                FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.r <> b.r)"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
+        "op3_top_k": _SCALED.format(label="0", scale=1024) + """
+            SELECT asked AS query_id, CAST(row_number() OVER (PARTITION BY ar ORDER BY score DESC, other) AS INTEGER) AS rank,
+                   other AS vec_id, score
+            FROM scored WHERE other IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, other) <= 10""",
+        "op13_hard_negatives": _SCALED.format(
+            label="CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END", scale=256) + """,
+            positives AS (
+                SELECT * FROM scored WHERE same
+                QUALIFY row_number() OVER (PARTITION BY ar ORDER BY score DESC, other) <= 5),
+            found AS (
+                SELECT p.asked, p.other AS positive_id, p.score AS positive_score, n.other AS negative_id, n.score AS negative_score,
+                       row_number() OVER (PARTITION BY p.ar, p.br ORDER BY n.score DESC, n.other) AS rank
+                FROM positives p JOIN scored n ON p.ar = n.ar AND NOT n.same
+                 AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+            SELECT asked AS anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+            FROM found WHERE rank <= 5""",
         "op8_url_filter": r"""
             WITH rules(h, p, v) AS (
                 VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'),

@@ -78,6 +78,6 @@ def test_query_is_brute_force(spark):
 
     folder = "/root/testdata/sf0.001"
     rows = duckdb.sql(f"SELECT doc_id, text FROM '{folder}/documents.parquet' ORDER BY doc_id").fetchall()
-    want = [(i, *r[:3], hashlib.sha256(r[3]).hexdigest()) for (i, _), r in zip(rows, brute([t for _, t in rows], 400))]
+    want = [(i, *r[:3], hashlib.sha256(r[3]).hexdigest(), r[1] > 0) for (i, _), r in zip(rows, brute([t for _, t in rows], 400))]
     got = sorted(tuple(r) for r in queries.all_queries()["op2_suffix_dedup"](spark, folder).collect())
     assert got == want and sum(r[2] for r in want) > 0
