@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from mercato.functions.exprs import instant, stamp
@@ -187,11 +187,15 @@ class QualityError(RuntimeError):
 
 def enforce(report: DataFrame) -> list[str]:
     """Gate before publishing: raise on errors, return the names of checks that only warn."""
-    rows = report.filter("status <> 'pass'").select("check_name", "failures", "status").collect()
-    errors = [f"{r['check_name']}: {r['failures']}" for r in rows if r["status"] == "error"]
+    return judge(report.filter("status <> 'pass'").select("check_name", "failures", "status").collect())
+
+
+def judge(report: list[Row]) -> list[str]:
+    """:func:`enforce` on the report's rows."""
+    errors = [f"{r['check_name']}: {r['failures']}" for r in report if r["status"] == "error"]
     if errors:
         raise QualityError("; ".join(sorted(errors)))
-    return sorted(r["check_name"] for r in rows)
+    return sorted(r["check_name"] for r in report if r["status"] != "pass")
 
 
 def order_flags_log(fct_orders: DataFrame, flagged_at: datetime) -> DataFrame:

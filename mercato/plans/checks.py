@@ -35,6 +35,7 @@ def _refers(table: str, column: str, parent: str) -> Check:
     return Check(RELATIONSHIP, table, (column,), parent=(parent, column))
 
 
+# fixed values: the declared checks of the staging layer and the marts
 STAGING_CHECKS: list[Check] = [
     *_each(UNIQUE, [
         ("stg_customers", "customer_id"),

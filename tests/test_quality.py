@@ -3,12 +3,15 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mercato.operators import quality
 from mercato.operators.quality import Check, QualityError, enforce, run_checks, split_valid
 from mercato.plans import star
+from mercato.plans.build import gated_build
 from mercato.plans.checks import CHECKS, EXTRA_CHECKS, MART_CHECKS, STAGING_CHECKS, row_rules
 from mercato.schemas import TABLES
+from mercato.sources.tables import VersionedTable
 
 
 def _one(spark, check, **tables):
@@ -171,3 +174,33 @@ def test_row_rules_cover_declared_constraints(spark):
     assert rules["orders"] == {"approved after purchase", "delivered after purchase"}
     assert len(rules["order_items"]) == len(rules["order_payments"]) == 2 and len(rules["order_reviews"]) == 1
     assert rules["sellers"] == set()
+
+
+@pytest.fixture
+def three(spark, tmp_path):
+    """Published tables base, report (made of base) and other, and their next states; base's next state repeats a key."""
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    tables = {name: VersionedTable(spark, str(tmp_path / name), schema) for name in ("base", "report", "other")}
+    for table in tables.values():
+        table.publish(spark.range(2).toDF("k"))
+    fresh = spark.range(5).toDF("k")
+    marts = {name: (table, fresh.unionByName(fresh) if name == "base" else fresh) for name, table in tables.items()}
+    return marts, [Check("unique", name, ("k",)) for name in tables]
+
+
+def test_a_failure_withholds_what_depends_on_it(three):
+    marts, rules = three
+    with pytest.raises(QualityError, match=r"unique base\(k\): 5"):
+        gated_build(marts, rules, depends={"report": ["base"], "other": ["elsewhere"]})
+    assert {name: (table.version, table.read().count()) for name, (table, _) in marts.items()} == {
+        "base": (1, 2), "report": (1, 2), "other": (2, 5)}
+
+
+def test_without_dependencies_a_failure_withholds_all(three):
+    marts, rules = three
+    with pytest.raises(QualityError):
+        gated_build(marts, rules)
+    assert {table.version for table, _ in marts.values()} == {1}
+    good = {name: pair for name, pair in marts.items() if name != "base"}
+    assert gated_build(good, [c for c in rules if c.table in good]) == []
+    assert {table.version for table, _ in good.values()} == {2}
