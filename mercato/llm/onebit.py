@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-LEVELS = 4  # codes of a vector; each takes some two fifths off the residual's length
+LEVELS = 4  # codes of a vector; each takes a quarter to two fifths off the residual's length
 BITS = 8  # of a rounded query entry
 SLACK = 1e-9  # of the lengths' product, for rounding in double precision
 
