@@ -14,13 +14,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node points to the least of the node and its neighbours."""
     both = edges.select("src", "dst").union(edges.select("dst", "src")).toDF("node", "other")
     least = both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("least"))
+    least = materialise(least, "least")  # written, so that the edges of a hub can be split in the join
     return both.filter("other > node").join(least, "node").select(F.col("other").alias("src"), F.col("least").alias("dst"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours point to the least of these."""
     down = edges.select(F.greatest("src", "dst").alias("node"), F.least("src", "dst").alias("other"))
-    least = down.groupBy("node").agg(F.min("other").alias("least"))
+    least = materialise(down.groupBy("node").agg(F.min("other").alias("least")), "least")
     moved = down.join(least, "node").select(F.col("other").alias("src"), F.col("least").alias("dst"))
     return moved.union(least.select("node", "least")).filter("src <> dst")
 
@@ -32,7 +33,9 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (src, dst) that is not its component's least node, the root.
 
-    Each half-round is one grouping and one join, written to the shared folder; edges never outnumber those given.
+    Each half-round is one grouping, combined before its shuffle, and one join of written tables, so that adaptive
+    execution can split the edges of a hub; edges never outnumber those given. Nulls link nothing, repeated edges count
+    once, and no edges give no rows.
     """
     edges = materialise(edges.select("src", "dst").filter("src <> dst"), "links")
     state = _state(edges)

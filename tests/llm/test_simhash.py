@@ -7,7 +7,8 @@ import numpy as np
 import xxhash
 
 from mercato.llm import simhash
-from mercato.llm.components import components
+from mercato.llm.components import _large_star, _small_star, components
+from mercato.session import materialise
 
 
 def plain_fingerprint(text):
@@ -122,3 +123,27 @@ def test_query_is_brute_force(spark):
     least = groups(ids, edges)
     got = sorted(tuple(r) for r in all_queries()["op1_simhash"](spark, folder).collect())
     assert got == [(i, f"{prints[i]:016x}", least[i]) for i in ids]
+
+
+def test_edges_of_a_hub_are_split(spark):
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        # node 0 links with one node of four, the others are pairs; a hub is the greater node of its links in one, the less in the other
+        hub = materialise(spark.range(4, 60_000, 1, 8).selectExpr("IF(id % 4 = 0, 0, id + 1000000) AS src", "id AS dst"), "edges")
+        greatest = materialise(hub.selectExpr("9000000 - src AS src", "9000000 - dst AS dst"), "edges")
+        for star, edges in ((_large_star, hub), (_small_star, greatest)):
+            made = star(edges)
+            made.collect()
+            assert "SortMergeJoin(skew=true)" in made._jdf.queryExecution().executedPlan().toString(), star
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
