@@ -10,7 +10,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +28,11 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _KEY = re.compile(
-    r"gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|eyJ[\w-]{8,}\.eyJ[\w-]{8,}\.[\w-]{8,}"
-    r"|-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", re.A)
-_OTHER = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[^0-9\s]*[0-9])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_=-])")
+    r"gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", re.A)
+# from the start of its run of signs to the first place that can begin a token, so that no run is read from many places
+_WEB_TOKEN = re.compile(r"(?<![\w-])(?:(?!eyJ)[\w-])*+(?P<key>eyJ[\w-]{8,}+\.eyJ[\w-]{8,}+\.[\w-]{8,}+)", re.A)
+_OTHER = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}+={0,2}+(?![A-Za-z0-9+/_=-])")
+_LETTER, _DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
 LEAST_ENTROPY = 3.5  # bits a character, for values that only their look gives away
 MOST_OWNERS = 1  # holders up to which a value looks live
 
@@ -39,20 +43,34 @@ def _entropy(value: str) -> float:
     return -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
 
 
+def _looks_random(value: str) -> bool:
+    return bool(_LETTER.search(value) and _DIGIT.search(value)) and _entropy(value) >= LEAST_ENTROPY
+
+
+def _apart(new: list[Found], taken: list[Found]) -> list[Found]:
+    """Those of ``new`` that overlap nothing of ``taken``."""
+    spans = sorted((a, b) for _, a, b, _ in taken)
+    starts, ends = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+    return [f for f in new if not (before := bisect_left(starts, f[2])) or ends[before - 1] <= f[1]]
+
+
 def candidates(text: str | None) -> list[Found]:
-    """(kind, start, end, value), by start, then kind; base kinds always, the others where they overlap none of these."""
+    """(kind, start, end, value), by start, then kind; base kinds always, the others where they overlap none of these.
+
+    Time grows with the text's length, whatever it holds.
+    """
     if not text:
         return []
     found = [("assign", *m.span(), m[2]) for m in _ASSIGN.finditer(text) if len(m[2]) >= 12]
     if "AKIA" in text:
         found += [("access", *m.span(), m[0]) for m in _ACCESS.finditer(text) if len(m[0]) >= 18]
     found += [("hex", *m.span(), m[0]) for m in _HEX.finditer(text)]
-    for kind, pattern in (("key", _KEY), ("other", _OTHER)):
-        for m in pattern.finditer(text):
-            if kind == "other" and (_entropy(m[0]) < LEAST_ENTROPY or not re.search(r"[A-Za-z]", m[0])):
-                continue
-            if not any(a < m.end() and m.start() < b for _, a, b, _ in found):
-                found.append((kind, *m.span(), m[0]))
+    keys = [("key", *m.span(), m[0]) for m in _KEY.finditer(text)]
+    if "eyJ" in text:
+        keys += [("key", *m.span("key"), m["key"]) for m in _WEB_TOKEN.finditer(text)]
+    found += _apart(keys, found)
+    others = [("other", *m.span(), m[0]) for m in _OTHER.finditer(text) if _looks_random(m[0])]
+    found += _apart(others, found)
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 
