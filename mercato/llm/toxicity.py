@@ -1,8 +1,8 @@
 """Toxicity: a chain of linear classifiers over words and their openings.
 
 Categories are predicted one after the other; each model sees the words of a text, the openings of longer words
-(as in compounds and inflected forms) and the predicted log odds of the categories before it. For training these come from out-of-fold models, so that a later model learns from predictions
-as uncertain as those it will meet.
+(as in compounds and inflected forms) and the predicted probabilities of the categories before it. For training these
+come from out-of-fold models, so that a later model learns from predictions as uncertain as those it will meet.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from mercato.llm.words import Words, blocks
 from mercato.session import materialise
 
 SAMPLE = 6000  # labelled texts that the models are fitted on, at most; those of least hash
-FEATURES = 500  # words and openings that the models know, at most
 OPENINGS = range(4, 10)  # bytes
 LEAST_TEXTS = 3  # sampled texts that hold a word for it to be a feature
 LEAST_APART = 5.0  # standard deviations between a category's share in them and chance
@@ -29,8 +28,8 @@ STEPS = 20
 
 @dataclass
 class Chain:
-    """Models of the categories in turn: rows of ``weights`` are the features named by ``columns``, then the log odds
-    of earlier categories."""
+    """Models of the categories in turn: rows of ``weights`` are the features named by ``columns``, then the
+    probabilities of earlier categories."""
 
     categories: list[str]
     words: np.ndarray  # sorted hashes
@@ -41,9 +40,10 @@ class Chain:
 
     def log_odds(self, present: np.ndarray) -> np.ndarray:
         """Log odds of each category, a column each, for rows of 0 and 1 per word."""
-        out = np.zeros((len(present), 0), np.float32)
+        out = earlier = np.zeros((len(present), 0), np.float32)
         for columns, weights, bias in zip(self.columns, self.weights, self.biases):
-            out = np.column_stack([out, np.column_stack([present[:, columns], out]) @ weights + bias])
+            odds = np.column_stack([present[:, columns], earlier]) @ weights + bias
+            out, earlier = np.column_stack([out, odds]), np.column_stack([earlier, _sigmoid(odds)])
         return out
 
 
@@ -105,7 +105,7 @@ def fit_chain(
         chain.weights.append(weights)
         chain.biases.append(bias)
         chain.thresholds.append(_best_threshold(odds[known], y[known]))
-        earlier = np.column_stack([earlier, odds])
+        earlier = np.column_stack([earlier, _sigmoid(odds)])
     return chain
 
 
@@ -142,18 +142,22 @@ def _feature_sets(batches):
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> Chain:
     """Fit a chain of ``categories`` (name -> SQL of a 0/1 label over ``labels``), in their order.
 
-    At most ``SAMPLE`` labelled ids of least hash are read, whole texts; equal texts count once. Of several labels of
-    an id the largest holds; null labels are unknown. Without labels the chain finds nothing.
+    Read are at most ``SAMPLE`` different labelled texts, those of least hash, whole. Of several labels of an id or of
+    equal texts the largest holds; null labels are unknown, labels of null ids or without a document are ignored, and a
+    null text is an empty one. Without labels the chain finds nothing. A feature of a category is any word or opening
+    that tells it in the sample; other columns of ``docs`` may have any name.
     """
     known = [F.expr(sql).cast("double").alias(f"label_{i}") for i, sql in enumerate(categories.values())]
     names = [f"label_{i}" for i in range(len(known))]
+    of_id = labels.select(F.col(id_col).alias("id"), *known).groupBy("id").agg(*(F.max(n).alias(n) for n in names))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    texts = texts.select("id", F.xxhash64("text").alias("number"), "text")
     chosen = (
-        labels.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("labelled"), *known)
-        .groupBy("labelled").agg(*(F.max(n).alias(n) for n in names))
-        .orderBy(F.xxhash64("labelled"), "labelled").limit(SAMPLE))
-    sample = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("labelled")).select(
-        F.xxhash64(text_col).alias("number"), F.col(text_col).alias("text"), *names)
-    sample = materialise(sample.dropDuplicates(["number"]), "sample")
+        texts.select("id", "number").join(of_id, "id").groupBy("number").agg(*(F.max(n).alias(n) for n in names))
+        .orderBy("number").limit(SAMPLE))
+    chosen = materialise(chosen, "labelled")
+    sample = texts.select("number", "text").join(F.broadcast(chosen), "number")
+    sample = materialise(sample.groupBy("number").agg(F.min("text").alias("text"), *(F.max(n).alias(n) for n in names)), "sample")
     words = materialise(
         sample.select("number", "text").mapInArrow(_feature_sets, "number long, words array<long>"), "sample-words")
     target = sample.select("number", *(F.coalesce(n, F.lit(0.0)).alias(n) for n in names))
@@ -164,10 +168,10 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     for name in names:
         rate = (total[name] + 0.5) / (total["n"] + 1)
         apart.append(F.abs(F.col(name) - rate * F.col("texts")) / F.sqrt(F.col("texts") * rate * (1 - rate)))
-    widest = F.greatest(F.lit(0.0), *apart)
+    tells = [a >= LEAST_APART for a in apart]
     features = materialise(
-        counted.filter((F.col("texts") >= LEAST_TEXTS) & (widest >= LEAST_APART)).orderBy(widest.desc(), "word").limit(FEATURES)
-        .select("word", F.array(*(a >= LEAST_APART for a in apart)).alias("tells")), "features")
+        counted.filter((F.col("texts") >= LEAST_TEXTS) & F.array_contains(F.array(*tells), True))
+        .select("word", F.array(*tells).alias("tells")), "features")
     told = sorted((r["word"] % (1 << 64), r["tells"]) for r in features.collect())
     vocabulary = np.array([word for word, _ in told], np.uint64)
     columns = [np.flatnonzero([tells[i] for _, tells in told]) for i in range(len(names))]
@@ -175,7 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     place = {r["number"]: i for i, r in enumerate(rows)}
     present = np.zeros((len(rows), len(vocabulary)), np.float32)
     holds = words.select("number", F.explode("words").alias("word")).join(F.broadcast(features.select("word")), "word")
-    for row in holds.groupBy("number").agg(F.collect_list("word").alias("words")).collect():  # SAMPLE rows of FEATURES at most
+    for row in holds.groupBy("number").agg(F.collect_list("word").alias("words")).collect():  # SAMPLE rows at most
         present[place[row["number"]], np.searchsorted(vocabulary, np.array(row["words"], np.int64).view(np.uint64))] = 1
     table = np.array([[np.nan if r[n] is None else r[n] for n in names] for r in rows], np.float64).reshape(len(rows), len(names))
     folds = np.array([r["number"] % FOLDS for r in rows], np.int64)
@@ -202,7 +206,7 @@ def score(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
     Columns of these names are replaced. A null, empty or wordless text has the models' base rates and is in no
     category; repeated rows are scored alike, and an empty table stays empty. Whole texts are read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(chain)  # at most FEATURES words
+    shared = docs.sparkSession.sparkContext.broadcast(chain)  # words that tell a category in SAMPLE texts
 
     def odds(batches):
         for texts in batches:

@@ -40,6 +40,9 @@ def test_odd_texts_and_labels(spark, docs):
     rows, labels = made(400)
     labels += [(0, None, None), (None, 1, 1), (1, 1, 0), (99_999, 1, 1)]
     chain = toxicity.train(docs(rows), labels_of(spark, labels), queries.TOXIC_CHAIN)
+    clashing = docs(rows).withColumnsRenamed({"fingerprint": "labelled", "pii": "number", "lang": "label_0", "source": "word"})
+    again = toxicity.train(clashing.unionByName(clashing), labels_of(spark, labels), queries.TOXIC_CHAIN)
+    assert again.thresholds == chain.thresholds and (again.words == chain.words).all()
     odd = docs([(1, None), (2, ""), (3, " \n!"), (4, "idiot moron scum " * 20_000), (4, "idiot moron scum " * 20_000)])
     scored = toxicity.score(odd.withColumnRenamed("source", "toxic"), chain)
     assert [(r["doc_id"], r["toxic"]) for r in scored.orderBy("doc_id").collect()] == [
@@ -47,6 +50,40 @@ def test_odd_texts_and_labels(spark, docs):
     assert toxicity.score(docs([]), chain).count() == 0
 
 
+def test_chain_is_its_models_one_after_another():
+    rng = np.random.default_rng(3)
+    present = rng.integers(0, 2, (400, 6)).astype(np.float32)
+    first = present[:, 0] > 0
+    labels = np.column_stack([first, first & (present[:, 1] > 0)]).astype(np.float64)
+    labels[:30, 0] = np.nan
+    folds = np.arange(400) % toxicity.FOLDS
+    columns = [np.array([0, 2]), np.array([1, 3])]
+    chain = toxicity.fit_chain(present, labels, folds, np.arange(6, dtype=np.uint64), columns, ["a", "b"])
+
+    known = ~np.isnan(labels[:, 0])
+    held_out = np.zeros(400)
+    for fold in range(toxicity.FOLDS):
+        rows = known & (folds != fold)
+        weights, bias = toxicity.fit_linear(present[rows][:, [0, 2]], labels[rows, 0].astype(np.float32))
+        held_out[folds == fold] = 1 / (1 + np.exp(-(present[folds == fold][:, [0, 2]] @ weights + bias)))
+    both = np.column_stack([present[:, [1, 3]], held_out]).astype(np.float32)
+    weights, bias = toxicity.fit_linear(both, labels[:, 1].astype(np.float32))
+    assert np.allclose(chain.weights[1], weights, atol=1e-3) and abs(chain.biases[1] - bias) < 1e-3
+
+    odds = chain.log_odds(present)
+    earlier = 1 / (1 + np.exp(-odds[:, 0]))  # the later model sees a probability
+    assert np.allclose(odds[:, 1], np.column_stack([present[:, [1, 3]], earlier]) @ chain.weights[1] + chain.biases[1], atol=1e-4)
+
+
+def test_labels_without_documents_use_up_no_sample(spark, docs, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 300)
+    rows, labels = made(300)
+    stray = [(10_000 + i, 1, 1) for i in range(3000)]
+    chain = toxicity.train(docs(rows), labels_of(spark, labels + stray), queries.TOXIC_CHAIN)
+    same = toxicity.train(docs(rows), labels_of(spark, labels), queries.TOXIC_CHAIN)
+    assert chain.thresholds == same.thresholds and len(chain.words)
+
+
 def test_without_labels_nothing_is_toxic(spark, docs):
     rows, labels = made(50)
     for known in ([], [(i, q, 0) for i, q, _ in labels]):
