@@ -9,7 +9,10 @@ the source. A transducer runs only on texts that hold something for it to rewrit
 from __future__ import annotations
 
 import re
+import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,31 +24,57 @@ Span = tuple[str, int, int]
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL_SIGNS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+_IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _LONG_DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9]){15}")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NON_DIGIT = re.compile(r"[^0-9]")
 
-# fixed values: spelled digits, words and signs that stand for @ and for a dot, letters that look like ASCII ones
+# fixed values: spelled digits, letters that look like ASCII ones, endings of domains, signs that are not seen
 SPELLED = {
     "zero": "0", "one": "1", "two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7",
     "eight": "8", "nine": "9"}
-LOOKALIKES = dict(zip("АВЕКМНОРСТХаеорсухіјѕΑΒΕΖΗΙΚΜΝΟΡΤΥΧο", "ABEKMHOPCTXaeopcyxijsABEZHIKMNOPTYXo", strict=True))
-ENDINGS = ("com", "org", "net", "edu", "gov", "info", "io", "co", "de", "fr", "es", "uk")  # that bare words must lead to
-HIDDEN = "­​‌‍⁠﻿"
-FULL_WIDTH = {chr(0xFF01 + i): chr(0x21 + i) for i in range(94)}
-
-_ONE_SIGN = LOOKALIKES | FULL_WIDTH | dict.fromkeys(HIDDEN, "")
-_SIGNS = re.compile("[" + "".join(map(re.escape, _ONE_SIGN)) + "]")
+LOOKALIKES = dict(zip(
+    "АВЕКМНОРСТХаеорсухіјѕԁһԛԝӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧονρικոօսցհıɑɡ。",
+    "ABEKMHOPCTXaeopcyxijsdhqwlABEZHIKMNOPTYXovpiknougbiag.", strict=True))
+ENDINGS = ("com", "org", "net", "edu", "gov", "info", "biz", "dev", "app", "xyz", "online", "[a-z]{2}")  # that bare words must lead to
+HIDDEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
+# compatibility forms that differ from an ASCII sign in style alone (superscripts and fractions mean something else)
+STYLES = ("<font>", "<wide>", "<narrow>", "<small>", "<circle>")
+LAST_STYLED = 0x1FBFF  # code points beyond have no such forms
+
+
+def _styled() -> dict[str, str]:
+    """Styled forms of ASCII signs, and the decimal digits of all scripts."""
+    out = {}
+    for sign in map(chr, range(128, LAST_STYLED + 1)):
+        plain = unicodedata.normalize("NFKC", sign) if unicodedata.decomposition(sign).startswith(STYLES) else ""
+        plain = str(unicodedata.decimal(sign, "")) or LOOKALIKES.get(plain, plain)
+        if len(plain) == 1 and plain.isascii():
+            out[sign] = plain
+    return out
+
+
+_ONE_SIGN = _styled() | LOOKALIKES | dict.fromkeys(HIDDEN, "")
+# those of the basic plane one by one, and one range for all beyond, of which some stay as they are: quick to look up
+_SIGNS = re.compile("[" + "".join(map(re.escape, sorted(s for s in _ONE_SIGN if s <= "\uffff"))) + f"\U00010000-{chr(LAST_STYLED)}]")
 _DIGIT_WORD = "(?:" + "|".join(SPELLED) + ")"
-_DIGIT_RUN = re.compile(rf"(?i)(?<![A-Za-z])(?:plus[\x20-]+)?{_DIGIT_WORD}(?:[\x20-]+{_DIGIT_WORD}){{6,}}(?![A-Za-z])")
-_DIGIT_PART = re.compile(rf"(?i)(?P<sign>plus)[\x20-]+|(?P<digit>{_DIGIT_WORD})[\x20-]*")
+_DOT_BETWEEN = r"\x20*[\[({<]\x20*(?:dot|\.)\x20*[\])}>]\x20*|\x20+dot\x20+|\."
+_DIGIT_TOKEN = rf"(?:{_DIGIT_WORD}(?![A-Za-z])|[0-9]++)"
+# digits as words, or as words and figures, with what parts them
+_DIGIT_RUN = re.compile(
+    rf"(?i)(?<![A-Za-z0-9@._%])(?:plus[\x20-]+)?{_DIGIT_TOKEN}(?:(?:{_DOT_BETWEEN}|,\x20*|[\x20-]+){_DIGIT_TOKEN})+(?![A-Za-z0-9@_%+])")
+_DIGIT_PART = re.compile(
+    rf"(?i)(?P<sign>plus)[\x20-]+|(?P<word>{_DIGIT_WORD})|(?P<figures>[0-9]+)|(?P<dot>{_DOT_BETWEEN})|(?P<gap>,\x20*|[\x20-]+)")
+_HAS_DIGIT_WORD = re.compile(rf"(?i)(?<![A-Za-z]){_DIGIT_WORD}(?![A-Za-z])")
+_LISTED_ENDING = rf"(?:{'|'.join(ENDINGS)})(?![A-Za-z0-9])"
 _DISGUISED_AT = re.compile(
     r"(?i)(?<=[A-Za-z0-9])(?:\x20*[\[({<]\x20*at\x20*[\])}>]\x20*"
-    rf"|\x20at\x20(?=(?:[A-Za-z0-9-]+\x20dot\x20)+(?:{'|'.join(ENDINGS)})(?![A-Za-z0-9])))(?=[A-Za-z0-9])")
+    rf"|\x20*[\[({{<]\x20*(?:a|@)\x20*[\])}}>]\x20*(?=(?:[A-Za-z0-9-]+\x20?(?:\.|dot)\x20?)+{_LISTED_ENDING})"
+    rf"|\x20at\x20(?=(?:[A-Za-z0-9-]+\x20dot\x20)+{_LISTED_ENDING}))(?=[A-Za-z0-9])")
 _BRACKETED_DOT = r"\x20*[\[({<]\x20*(?:dot|\.)\x20*[\])}>]\x20*"
-_DISGUISED_DOT = re.compile(rf"(?i)(?<=[A-Za-z0-9])(?:{_BRACKETED_DOT}|\x20dot\x20)(?=[A-Za-z0-9])")
+_DISGUISED_DOT = re.compile(
+    rf"(?i)(?<=[A-Za-z0-9])(?:{_BRACKETED_DOT}|\x20dot\x20|\x20\.\x20(?={_LISTED_ENDING}))(?=[A-Za-z0-9])")
 _DOT_WITHOUT_AT = re.compile(rf"(?i)(?<=[A-Za-z0-9]){_BRACKETED_DOT}(?=[A-Za-z0-9])|(?<=[0-9])\x20dot\x20(?=[0-9])")
 
 
@@ -100,17 +129,17 @@ class Mapped:
         return cls(text, range(len(text)), range(1, len(text) + 1))
 
     def rewrite(self, pattern: re.Pattern, replace) -> Mapped:
-        """Each match becomes ``replace(match)``; every sign of that comes from the whole match."""
+        """Each match becomes ``replace(match)``, (new text, start, end) of its parts in turn; every sign of a new text
+        comes from its whole part."""
         pieces, starts, ends, past = [], [], [], 0
         for m in pattern.finditer(self.text):
-            a, b = m.span()
-            new = replace(m)
-            pieces += [self.text[past:a], new]
-            starts += self.starts[past:a]
-            ends += self.ends[past:a]
-            starts += [self.starts[a]] * len(new)
-            ends += [self.ends[b - 1]] * len(new)
-            past = b
+            for new, a, b in replace(m):
+                pieces += [self.text[past:a], new]
+                starts += self.starts[past:a]
+                ends += self.ends[past:a]
+                starts += [self.starts[a]] * len(new)
+                ends += [self.ends[b - 1]] * len(new)
+                past = b
         if not pieces:
             return self
         pieces.append(self.text[past:])
@@ -122,40 +151,90 @@ class Mapped:
         return self.starts[start], self.ends[end - 1]
 
 
-def _digits(m: re.Match) -> str:
-    return "".join("+" if p["sign"] else SPELLED[p["digit"].lower()] for p in _DIGIT_PART.finditer(m[0]))
+def _whole(new):
+    """A part for :meth:`Mapped.rewrite`: all of a match."""
+    return lambda m: [(new(m[0]) if callable(new) else new, *m.span())]
+
+
+def _digits(m: re.Match) -> Iterator[tuple[str, int, int]]:
+    """Words to digits; what parts them from other digits goes, or becomes a dot. Runs of figures alone stay."""
+    if not _HAS_DIGIT_WORD.search(m[0]):
+        return
+    at = m.start()
+    parts = list(_DIGIT_PART.finditer(m[0]))
+    for i, p in enumerate(parts):
+        span = at + p.start(), at + p.end()
+        if p["sign"]:
+            yield "+", *span
+        elif p["word"]:
+            yield SPELLED[p["word"].lower()], *span
+        elif p["dot"]:
+            yield ".", *span
+        elif p["gap"] and (parts[i - 1]["word"] or parts[i + 1]["word"]):
+            yield "", *span
 
 
 def normalise(text: str) -> Mapped:
+    """``text`` with signs, digits, at and dot as an identifier has them; every sign knows its stretch of the source."""
     out = Mapped.of(text)
     if not text.isascii():
-        out = out.rewrite(_SIGNS, lambda m: _ONE_SIGN[m[0]])
+        out = out.rewrite(_SIGNS, _whole(lambda sign: _ONE_SIGN.get(sign, sign)))
     out = out.rewrite(_DIGIT_RUN, _digits)
-    at = out.rewrite(_DISGUISED_AT, lambda m: "@")
+    at = out.rewrite(_DISGUISED_AT, _whole("@"))
     dots = _DISGUISED_DOT if at is not out or "@" in out.text else _DOT_WITHOUT_AT
-    return at.rewrite(dots, lambda m: ".")
+    return at.rewrite(dots, _whole("."))
+
+
+_DIGIT_WORDS = re.compile(_DIGIT_WORD)
+_OTHER_DISGUISES = re.compile(r"[\[({<]\x20*(?:at|dot|a|@|\.)\x20*[\])}>]|\x20dot\x20|\x20\.\x20")
+
+
+def _needs_work(text: str) -> bool:
+    """Whether :func:`normalise` may find something; quick, as most texts hold nothing for it."""
+    low = text.lower()
+    return bool(
+        not text.isascii() and _SIGNS.search(text) or _OTHER_DISGUISES.search(low)
+        or _DIGIT_WORDS.search(low) and _DIGIT_RUN.search(text))
+
 
+class _Taken:
+    """Spans by start, to find those that overlap a stretch."""
 
-_NEEDS_WORK = re.compile(rf"{_SIGNS.pattern}|{_DIGIT_RUN.pattern[4:]}|[\[({{<]\x20*(?:at|dot|\.)\x20*[\])}}>]|\x20dot\x20", re.I)
+    def __init__(self, spans: list[Span]):
+        self.spans = sorted(spans, key=lambda s: s[1])
+        self.starts = [s[1] for s in self.spans]
+        self.reach = list(accumulate((s[2] for s in self.spans), max))
+
+    def over(self, start: int, end: int) -> Iterator[Span]:
+        at = bisect_left(self.starts, end) - 1
+        while at >= 0 and self.reach[at] > start:
+            if self.spans[at][2] > start:
+                yield self.spans[at]
+            at -= 1
 
 
 def all_spans(text: str | None) -> tuple[list[Span], list[Span]]:
-    """Plain spans, and those only the normal form shows: none that overlaps a plain one, but for covering one of its kind."""
+    """Plain spans, and those only the normal form shows: none that overlaps a plain one, but for covering one of its kind.
+
+    Time grows with the text's length, whatever it holds.
+    """
     if not text:
         return [], []
     plain = plain_spans(text)
     added: list[Span] = []
-    if _NEEDS_WORK.search(text):
+    if _needs_work(text):
         normal = normalise(text)
         if normal.text != text:
-            taken = list(plain)
-            for kind, a, b in plain_spans(normal.text):
-                start, end = normal.source(a, b)
-                cut = [s for s in taken if s[1] < end and start < s[2]]
-                # a plain span may be what a disguise left visible of a longer identifier of its kind
-                if text[start:end] != normal.text[a:b] and all(s[0] == kind and start <= s[1] and s[2] <= end for s in cut):
-                    added.append((kind, start, end))
-                    taken.append((kind, start, end))
+            found = plain_spans(normal.text)
+            for kind in KINDS:
+                taken, past = _Taken(plain + added), 0
+                for _, a, b in (f for f in found if f[0] == kind):
+                    start, end = normal.source(a, b)
+                    # a plain span may be what a disguise left visible of a longer identifier of its kind
+                    if start >= past and text[start:end] != normal.text[a:b] and all(
+                            s[0] == kind and start <= s[1] and s[2] <= end for s in taken.over(start, end)):
+                        added.append((kind, start, end))
+                        past = end
     return plain, added
 
 
@@ -187,7 +266,10 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def mask_text(text: str | None) -> str | None:
-    """``text`` with a placeholder such as ``<EMAIL>`` for every identifier; overlapping ones share the first's."""
+    """``text`` with a placeholder such as ``<EMAIL>`` for every identifier; overlapping ones share the first's.
+
+    A null text stays null, an empty one empty; whole texts are read, however long.
+    """
     if not text:
         return text
     plain, added = all_spans(text)
@@ -202,7 +284,11 @@ def mask_text(text: str | None) -> str | None:
 
 
 def mask_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with identifiers in ``text_col`` replaced by placeholders; a null text stays null."""
+    """``docs`` with identifiers in ``text_col`` replaced by placeholders, all other columns as they are.
+
+    Rows are taken one by one: a null text stays null, an empty one empty, repeated rows change alike, very long texts
+    are read whole, and an empty table stays empty.
+    """
     return docs.withColumn(text_col, map_values(mask_text, "string", F.col(text_col)))
 
 
