@@ -8,6 +8,8 @@ and paraphrased copies score by what they kept, and the scores go back to all co
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,7 +21,6 @@ from mercato.llm.words import blocks, split_words
 from mercato.session import materialise
 
 GRAM = 3  # words of a seed
-RARE = 50  # bounds nothing any more: every seeded pair is aligned; a test still sets the name
 BITMAP_BITS = 24  # the bitmap has 2**24 bits (2 MB), whatever the number of items
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5  # of the score of an identical passage
@@ -39,6 +40,25 @@ def alignment_score(item: np.ndarray, passage: np.ndarray) -> float:
     return best / (MATCH * len(item))
 
 
+def _reach(n_words: int, least_score: float) -> int:
+    """Words that an alignment of such a score can have in the passage: what its matches leave for gaps is bounded."""
+    return math.ceil((MATCH + 1 - MATCH * least_score) * n_words)
+
+
+def copy_score(item: str, passage: str, least_score: float) -> float:
+    """:func:`alignment_score` of two texts where it can reach ``least_score``, else zero.
+
+    A score is at most the share of the item's words, each as often as it stands there, that the passage holds; so most
+    pairs that share a seed need no alignment.
+    """
+    words, within = (split_words([text.encode()], unspaced=True).hashes for text in (item, passage))
+    kinds, often = np.unique(words, return_counts=True)
+    held, held_often = np.unique(within[np.isin(within, kinds)], return_counts=True)
+    if np.minimum(held_often, often[np.searchsorted(kinds, held)]).sum() < least_score * len(words):
+        return 0.0
+    return alignment_score(words, within)
+
+
 def _grams(text: str | None) -> tuple[list[int], int]:
     words = split_words([(text or "").encode()], unspaced=True)
     return np.unique(words.grams(GRAM)[0]).view(np.int64).tolist(), len(words.hashes)
@@ -125,7 +145,8 @@ def find_contamination(
         F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row_number"), F.col(text_col).alias("text"),
         F.xxhash64(text_col).alias("text_hash"))
     passages = _passages(
-        named.select("id", F.struct("row_number", "text_hash").alias("row"), "text"), bitmap, max(longest, GRAM))
+        named.select("id", F.struct("row_number", "text_hash").alias("row"), "text"), bitmap,
+        _reach(max(longest, GRAM), least_score))
     passages = materialise(passages.withColumn("digest", F.sha2("passage", 256)), "passages")
     # equal passages are looked at once: a seed costs as much as it has different surroundings, however many copies
     hits = materialise(passages.select("digest", F.explode("hits").alias("seed")).distinct(), "hits")
@@ -134,7 +155,7 @@ def find_contamination(
     texts = pairs.join(different, "digest").join(known.select("item", "item_text"), "item")
 
     def score(item, passage):
-        return alignment_score(*(split_words([text.encode()], unspaced=True).hashes for text in (item, passage)))
+        return copy_score(item, passage, least_score)
 
     scores = materialise(
         texts.withColumn("score", map_values(score, "double", F.col("item_text"), F.col("passage")))
@@ -148,7 +169,11 @@ def find_contamination(
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no copy of an item, with all their columns."""
+    """The rows of ``docs`` that hold no copy of an item, with all their columns.
+
+    Null, empty and very long texts, repeated rows and empty tables are taken as :func:`find_contamination` takes them:
+    rows without words stay, all copies of a row stay or go together, and no items drop nothing.
+    """
     found = find_contamination(docs, items, id_col, text_col)
     found = materialise(found.select(F.col(id_col).alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct(), "contaminated")
     same = docs[id_col].eqNullSafe(found["hit_id"]) & (F.xxhash64(docs[text_col]) == found["hit_hash"])
