@@ -2,6 +2,9 @@
 
 Toxic documents go, one document of each group of near-duplicates stays, documents that hold a copy of a benchmark
 item go, personal data are masked, and the rest becomes token ids. Each stage works on what its predecessor kept.
+
+All stages take nulls in any column, empty and very long texts, repeated rows and empty tables, and all but the last carry
+every column they are given, whatever its name. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -17,26 +20,26 @@ from mercato.session import materialise
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain does not call toxic."""
+    """Documents that the classifier chain does not call toxic. Null and wordless texts stay, copies of a row alike."""
     ship_package(spark)
     chain = toxicity.train(docs, table(spark, sf_dir, "labels"), TOXIC_CHAIN)
     return toxicity.score(docs, chain).filter(~F.col("toxic")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose fingerprints are linked."""
+    """One document of each group whose fingerprints are linked; texts without words share fingerprint zero, so one stays."""
     ship_package(spark)
     return simhash.keep_one(docs).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a copy of a benchmark item."""
+    """Documents without a copy of a benchmark item. Null and wordless texts stay; copies of a row stay or go together."""
     ship_package(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with placeholders for personal data; n_chars is that of the new text."""
+    """All documents, with placeholders for personal data; n_chars is that of the new text, null for a null text."""
     ship_package(spark)
     masked = pii.mask_pii(docs)
     if "n_chars" in docs.columns:
@@ -45,7 +48,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, their number, and the hashes of the ids and of what they decode to."""
+    """Token ids of every text, their number, and the hashes of the ids and of what they decode to; a null text has none."""
     ship_package(spark)
     ranks = public_tokenizers.path(BYTE_RANKS)
     coded = bpe.round_trip(docs.select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
