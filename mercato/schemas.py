@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -123,11 +124,12 @@ TABLES: dict[str, TableSpec] = {spec.name: spec for spec in _SPECS}
 def spec_for_file(file_name: str, prefix: str = "", suffix: str = "_dataset") -> TableSpec | None:
     """The table a landed CSV belongs to, or ``None`` for files that are not ours.
 
-    ``orders.csv``, and with the publisher's ``prefix`` or ``suffix`` also ``<prefix>orders<suffix>.csv``; names are
-    otherwise exact, so that ``cancelled_orders.csv`` is no order file.
+    ``orders.csv``, and with the publisher's ``prefix`` or ``suffix`` also ``<prefix>orders<suffix>.csv``; of a table
+    landed in several files, each has a number of five or more digits at the end (``orders-00001.csv``). Names are otherwise exact, so that
+    ``cancelled_orders.csv`` is no order file.
     """
     base = file_name.rsplit("/", 1)[-1]
     if not base.endswith(".csv"):
         return None
-    stem = base.removesuffix(".csv").removesuffix(suffix).removeprefix(prefix)
+    stem = re.sub(r"-[0-9]{5,}\Z", "", base.removesuffix(".csv")).removesuffix(suffix).removeprefix(prefix)
     return next((spec for spec in _SPECS if stem == spec.stem), None)

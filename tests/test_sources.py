@@ -58,6 +58,14 @@ def test_registry_by_file(file, table):
     assert (spec.name if spec else None) == table
 
 
+@pytest.mark.parametrize("file,table", [
+    ("acme_order_items_dataset-00003.csv", "order_items"), ("orders-123456.csv", "orders"), ("orders-2024.csv", None),
+    ("orders_00001.csv", None), ("cancelled_orders-00001.csv", None)])
+def test_numbered_files_belong_to_their_table(file, table):
+    spec = spec_for_file(file, prefix="acme_")
+    assert (spec.name if spec else None) == table
+
+
 def test_registry_covers_nine_tables():
     assert len(TABLES) == 9
     assert TABLES["geolocation_raw"].full_row and TABLES["geolocation_raw"].merge_keys == TABLES["geolocation_raw"].columns

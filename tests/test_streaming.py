@@ -134,3 +134,25 @@ def test_a_landing_batch_that_failed_is_repeated(spark, tmp_path, rows):
     (landing / "customers.csv").write_text(",".join(TABLES["customers"].columns) + "\nc1,u1,1,x,A\n")
     assert stream_landing(spark, str(landing), tables, str(tmp_path / "ck"), log) == {"sellers": 1, "customers": 1}
     assert {r["table_name"] for r in log.read().collect()} == {"sellers", "customers"}
+
+
+def test_a_table_lands_in_more_files_the_more_rows_it_has(spark, monkeypatch, rows):
+    """A file is read by one task, so no file may grow with its table."""
+    from workload import queries
+
+    names = []
+
+    def seen(spark, folder, *args, **options):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+        names.append(sorted(s.getPath().getName() for s in listed))
+        return stream_landing(spark, folder, *args, **options)
+
+    monkeypatch.setattr(queries.ingest, "stream_landing", seen)
+    run = queries.all_queries()["landing_routed"]
+    plain = rows(run(spark, "/root/testdata/sf0.001"))
+    monkeypatch.setattr(queries, "FILE_ROWS", 500)
+    assert rows(run(spark, "/root/testdata/sf0.001")) == plain
+    one, several = ([n for n in names[i] if n.startswith("acme_order_items_dataset")] for i in (0, 2))
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert one == ["acme_order_items_dataset.csv"] and len(several) == -(-lines // 500)

@@ -97,14 +97,25 @@ def stream_upsert(m):
     return table.read()
 
 
-def _land_as(m, df, folder, name):
-    """One file of a given name, as the landing folder of all tables gets them."""
-    _land(df.coalesce(1), f"{folder}-{name}")
+FILE_ROWS = 500_000  # of a landed file, in the mean: some 40 to 80 MB, as a file is read by one task
+
+
+def _land_as(m, df, folder, name, keys, once=False):
+    """Files of a given name, numbered if they are several, as the landing folder of all tables gets them.
+
+    Their number grows with the rows. Rows are dealt by ``keys``, so that a key's rows, or the copies of a row, share a file;
+    ``once`` leaves one row of each key.
+    """
+    files = max(1, -(-df.count() // FILE_ROWS))
+    stem, path = name.removesuffix(".csv"), f"{folder}-{name}"
+    dealt = df.repartition(files, *keys)
+    _land(dealt.dropDuplicates(keys) if once else dealt, path)
     fs_path = m.spark._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(folder).getFileSystem(m.spark._jsc.hadoopConfiguration())
     fs.mkdirs(fs_path(folder))
-    part = next(s.getPath() for s in fs.listStatus(fs_path(f"{folder}-{name}")) if s.getPath().getName().startswith("part-"))
-    fs.rename(part, fs_path(f"{folder}/{name}"))
+    parts = sorted(s.getPath().getName() for s in fs.listStatus(fs_path(path)) if s.getPath().getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        fs.rename(fs_path(f"{path}/{part}"), fs_path(f"{folder}/{name}" if len(parts) == 1 else f"{folder}/{stem}-{i:05d}.csv"))
 
 
 @query
@@ -114,12 +125,13 @@ def landing_routed(m):
     root = scratch_path(m.spark, "landing")
     tables = {name: MergedTable(m.spark, f"{root}/raw/{name}", TABLES[name], buckets=8) for name in RAW}
     log = ingest.load_log(m.spark, f"{root}/log")
-    landed = {name: m.raw[name].dropDuplicates(list(TABLES[name].keys)) if TABLES[name].keys else m.raw[name] for name in RAW}
-    drops = [{f"acme_{TABLES[name].stem}_dataset.csv": landed[name] for name in RAW} | {"cancelled_orders.csv": m.raw["sellers"]},
-             {"orders.csv": m.adapter("orders_v2")}]
+    drops = [[(f"acme_{spec.stem}_dataset.csv", m.raw[name], spec.merge_keys, not spec.full_row)
+              for name, spec in ((name, TABLES[name]) for name in RAW)]
+             + [("cancelled_orders.csv", m.raw["sellers"], ["seller_id"])],
+             [("orders.csv", m.adapter("orders_v2"), TABLES["orders"].merge_keys)]]
     for files in drops:
-        for name, rows in files.items():
-            _land_as(m, rows, f"{root}/files", name)
+        for name, rows, *dealt in files:
+            _land_as(m, rows, f"{root}/files", name, *dealt)
         ingest.stream_landing(m.spark, f"{root}/files", tables, f"{root}/progress", log, prefix="acme_")
     held = union_all([t.read().groupBy().count().select(F.lit(n).alias("table_name"), F.col("count").alias("rows_held")) for n, t in tables.items()])
     done = log.read().groupBy("table_name").agg(
