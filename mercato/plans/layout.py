@@ -7,8 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mercato.functions.frames import union_all
 from mercato.operators.filters import MONTH
 
+BUCKET_ROWS = 1 << 20  # of a fact, in a bucket: some 70 MB of order lines
 NO_MONTH = "0001-01-01"
 FACTS = ("fct_orders", "fct_order_items", "fct_order_payments", "fct_order_reviews")
 
@@ -17,10 +19,13 @@ def store_bucketed(marts: Mapping[str, DataFrame], database: str, root: str, buc
     """Write the facts of ``marts`` as tables of ``database``, bucketed and sorted by ``order_id``; read them back.
 
     All have the same number of buckets, so orders meet their items, payments and reviews bucket by bucket: a join reads
-    both sides in place, without a shuffle or a sort. Choose ``buckets`` so that a bucket of the largest fact fits a task;
-    one order's rows share a bucket, and no order is large. Files are one per bucket: rows are dealt by order first.
+    both sides in place, without a shuffle or a sort. There are ``buckets`` of them, or as many more as keep a bucket of the
+    largest fact at ``BUCKET_ROWS`` rows in the mean, so that it fits a task at any size; the facts' rows are counted for
+    that first. One order's rows share a bucket, and no order is large. Files are one per bucket: rows are dealt by order first.
     """
     spark = next(iter(marts.values())).sparkSession
+    counts = union_all([marts[name].groupBy().count() for name in FACTS if name in marts])
+    buckets = max(buckets, -(-counts.agg(F.max("count")).collect()[0][0] // BUCKET_ROWS))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in FACTS:
         if name in marts:

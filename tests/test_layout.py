@@ -75,3 +75,15 @@ def test_rows_of_unknown_orders_are_kept(spark, marts, tmp_path):
     assert facts["fct_order_items"].filter(F.col("order_month") == F.to_date(F.lit(layout.NO_MONTH))).count() == 7
     lines = [loaders._with_order(f["fct_order_items"], f["fct_orders"], ["order_id"], ["order_purchase_date"]).count() for f in (facts, given)]
     assert lines[0] == lines[1]
+
+
+def test_buckets_grow_with_the_facts(no_broadcast, marts, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 500)
+    name = "t_" + uuid.uuid4().hex
+    facts = layout.store_bucketed(marts, name, str(tmp_path), buckets=4)
+    buckets = {r["data_type"] for fact in facts for r in no_broadcast.sql(f"DESCRIBE FORMATTED {name}.{fact}").collect()
+               if r["col_name"] == "Num Buckets"}
+    assert buckets == {str(-(-max(marts[fact].count() for fact in facts) // 500))} and int(*buckets) > 4
+    got = loaders.load_payments(facts["fct_order_payments"], facts["fct_orders"])
+    assert "Exchange" not in plan(got)
+    assert rows(got) == rows(loaders.load_payments(marts["fct_order_payments"], marts["fct_orders"]))
