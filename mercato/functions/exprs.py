@@ -48,6 +48,12 @@ def rate(condition: Column) -> Column:
     return F.avg(condition.cast("double"))
 
 
+def digest(columns: list[Column]) -> list[Column]:
+    """128 bits of a row. A hash skips a NULL, so where they stand is hashed too."""
+    parts = [*columns, *(c.isNull() for c in columns)]
+    return [F.xxhash64(*parts).alias("_d1"), F.xxhash64(F.lit(1), *parts).alias("_d2")]
+
+
 def in_box(lat: str, lng: str, box: dict[str, tuple[float, float]]) -> Column:
     """Inclusive bounding box; NaN and NULL are not inside."""
     return F.col(lat).between(*box["lat"]) & F.col(lng).between(*box["lng"])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mercato.constants import BOUNDING_BOX
+from mercato.functions.exprs import digest as _digest
 from mercato.functions.exprs import outside_box, percent
 from mercato.functions.frames import to_lines, union_all
 from mercato.session import materialise
@@ -27,12 +28,6 @@ def profile_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([one(name, df) for name, df in tables.items()]).filter("null_count > 0")
 
 
-def _digest(columns: list[Column]) -> list[Column]:
-    """128 bits of a row. A hash skips a NULL, so where they stand is hashed too."""
-    parts = [*columns, *(c.isNull() for c in columns)]
-    return [F.xxhash64(*parts).alias("_d1"), F.xxhash64(F.lit(1), *parts).alias("_d2")]
-
-
 def profile_duplicates(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows beyond the first of each fully equal group, NULLs equal.
 
