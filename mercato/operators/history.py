@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -123,7 +124,8 @@ def _brought(fact: DataFrame, dim: DataFrame) -> list[Column]:
     return [F.col(f"dim.{c}") for c in dim.columns if c not in taken]
 
 
-FEW_VERSIONS = 8  # of a key: its facts meet them all, which costs no more than this many comparisons
+FEW_VERSIONS = 8  # of a key in a bucket: its facts meet them all, which costs no more than this many comparisons
+SHARED_BUCKET = 2  # width of the buckets that all keys share, in mean versions: three versions for two are placed
 
 
 def _seconds(at: Column) -> Column:
@@ -137,26 +139,38 @@ def bucketed_sides(
 ) -> tuple[DataFrame, DataFrame]:
     """Facts, and versions with ``_since`` and ``_until``, both with the time bucket ``_bucket`` of their key.
 
-    A key with more than ``FEW_VERSIONS`` versions has about as many buckets, of equal width between its first and last
-    change; times before and after fall into the outer ones. A version is in all buckets it overlaps, so a key's rows
-    grow to three times its versions at most; a fact is in one bucket, so each match is met once.
+    Buckets of one width, ``SHARED_BUCKET`` times as long as a version lasts in the mean, serve all keys, so that neither
+    side has to be sent to its key first. Keys with more than ``FEW_VERSIONS`` versions in such a bucket have buckets of
+    their own, about as many as versions, of equal width between first and last change; they are few, as the width is the
+    mean. Times before and after fall into the outer buckets. A version is in all buckets it overlaps, so rows grow to
+    three times the versions at most, half as many again where buckets are shared; a fact is in one, so a match is met once.
     """
     versions = _with_bounds(dim, key, backfill_first)
     changed = _seconds(F.col("valid_from"))
-    spans = (
-        dim.groupBy(F.col(key).alias("_key")).agg(
-            F.count("*").alias("_buckets"), F.min(changed).alias("_start"), F.max(changed).alias("_end"))
-        .filter(F.col("_buckets") > FEW_VERSIONS)
-        .select("_key", "_buckets", "_start", F.greatest(
-            F.lit(1), F.ceil((F.col("_end") - F.col("_start")) / F.col("_buckets"))).cast("bigint").alias("_width")))
-    spans = materialise(spans, "version-spans")  # the few hot keys; written, so that facts of one can be split
+    known = materialise(dim.groupBy(F.col(key).alias("_key")).agg(
+        F.count("*").alias("_versions"), F.min(changed).alias("_start"), F.max(changed).alias("_end")), "version-spans")
+    # a row: what every key's versions last up to the last change of any, through the number of versions
+    total = known.agg(
+        F.min("_start").alias("start"), F.max("_end").alias("end"), F.sum("_versions").alias("versions"),
+        F.sum(F.when(F.col("_start").isNotNull(), 1)).alias("keys"), F.sum(F.col("_start").cast("double")).alias("starts")).collect()[0]
+    start, end = total["start"] or 0, total["end"] or 0
+    lasting = (total["keys"] or 0) * end - ((total["keys"] or 0) * start if backfill_first else total["starts"] or 0)
+    width = max(1, math.ceil(SHARED_BUCKET * lasting / max(1, total["versions"] or 0)))
+    shared = (end - start) // width + 1
+    met = F.floor((F.col("_end") - F.col("_start")) / F.lit(width)) + 1  # buckets of a key, were it to share them
+    own = known.filter(F.col("_versions") > FEW_VERSIONS * met).select(
+        "_key", F.col("_versions").alias("_buckets"), "_start", F.greatest(
+            F.lit(1), F.ceil((F.col("_end") - F.col("_start")) / F.col("_versions"))).cast("bigint").alias("_width"))
+    own = materialise(own, "own-buckets")  # the few hot keys; written, so that facts of one can be split
 
     def bucket(at: Column) -> Column:
-        place = F.floor((_seconds(at) - F.col("_start")) / F.col("_width"))
-        return F.coalesce(F.least(F.greatest(place, F.lit(0)), F.col("_buckets") - 1), F.lit(0)).cast("int")
+        first, wide = F.coalesce("_start", F.lit(start)), F.coalesce("_width", F.lit(width))
+        place = F.floor((_seconds(at) - first) / wide)
+        last = F.coalesce("_buckets", F.lit(shared)) - 1
+        return F.coalesce(F.least(F.greatest(place, F.lit(0)), last), F.lit(0)).cast("int")
 
     def spanned(df: DataFrame) -> DataFrame:
-        return df.join(spans, df[key] == spans["_key"], "left")
+        return df.join(own, df[key] == own["_key"], "left")
 
     held = [c for c in versions.columns]
     facts = spanned(fact).withColumn("_bucket", bucket(F.col(ts))).select(*fact.columns, "_bucket")
@@ -172,7 +186,8 @@ def pit_join_bucketed(
     """:func:`pit_join` for keys with many versions and many facts: an equi-join on (key, time bucket).
 
     A fact meets the versions of its own bucket alone, a handful where a key changes evenly over time, so the rows
-    compared grow with the facts and not with facts times versions, and a hot key is spread over its buckets.
+    compared grow with the facts and not with facts times versions, and a hot key is spread over its buckets. Looks once
+    at the versions' times at once, to choose the buckets.
     Same rows as ``pit_join``, and the same ``closed``, ``backfill_first`` and ``how``. Facts with a null time or key meet
     nothing. Times are bucketed by the second; several changes within one are compared in full.
     """

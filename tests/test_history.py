@@ -120,6 +120,22 @@ def test_rows_compared_grow_with_the_facts(spark, versions):
     assert facts.join(placed, ["k", "_bucket"]).count() <= 4 * 4000
 
 
+def test_keys_that_change_alike_share_their_buckets(spark):
+    """Neither side is sent to its key to learn its buckets, and three versions are placed for two; a hot key has its own."""
+    at = "TIMESTAMP_NTZ'2020-01-01 00:00:00'"
+    hours = "CASE WHEN k < 40 THEN n * 10 ELSE n END"
+    dim = spark.sql(f"""SELECT k, n, {at} + make_dt_interval(0, {hours}) AS valid_from,
+            CASE WHEN n < 29 OR k = 40 THEN {at} + make_dt_interval(0, {hours} + CASE WHEN k < 40 THEN 10 ELSE 1 END) END AS valid_to
+        FROM (SELECT explode(sequence(0, 40)) AS k) LATERAL VIEW explode(sequence(0, CASE WHEN k < 40 THEN 29 ELSE 299 END)) AS n""")
+    fact = spark.range(0, 8200).selectExpr("id % 41 AS k", f"{at} + make_dt_interval(0, 0, id * 2) AS ts")
+    facts, placed = bucketed_sides(fact, dim, "k", "ts")
+    assert placed.filter("k < 40").count() <= 1.6 * 1200 and placed.filter("k = 40").count() <= 2 * 300
+    met = facts.join(placed, ["k", "_bucket"])
+    assert met.filter("k < 40").count() <= 5 * 8000 and met.filter("k = 40").count() <= 4 * 200
+    assert facts.filter("k < 40").select("_bucket").distinct().count() > 5
+    assert pit_join_bucketed(fact, dim, "k", "ts").count() == pit_join(fact, dim, "k", "ts").count() > 8000
+
+
 def test_unknown_interval_kind(facts, two_runs):
     with pytest.raises(ValueError):
         pit_join(facts, two_runs[2], "id", "ts", closed="right")
