@@ -51,6 +51,16 @@ class Check:
         return replace(self, warn_rate=warn_rate)
 
 
+def columns_read(checks: list[Check]) -> dict[str, list[str]]:
+    """Table -> the columns that ``checks`` read of it, parents' included; all else need not be built for them."""
+    read: dict[str, dict[str, None]] = defaultdict(dict)
+    for check in checks:
+        read[check.table].update(dict.fromkeys(check.columns))
+        if check.parent:
+            read[check.parent[0]][check.parent[1]] = None
+    return {table: list(columns) for table, columns in sorted(read.items())}
+
+
 def _row_checks(df: DataFrame, checks: dict[int, Check]) -> DataFrame:
     """All not-null and expression checks of one table in a single pass; NULL never fails an expression."""
     def failing(check: Check) -> str:

@@ -150,6 +150,13 @@ RAW = ["category_translation", "customers", "sellers", "products", "geolocation_
        "orders", "order_items", "order_payments", "order_reviews"]
 
 
+# layers that only select from given tables
+SELECTED = {
+    "stg_sellers", "stg_products", "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews",
+    "fct_order_items", "fct_order_payments", "fct_order_reviews",
+}
+
+
 def given_tables(text: str) -> list[str]:
     """Given tables a text refers to."""
     return sorted({name for _, name, _, _ in string.Formatter().parse(text) if name})
@@ -240,17 +247,22 @@ class Marketplace:
     def product_lookup(self) -> DataFrame:
         return materialise(self.marts["dim_products"].select("product_id", "product_category_name_english"), "products")
 
-    def layers(self, names: Iterable[str] = ()) -> LazyTables:
-        """Staging tables as ``stg_<name>`` together with the marts, each written when first asked for: a report's
-        many checks then read columns of files instead of building the table again. Those named are written at once,
-        side by side, as one small table does not fill a cluster."""
-        def written(tables: Mapping[str, DataFrame], name: str) -> DataFrame:
-            return materialise(tables[name], name)
+    def layers(self, columns: Mapping[str, Iterable[str]] | None = None) -> LazyTables:
+        """Staging tables as ``stg_<name>`` together with the marts. Those that join or group are written when first asked
+        for: a report's many checks then read columns of files instead of building the table again; the others only select
+        from files, which costs less than to write and read them. ``columns`` names the tables that a report looks at, and
+        what it reads of each: they are written at once with these alone, side by side, as one small table does not fill a
+        cluster."""
+        wanted = {name: list(read) for name, read in (columns or {}).items()}
+
+        def table(tables: Mapping[str, DataFrame], name: str, label: str) -> DataFrame:
+            df = tables[name].select(*wanted[label]) if label in wanted else tables[name]
+            return df if label in SELECTED else materialise(df, name)
 
         tables = LazyTables({
-            **{f"stg_{name}": partial(written, self.staging, name) for name in self.staging},
-            **{name: partial(written, self.marts, name) for name in self.marts},
+            **{f"stg_{name}": partial(table, self.staging, name, f"stg_{name}") for name in self.staging},
+            **{name: partial(table, self.marts, name, name) for name in self.marts},
         })
         with ThreadPoolExecutor(4) as pool:
-            list(pool.map(tables.__getitem__, names))
+            list(pool.map(tables.__getitem__, wanted))
         return tables

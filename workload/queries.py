@@ -621,7 +621,7 @@ def kpi_segments(m):
 
 def _report(m, *kinds):
     wanted = [c for c in checks.CHECKS + checks.EXTRA_CHECKS if not kinds or c.kind in kinds]
-    return quality.run_checks(m.layers(sorted({t for c in wanted for t in c.tables})), wanted)
+    return quality.run_checks(m.layers(quality.columns_read(wanted)), wanted)
 
 
 @query
