@@ -95,41 +95,70 @@ def _key_parts(check: Check, side: int, types: Mapping[str, DataFrame]) -> tuple
     return keys, keys[0].isNotNull()
 
 
-def _tags(tables: Mapping[str, DataFrame], checks: dict[int, Check]) -> DataFrame:
-    """(check, key hash, second hash, side) of every row and check that looks at its key; one scan per table."""
-    wanted: dict[str, list[Column]] = defaultdict(list)
+def _domain(i: int, check: Check) -> tuple:
+    """Checks with the same domain look at the same set of keys: a column's uniqueness and all references to it."""
+    if check.kind == RELATIONSHIP:
+        return check.parent
+    return (check.table, *check.columns) if check.kind == UNIQUE else (i,)
+
+
+def _places(checks: dict[int, Check]) -> dict[int, tuple[int, int]]:
+    """Check -> (number of its domain, its place among the domain's children). Place 0 is the keys' own table."""
+    numbers: dict[tuple, int] = {}
+    children: dict[int, int] = defaultdict(int)
+    places = {}
     for i, check in checks.items():
-        for side, table in enumerate(check.tables):
-            parts, counts = _key_parts(check, side, tables)
-            wanted[table] += [F.when(counts, F.lit(i)), _first_hash(parts), _second_hash(parts), F.lit(side)]
+        number = numbers.setdefault(_domain(i, check), len(numbers))
+        children[number] += check.kind == RELATIONSHIP
+        places[i] = number, children[number] if check.kind == RELATIONSHIP else 0
+    return places
+
+
+def _tags(tables: Mapping[str, DataFrame], checks: dict[int, Check]) -> DataFrame:
+    """(domain, key hash, second hash, place) of every row and key that a check looks at; one scan per table.
+
+    A row has one tag for its own key, however many checks refer to it."""
+    wanted: dict[str, dict[tuple[int, int], list[Column]]] = defaultdict(dict)
+    for i, (domain, place) in _places(checks).items():
+        for side, table in enumerate(checks[i].tables):
+            parts, counts = _key_parts(checks[i], side, tables)
+            at = domain, 0 if side else place
+            wanted[table][at] = [F.when(counts, F.lit(domain)), _first_hash(parts), _second_hash(parts), F.lit(at[1])]
     return union_all([
-        tables[name].select(F.stack(F.lit(len(tags) // 4), *tags).alias("check_id", "hash", "again", "side"))
-        .filter("check_id IS NOT NULL")
+        tables[name].select(F.stack(F.lit(len(tags)), *(c for tag in tags.values() for c in tag)).alias("domain", "hash", "again", "place"))
+        .filter("domain IS NOT NULL")
         for name, tags in wanted.items()])
 
 
 def _grouped_failures(tables: Mapping[str, DataFrame], checks: dict[int, Check]) -> DataFrame:
-    """Failures of all checks on keys, from one grouping of (check, key hash).
+    """Failures of all checks on keys, from one grouping of (domain, key hash).
 
     A hash that only one key has decides by itself: a key repeats, is not among the accepted, or has no parent. Where the
-    second hashes of a group differ, keys share a hash; these few (fewer than one in a billion keys) are counted again
-    on the full keys.
+    second hashes of a group differ, keys share a hash; these few (fewer than one in a billion keys) are looked for in a
+    second grouping, if there are any, and counted again on the full keys.
     """
     spark = next(iter(tables.values())).sparkSession
-    grouped = _tags(tables, checks).groupBy("check_id", "hash").agg(
-        F.count_if(F.col("side") == 0).alias("children"), F.count_if(F.col("side") == 1).alias("parents"),
+    places = _places(checks)
+    children = range(1, max(place for _, place in places.values()) + 1)
+    grouped = _tags(tables, checks).groupBy("domain", "hash").agg(
+        *[F.count_if(F.col("place") == n).alias(f"rows{n}") for n in (0, *children)],
         F.min("again").alias("low"), F.max("again").alias("high"))
     certain = F.col("low") == F.col("high")
-    found = materialise(grouped.groupBy("check_id").agg(
-        F.count_if(certain & (F.col("children") > 1)).alias("repeated"), F.count_if(certain).alias("kinds"),
-        F.sum(F.when(certain & (F.col("parents") == 0), F.col("children"))).alias("orphans"),
-        F.collect_list(F.when(~certain, F.col("hash"))).alias("doubtful")), "key-checks")
-    doubtful = {r["check_id"]: r["doubtful"] for r in found.filter(F.size("doubtful") > 0).select("check_id", "doubtful").collect()}
-    measure = {UNIQUE: "repeated", UNIQUE_COMBO: "repeated", ACCEPTED: "kinds", RELATIONSHIP: "orphans"}
-    cases = " ".join(f"WHEN {i} THEN {measure[c.kind]}" for i, c in checks.items())
-    known = found.selectExpr("check_id", f"CASE check_id {cases} END AS failures")
+    found = materialise(grouped.groupBy("domain").agg(
+        F.count_if(certain & (F.col("rows0") > 1)).alias("repeated"), F.count_if(certain).alias("kinds"),
+        *[F.sum(F.when(certain & (F.col("rows0") == 0), F.col(f"rows{n}"))).alias(f"orphans{n}") for n in children],
+        F.count_if(~certain).alias("shared")), "key-checks")
+    measure = {UNIQUE: "repeated", UNIQUE_COMBO: "repeated", ACCEPTED: "kinds"}
+    lines = ", ".join(
+        f"named_struct('check_id', {i}, 'of', {domain}, 'failures', {measure.get(checks[i].kind, f'orphans{place}')})"
+        for i, (domain, place) in places.items())
+    known = found.selectExpr("domain", f"inline(array({lines}))").filter("domain = of").select("check_id", "failures")
     none = spark.createDataFrame([(i, 0) for i in checks], "check_id int, failures long")  # of empty tables, too
-    again = [_counted_again(i, tables, checks[i], hashes) for i, hashes in doubtful.items()]
+    doubtful: dict[int, list[int]] = defaultdict(list)
+    if sharing := [r["domain"] for r in found.filter("shared > 0").select("domain").collect()]:
+        for r in grouped.filter(~certain & F.col("domain").isin(sharing)).select("domain", "hash").collect():
+            doubtful[r["domain"]].append(r["hash"])
+    again = [_counted_again(i, tables, checks[i], doubtful[domain]) for i, (domain, _) in places.items() if domain in doubtful]
     return union_all([known, none, *again]).groupBy("check_id").agg(F.sum("failures").alias("failures")).selectExpr(
         "check_id", "coalesce(failures, 0) AS failures", "CAST(NULL AS BIGINT) AS rows")
 

@@ -85,6 +85,23 @@ def test_all_key_checks_in_one_grouping(keyed, monkeypatch, hashes):
     assert got == {c.name: n for c, n in expected}
 
 
+def test_a_key_is_looked_at_once_for_all_that_refer_to_it(keyed):
+    tables, _ = keyed
+    references = [Check("relationship", "c", ("k",), parent=("p", "id")), Check("relationship", "none", ("k",), parent=("p", "id"))]
+    tags = quality._tags(tables, dict(enumerate([*references, Check("unique", "p", ("id",))])))
+    assert tags.count() == tables["c"].filter("k IS NOT NULL").count() + tables["p"].filter("id IS NOT NULL").count()
+
+
+def test_a_report_builds_only_what_its_checks_read(spark, small):
+    wanted = [c for c in CHECKS if c.kind == "relationship"]
+    read = quality.columns_read(wanted)
+    assert read["fct_orders"] == ["customer_id", "order_id"] and read["stg_products"] == ["product_id"]
+    layers = small(spark).layers(read)
+    assert all(layers[name].columns == columns for name, columns in read.items())
+    files = {name: layers[name].inputFiles()[0] for name in read}
+    assert "/sf0.001/lineitem" in files["fct_order_items"] and "/mercato-scratch/" in files["fct_orders"]
+
+
 def test_keys_of_another_type_meet_their_parents(spark):
     child = spark.createDataFrame([(1,), (2,), (3,)], "fk int")
     parent = spark.createDataFrame([(1,), (2,)], "k long")
