@@ -3,7 +3,7 @@
 A piece is one match of the splitting pattern. Over its byte positions stands a segment tree whose root is the
 leftmost pair of least rank; a merge changes three leaves (the merged part, the part it swallowed, and the live
 neighbour to the left), each a walk of logarithmic length to the root. A piece of n bytes takes O(n log n), so
-a text without any white space is as safe as prose.
+a text without any white space is as safe as prose. Pieces of a word's length need no tree.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from mercato.llm.common import driver_file, map_values
 
 _NO_PAIR = 1 << 62
+SHORT_PIECE = 48  # bytes, up to which looking through all pairs is faster than the tree
 KEPT_PIECES = 1 << 17  # of up to 32 bytes, whose tokens a worker remembers; those not asked for since then are forgotten
 
 
@@ -27,11 +28,27 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, raw.splitlines())}
 
 
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """:func:`merge_piece` by looking through all pairs at each merge, which is quadratic, but faster for few bytes."""
+    parts = [piece[at:at + 1] for at in range(len(piece))]
+    rank_of = ranks.get
+    pairs = [rank_of(piece[at:at + 2], _NO_PAIR) for at in range(len(piece) - 1)]
+    while pairs and (best := min(pairs)) != _NO_PAIR:
+        at = pairs.index(best)
+        merged = parts[at] = parts[at] + parts[at + 1]
+        del parts[at + 1], pairs[at]
+        if at < len(pairs):
+            pairs[at] = rank_of(merged + parts[at + 1], _NO_PAIR)
+        if at:
+            pairs[at - 1] = rank_of(parts[at - 1] + merged, _NO_PAIR)
+    return [ranks[part] for part in parts]
+
+
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Token ids of one piece: always merge the leftmost pair of least rank."""
     count = len(piece)
-    if count < 2:
-        return [ranks[piece]] if piece else []
+    if count <= SHORT_PIECE:
+        return merge_short(piece, ranks)
     width = 1 << (count - 1).bit_length()
     last = width - 1
     after = list(range(1, count + 1))  # where the part that starts here ends

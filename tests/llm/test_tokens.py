@@ -15,6 +15,7 @@ from mercato.session import scratch_path
 
 RANKS = P.path(queries.BYTE_RANKS)
 RAW = open(RANKS, "rb").read()
+TOKEN_RANKS = bpe.read_ranks(RAW)
 TIKTOKEN = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.read_ranks(RAW), special_tokens={})
 WORDS = Tokenizer.from_file(P.path(queries.WORD_TOKENIZER))
 WORDS.encode_special_tokens = True
@@ -116,3 +117,24 @@ def test_query_encodes_as_the_unmodified_tokenizer(spark, tmp_path):
         ids = UNMODIFIED.encode(text, add_special_tokens=False).ids + [1]
         assert tuple(row) == (doc_id, start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
         start += len(ids)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.one_of(st.binary(max_size=60), st.text(max_size=40).map(str.encode), st.text("aeinrst ", max_size=60).map(str.encode)))
+def test_short_pieces_merge_as_by_the_tree(piece):
+    ranks = TOKEN_RANKS
+    short = bpe.SHORT_PIECE
+    try:
+        bpe.SHORT_PIECE = 1
+        tree = bpe.merge_piece(piece, ranks)
+    finally:
+        bpe.SHORT_PIECE = short
+    assert bpe.merge_short(piece, ranks) == bpe.merge_piece(piece, ranks) == tree
+
+
+def test_a_word_needs_no_tree(monkeypatch):
+    """A tree costs a word more than looking through its pairs."""
+    asked = []
+    monkeypatch.setattr(bpe, "merge_short", lambda piece, ranks: asked.append(piece) or [])
+    bpe.merge_piece(b" unforeseeably", TOKEN_RANKS)
+    assert asked == [b" unforeseeably"]
