@@ -16,6 +16,9 @@ import numpy as np
 
 LEVELS = 4  # codes of a vector; each takes a quarter to two fifths off the residual's length
 BITS = 8  # of a rounded query entry
+# of a vector's length: a shorter residual counts as none, as its length comes from a difference of squares, whose rounding is
+# that of their root; intervals allow for it, alike at each level, so that they do not widen again where nothing is left
+NOTHING = 3e-7
 SLACK = 1e-9  # of the lengths' product, for rounding in double precision
 
 
@@ -74,10 +77,13 @@ class Codes:
     """Codes of a block of rows."""
 
     def __init__(self, words: np.ndarray, alignments: np.ndarray, sizes: np.ndarray):
-        self.words, self.alignments, self.sizes = words, alignments, sizes
+        self.words, self.sizes = words, sizes
         self.ones = np.bitwise_count(words).sum(axis=2, dtype=np.int64)
         left = sizes[:, None] ** 2 - np.cumsum(alignments ** 2, axis=1)
-        self.rest = np.sqrt(np.maximum(left, 0.0))
+        rest = np.sqrt(np.maximum(left, 0.0))
+        self.rest = np.where(rest > NOTHING * sizes[:, None], rest, 0.0)
+        self.alignments = alignments.copy()
+        self.alignments[:, 1:][self.rest[:, :-1] == 0.0] = 0.0  # nothing is left to be coded
 
     def narrow(self, query: Query, rows: np.ndarray, level: int, estimate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The rows' estimate with one more level, and the least and greatest that their products can be."""
@@ -85,6 +91,5 @@ class Codes:
         estimate = estimate + self.alignments[rows, level] * along
         across = np.sqrt(np.maximum(query.square - along ** 2, 0.0))
         sizes = self.sizes[rows]
-        # the length of a residual comes from a difference of squares, so its rounding is that of their root
-        half = (self.rest[rows, level] + 1e-7 * sizes) * across + query.missed * sizes + SLACK * (1 + query.size) * (1 + sizes)
+        half = self.rest[rows, level] * across + (NOTHING + 1e-7) * sizes * query.size + query.missed * sizes + SLACK * (1 + query.size) * (1 + sizes)
         return estimate, estimate - half, estimate + half

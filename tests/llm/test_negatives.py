@@ -103,3 +103,19 @@ def test_intervals_leave_few_rows():
 def test_plan_has_no_pairs(spark):
     plan = queries.all_queries()["op13_hard_negatives"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("size", [300, 10 ** 6])
+def test_intervals_do_not_widen_where_nothing_is_left(size):
+    """Two signs say all of a vector of two entries; later levels code what rounding leaves."""
+    for seed in range(20):
+        draw = np.random.default_rng(seed)
+        vectors = np.floor(draw.normal(size=(50, 2)) * size).astype(np.int64)
+        words, alignments = onebit.encode(vectors.astype(float))
+        codes = onebit.Codes(words, alignments, np.linalg.norm(vectors.astype(float), axis=1))
+        query, estimate, wider = onebit.Query(vectors[0]), np.zeros(50), np.inf
+        for level in range(onebit.LEVELS):
+            estimate, low, high = codes.narrow(query, np.arange(50), level, estimate)
+            assert (low <= vectors @ vectors[0]).all() and (vectors @ vectors[0] <= high).all()
+            assert (high - low).mean() <= wider + 1e-6
+            wider = (high - low).mean()
