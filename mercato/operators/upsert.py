@@ -108,6 +108,7 @@ def merge_into(
     batch_id: int = -1,
     validate: bool = True,
     settled: bool = False,
+    dealt: bool = False,
 ) -> Merged:
     """Merge ``batch`` into a table, creating it on first use.
 
@@ -117,12 +118,20 @@ def merge_into(
     itself: rows that stay are counted as they are written, and a bucket's rows before come from file footers.
 
     ``settled`` says that the batch is a written table already; else it is written once to shared storage, as the key
-    check, the search for buckets and the write each read it.
+    check, the search for buckets and the write each read it. A table without rows takes a batch whose keys need no check
+    as it is, since nothing else reads it; if it is ``dealt``, with the folders of its rows as a column, they stay where
+    they are.
     """
     spec = table.spec
     if writer is not None and table.applied(writer) >= batch_id:
         return Merged(table.version, 0, 0, 0)
     base = table.version
+    if not table.holds_parts() and (spec.full_row or not validate):
+        if spec.full_row:
+            inserted = _written(table, batch.select(*spec.columns, F.lit(base + 1).cast("bigint").alias(PART)))
+        else:
+            inserted = _written(table, batch.select(*spec.columns, PART if dealt else table.part_of()), dealt)
+        return Merged(table.count_up(base, writer, batch_id), inserted, inserted, 0)
     with Scratch(table.spark) as scratch:
         batch = batch.select(*spec.columns)
         if not settled:
@@ -146,10 +155,11 @@ def merge_into(
         return Merged(table.count_up(base, writer, batch_id), staged, staged - updated, updated)
 
 
-def _written(table: MergedTable, rows: DataFrame) -> int:
-    """Write ``rows`` and return their number, observed in the write's last stage."""
+def _written(table: MergedTable, rows: DataFrame, dealt: bool = False) -> int:
+    """Write ``rows``, dealt by folder before or now, and return their number, observed in the write's last stage."""
     seen = Observation()
-    table.write_parts(rows.hint("rebalance", PART).observe(seen, F.count("*").alias("rows")))
+    dealt_rows = rows if dealt else rows.hint("rebalance", PART)
+    table.write_parts(dealt_rows.observe(seen, F.count("*").alias("rows")))
     return seen.get["rows"]
 
 

@@ -126,9 +126,10 @@ def spec_for_file(file_name: str, prefix: str = "", suffix: str = "_dataset") ->
 
     ``orders.csv``, and with the publisher's ``prefix`` or ``suffix`` also ``<prefix>orders<suffix>.csv``; of a table
     landed in several files, each has a number of five or more digits at the end (``orders-00001.csv``). Names are otherwise exact, so that
-    ``cancelled_orders.csv`` is no order file.
+    ``cancelled_orders.csv`` is no order file. Numbered files may be compressed (``orders-00001.csv.gz``).
     """
     base = file_name.rsplit("/", 1)[-1]
+    base = re.sub(r"(-[0-9]{5,}\.csv)\.gz\Z", r"\1", base)
     if not base.endswith(".csv"):
         return None
     stem = re.sub(r"-[0-9]{5,}\Z", "", base.removesuffix(".csv")).removesuffix(suffix).removeprefix(prefix)

@@ -15,6 +15,7 @@ from mercato.schemas import TABLES, TableSpec
 
 BUCKETS = 64  # partition folders of a table merged by key
 PART = "_part"
+PIECE = "_piece"
 
 
 class _Pointed:
@@ -120,10 +121,16 @@ class PartedTable(_Pointed):
         rows = self.spark.read.schema(fields).parquet(f"{self.path}/rows")
         return rows if parts is None else rows.filter(F.col(PART).isin(list(parts)))
 
+    def holds_parts(self) -> bool:
+        """Whether any folder was written yet, be it by a write that was not counted."""
+        rows = self._hadoop_path("rows")
+        return self._fs.exists(rows) and any(s.getPath().getName().startswith(f"{PART}=") for s in self._fs.listStatus(rows))
+
     def write_parts(self, df: DataFrame) -> None:
         """Replace the folders that ``df`` has rows for. Deal its rows by folder first (hint ``rebalance``)."""
         (df.select(*self.schema.fieldNames(), PART)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(f"{self.path}/rows"))
+         .write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression="zstd")
+         .partitionBy(PART).parquet(f"{self.path}/rows"))
 
     def count_up(self, base_version: int, writer: str | None = None, batch_id: int = -1) -> int:
         return self._move(None, base_version, writer, batch_id)
@@ -141,6 +148,16 @@ class MergedTable(PartedTable):
         """The folder of a row of a table merged by key."""
         return F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.buckets)).cast("bigint").alias(PART)
 
+    def dealt(self, rows: DataFrame, pieces: int) -> DataFrame:
+        """Rows of a table merged by key, sent to one task for each of the ``pieces`` of a folder, which their keys decide;
+        their piece is kept as a column, :meth:`part_of_piece` says whose it is."""
+        within = F.pmod(F.hash(*self.spec.keys), F.lit(pieces))  # another hash than the folder's
+        piece = (self.part_of() * pieces + within).cast("int").alias(PIECE)
+        return rows.select("*", piece).repartitionById(self.buckets * pieces, F.col(PIECE))
+
+    def part_of_piece(self, pieces: int) -> Column:
+        return F.floor(F.col(PIECE) / pieces).cast("bigint").alias(PART)
+
 
 class HistoryTable:
     """A type-2 history in two parts: closed versions, a folder per run that closed them, and the open ones, replaced by

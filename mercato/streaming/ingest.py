@@ -10,24 +10,27 @@ from pyspark.sql import types as T
 
 from mercato.operators.upsert import Merged, merge_into, merge_reports
 from mercato.schemas import TABLES, TableSpec, spec_for_file
-from mercato.session import Scratch, materialise
+from mercato.session import Scratch, materialise, short_shuffles
 from mercato.sources.files import csv_options, enforce_required
-from mercato.sources.tables import PART, MergedTable, PartedTable
+from mercato.sources.tables import PART, PIECE, MergedTable, PartedTable
 
 
 ARRIVED = "_arrived"
+PIECE_BYTES = 16 << 20  # of landed files, compressed or not, for a file of a table's first rows
 
 
-def arrival() -> Column:
-    """Place of a row's file in the order of arrival."""
-    return F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col("_metadata.file_path").alias("file"))
+def arrival(file: str = "file_path") -> Column:
+    """Place of a row's file in the order of arrival. Files of one folder may go by ``file_name``, which is shorter."""
+    return F.struct(F.col("_metadata.file_modification_time").alias("at"), F.col(f"_metadata.{file}").alias("file"))
 
 
-def collapse_files(rows: DataFrame, spec: TableSpec) -> DataFrame:
+def collapse_files(rows: DataFrame, spec: TableSpec, dealt: tuple[str, ...] = ()) -> DataFrame:
     """What merging the files of ``rows`` one after the other would leave of them, as one batch.
 
     By key, the row of the last file wins, since an update replaces all columns; a key repeated inside one
     file raises. By full row, the copies in the first file that holds a row stay and later ones match it.
+
+    ``dealt`` names columns that keyed rows have been sent by already, which a key decides and the result keeps.
     """
     if spec.full_row:
         # written, so that the copies of a hot row can be split in the join
@@ -35,27 +38,39 @@ def collapse_files(rows: DataFrame, spec: TableSpec) -> DataFrame:
         met = rows.join(first, spec.columns).filter(F.col(ARRIVED) == F.col("_first"))
         return met.select(*spec.columns)
     keys = list(spec.keys)
+    if not dealt:  # once; else the distinct count would send the rows twice, with keys and files doubled
+        rows = rows.repartition(*keys)
     # one grouping: the last file's row, and whether a file holds a key twice
-    last = rows.groupBy(*keys).agg(
+    last = rows.groupBy(*keys, *dealt).agg(
         F.max_by(F.struct(*spec.columns), ARRIVED).alias("_row"), F.count("*").alias("_rows"),
         F.count_distinct(ARRIVED).alias("_files"))
     repeated = F.raise_error(F.concat(
         F.lit(f"file of {spec.name}: repeated key {keys}: "), F.to_json(F.struct(*keys)))).cast("bigint")
     checked = last.withColumn("_rows", F.when(F.col("_rows") > F.col("_files"), repeated).otherwise(F.col("_rows")))
-    return checked.filter("_rows > 0").select("_row.*")
+    return checked.filter("_rows > 0").select("_row.*", *dealt)
+
 
+def _merge_arrived(table: MergedTable, arrived: DataFrame, writer: str, batch_id: int, size: int | None = None) -> Merged:
+    """Merge the files of one micro-batch, collapsed first, so that a table is written once per batch and not per file.
 
-def _merge_arrived(table: MergedTable, arrived: DataFrame, writer: str, batch_id: int) -> Merged:
-    """Merge the files of one micro-batch, collapsed first, so that a table is written once per batch and not per file."""
+    If the files' ``size`` in bytes is known, a table's first rows are collapsed where they are written, and so are sent
+    and written only once.
+    """
     spec = table.spec
     if table.applied(writer) >= batch_id:
         return Merged(table.version, 0, 0, 0)
+    dealt = size is not None and not spec.full_row and not table.holds_parts()
     with Scratch(table.spark) as scratch:
         arrived = enforce_required(arrived, spec, ARRIVED)
         if spec.full_row:  # both the first arrivals and the rows themselves are read from the parsed copy
-            arrived = scratch.materialise(arrived, f"arrived-{spec.name}")
-        collapsed = scratch.materialise(collapse_files(arrived, spec), f"batch-{spec.name}")
-        return merge_into(table, collapsed, writer, batch_id, validate=False, settled=True)
+            collapsed = collapse_files(scratch.materialise(arrived, f"arrived-{spec.name}"), spec)
+        elif dealt:
+            pieces = max(1, -(-size // (table.buckets * PIECE_BYTES)))
+            collapsed = collapse_files(table.dealt(arrived, pieces), spec, (PIECE,)).select(
+                *spec.columns, table.part_of_piece(pieces))
+        else:
+            collapsed = collapse_files(arrived, spec)
+        return merge_into(table, collapsed, writer, batch_id, validate=False, dealt=dealt)
 
 
 def stream_upsert(table: MergedTable, landing: str, checkpoint: str, files_per_trigger: int | None = None) -> int:
@@ -108,26 +123,29 @@ def stream_landing(
     # the content column is never read, so a file costs its name
     names = (
         spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
-        .option("maxFilesPerTrigger", files_per_trigger).load(landing).select("path"))
+        .option("maxFilesPerTrigger", files_per_trigger).load(landing).select("path", "length"))
     writer = f"landing@{checkpoint}"
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        files: dict[str, list[str]] = {}
+        files: dict[str, dict[str, int]] = {}
         for row in batch.collect():  # at most files_per_trigger names
             spec = spec_for_file(row["path"], prefix, suffix)
             if spec and spec.name in tables:
-                files.setdefault(spec.name, []).append(row["path"])
+                files.setdefault(spec.name, {})[row["path"]] = row["length"]
 
         def merge_table(name: str) -> Merged:
             spec = TABLES[name]
-            read = spark.read.schema(spec.schema).options(**csv_options(spec)).csv(files[name])
-            return _merge_arrived(tables[name], read.select(*spec.columns, arrival().alias(ARRIVED)), writer, batch_id)
+            read = spark.read.schema(spec.schema).options(**csv_options(spec)).csv(list(files[name]))
+            file = "file_name" if len({path.rsplit("/", 1)[0] for path in files[name]}) == 1 else "file_path"
+            arrived = read.select(*spec.columns, arrival(file).alias(ARRIVED))
+            return _merge_arrived(tables[name], arrived, writer, batch_id, sum(files[name].values()))
 
         with ThreadPoolExecutor(max(1, len(files))) as pool:
             merged = dict(zip(files, pool.map(merge_table, files)))
         log.write_parts(merge_reports(spark, merged).withColumn(PART, F.lit(batch_id).cast("bigint")))
 
-    _run(names, merge_batch, checkpoint)
+    with short_shuffles(spark):
+        _run(names, merge_batch, checkpoint)
     return {name: table.version for name, table in tables.items()}
 
 

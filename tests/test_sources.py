@@ -66,6 +66,14 @@ def test_numbered_files_belong_to_their_table(file, table):
     assert (spec.name if spec else None) == table
 
 
+@pytest.mark.parametrize("file,table", [
+    ("acme_order_items_dataset-00003.csv.gz", "order_items"), ("orders-123456.csv.gz", "orders"), ("orders.csv.gz", None),
+    ("cancelled_orders-00001.csv.gz", None), ("orders-00001.gz", None), ("orders-00001.csv.gz.tmp", None)])
+def test_numbered_files_may_be_compressed(file, table):
+    spec = spec_for_file(file, prefix="acme_")
+    assert (spec.name if spec else None) == table
+
+
 def test_registry_covers_nine_tables():
     assert len(TABLES) == 9
     assert TABLES["geolocation_raw"].full_row and TABLES["geolocation_raw"].merge_keys == TABLES["geolocation_raw"].columns

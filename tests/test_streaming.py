@@ -156,3 +156,98 @@ def test_a_table_lands_in_more_files_the_more_rows_it_has(spark, monkeypatch, ro
     one, several = ([n for n in names[i] if n.startswith("acme_order_items_dataset")] for i in (0, 2))
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
     assert one == ["acme_order_items_dataset.csv"] and len(several) == -(-lines // 500)
+
+
+def _items(spark, n, price):
+    spec = TABLES["order_items"]
+    return spark.range(n).selectExpr(
+        "concat('o', id) AS order_id", "id % 3 AS order_item_id", "'p' AS product_id", "'s' AS seller_id",
+        "timestamp_ntz'2018-01-01 00:00:00' AS shipping_limit_date", f"CAST({price} AS DECIMAL(28,9)) AS price",
+        "CAST(1 AS DECIMAL(28,9)) AS freight_value").select(*spec.columns)
+
+
+def test_arrived_rows_are_sent_once(spark):
+    from pyspark.sql import functions as F
+
+    from mercato.streaming import ingest
+
+    spec = TABLES["order_items"]
+    rows = _items(spark, 10, 1).withColumn(ingest.ARRIVED, F.struct(F.lit(1).alias("at"), F.lit("f").alias("file")))
+    table = MergedTable(spark, "/nowhere", spec, buckets=4)
+    for collapsed in (ingest.collapse_files(rows, spec), ingest.collapse_files(table.dealt(rows, 3), spec, (ingest.PIECE,))):
+        plan = collapsed._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+
+
+def test_first_rows_of_a_landed_table_are_written_once(spark, tmp_path, rows, monkeypatch):
+    """Nothing is kept beside the table, and each row is in the folder that later merges look for it in."""
+    from mercato.session import Scratch
+    from mercato.streaming import ingest
+
+    spec, landing = TABLES["order_items"], tmp_path / "landing"
+    landing.mkdir()
+
+    def land(df, name):
+        df.toPandas().to_csv(landing / name, index=False)
+        time.sleep(1.1)
+
+    land(_items(spark, 300, 1), "order_items-00000.csv.gz")
+    land(_items(spark, 200, 2), "order_items-00001.csv.gz")
+    table = MergedTable(spark, str(tmp_path / "items"), spec, buckets=4)
+    log = load_log(spark, str(tmp_path / "log"))
+
+    def run():
+        return stream_landing(spark, str(landing), {"order_items": table}, str(tmp_path / "ck"), log)
+
+    with monkeypatch.context() as first:
+        first.setattr(ingest, "PIECE_BYTES", 100)  # several pieces of each folder
+        first.setattr(Scratch, "materialise", lambda *_: 1 / 0)
+        assert run() == {"order_items": 1}
+    parts = table.read_parts()
+    assert parts.filter(parts["_part"] != table.part_of()).isEmpty() and parts.select("_part").distinct().count() == 4
+    prices = rows(table.read().groupBy("price").count())
+    assert [(int(p), n) for p, n in prices] == [(1, 100), (2, 200)]
+    land(_items(spark, 400, 3), "order_items.csv")
+    assert run() == {"order_items": 2}
+    assert rows(table.read().groupBy().agg({"price": "min", "*": "count"})) == [(3, 400)]
+    assert rows(log.read()) == [("order_items", 300, 300, 0, 300), ("order_items", 400, 100, 300, 400)]
+
+
+def test_a_first_landing_that_failed_leaves_no_row(spark, tmp_path, rows):
+    landing, table = tmp_path / "landing", _table(spark, tmp_path)
+    log = load_log(spark, str(tmp_path / "log"))
+    _land(landing, "sellers-00001.csv", *[f"s{i},1,x,A" for i in range(50)])
+    _land(landing, "sellers-00002.csv", "s1,1,x,A", "s1,2,y,B")
+    with pytest.raises(Exception, match="repeated key"):
+        stream_landing(spark, str(landing), {"sellers": table}, str(tmp_path / "ck"), log)
+    assert table.version == 0 and table.read().count() == 0
+    (landing / "sellers-00002.csv").write_text(HEADER + "s1,2,y,B\n")
+    assert stream_landing(spark, str(landing), {"sellers": table}, str(tmp_path / "ck"), log) == {"sellers": 1}
+    assert table.read().count() == 50 and rows(table.read().filter("seller_id = 's1'")) == [("s1", 2, "y", "B")]
+
+
+def test_several_files_of_a_table_land_compressed(spark, tmp_path, small, monkeypatch):
+    from workload import queries
+
+    monkeypatch.setattr(queries, "FILE_ROWS", 300)
+    m, spec = small(spark), TABLES["order_items"]
+    queries._land_as(m, _items(spark, 1000, 1), str(tmp_path / "files"), "order_items.csv", spec.merge_keys)
+    queries._land_as(m, _items(spark, 200, 1), str(tmp_path / "files"), "orders.csv", spec.merge_keys)
+    names = sorted(p.name for p in (tmp_path / "files").iterdir() if not p.name.startswith("."))
+    assert names == [f"order_items-{i:05d}.csv.gz" for i in range(4)] + ["orders.csv"]
+    assert spark.read.option("header", "true").csv(str(tmp_path / "files" / "order_items-*")).count() == 1000
+
+
+def test_shuffles_end_with_what_made_them(spark, tmp_path):
+    from mercato.session import short_shuffles
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {f for f in files.split("\n") if "shuffle_" in f}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffled(), spark.conf.get(key, None)
+    with short_shuffles(spark):
+        spark.range(1000).repartition(7, "id").write.parquet(str(tmp_path / "short"))
+        assert not shuffled() - before
+    assert spark.conf.get(key, None) == setting and spark.read.parquet(str(tmp_path / "short")).count() == 1000

@@ -16,7 +16,7 @@ from mercato.functions.exprs import digest
 from mercato.functions.frames import union_all
 from mercato.plans import build, checks, dashboard, layout, loaders, segments, staging, star
 from mercato.schemas import TABLES
-from mercato.session import materialise, scratch_path
+from mercato.session import materialise, scratch_path, short_shuffles
 from mercato.sources.files import coerce_types, read_table, with_audit
 from mercato.sources.tables import HistoryTable, MergedTable, VersionedTable, append_rows, write_mart
 from mercato.streaming import ingest
@@ -81,10 +81,10 @@ def append_load(m):
     )
 
 
-def _land(df: DataFrame, folder: str) -> None:
+def _land(df: DataFrame, folder: str, **options: str) -> None:
     """Drop files into a landing folder as a producer would."""
     full = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # the writer's default keeps milliseconds only
-    df.write.mode("append").options(header="true", escape='"', timestampNTZFormat=full).csv(folder)
+    df.write.mode("append").options(header="true", escape='"', timestampNTZFormat=full, **options).csv(folder)
 
 
 @query
@@ -105,18 +105,19 @@ def _land_as(m, df, folder, name, keys, once=False):
     """Files of a given name, numbered if they are several, as the landing folder of all tables gets them.
 
     Their number grows with the rows. Rows are dealt by ``keys``, so that a key's rows, or the copies of a row, share a file;
-    ``once`` leaves one row of each key.
+    ``once`` leaves one row of each key. Several files are compressed, as each is read by one task in any case.
     """
     files = max(1, -(-df.count() // FILE_ROWS))
     stem, path = name.removesuffix(".csv"), f"{folder}-{name}"
     dealt = df.repartition(files, *keys)
-    _land(dealt.dropDuplicates(keys) if once else dealt, path)
+    with short_shuffles(m.spark):
+        _land(dealt.dropDuplicates(keys) if once else dealt, path, compression="none" if files == 1 else "gzip")
     fs_path = m.spark._jvm.org.apache.hadoop.fs.Path
     fs = fs_path(folder).getFileSystem(m.spark._jsc.hadoopConfiguration())
     fs.mkdirs(fs_path(folder))
     parts = sorted(s.getPath().getName() for s in fs.listStatus(fs_path(path)) if s.getPath().getName().startswith("part-"))
     for i, part in enumerate(parts):
-        fs.rename(fs_path(f"{path}/{part}"), fs_path(f"{folder}/{name}" if len(parts) == 1 else f"{folder}/{stem}-{i:05d}.csv"))
+        fs.rename(fs_path(f"{path}/{part}"), fs_path(f"{folder}/{name}" if files == 1 else f"{folder}/{stem}-{i:05d}.csv.gz"))
 
 
 @query
